@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,7 +121,8 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
                 continue
             pm, valid = _matrix(enc, batch.column(vec))
             keys = batch.column(point_key).to_numpy(zero_copy_only=False)
-            lists = batch.column(list_col).to_numpy(zero_copy_only=False) if list_col else None
+            lists = (pc.fill_null(batch.column(list_col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                     if list_col else None)
             step = max(1, _SCORE_BLOCK_BYTES // max(1, n * 8))
             out_rows, out_q, out_s = [], [], []
             for q0 in range(0, nq, step):
@@ -136,7 +138,7 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
                     ranked[s < threshold] = -np.inf
                 else:
                     ranked = np.where(s >= threshold, s, -np.inf)
-                r, c = _local_topk(ranked, keys, k, threshold if decimals is None else -np.inf)
+                r, c = _local_topk(ranked, keys, k, -np.inf)
                 keep = np.isfinite(ranked[r, c])
                 r, c = r[keep], c[keep]
                 out_rows.append(r)
