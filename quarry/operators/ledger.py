@@ -138,9 +138,10 @@ def ledger_summary(ledger: DataFrame) -> DataFrame:
 
 
 def ledger_durations(history: DataFrame) -> DataFrame:
-    """Seconds between consecutive ledger writes of the same file, rounded to 2 places."""
+    """Seconds between consecutive ledger writes of the same file, rounded half-up to
+    2 places in exact integer arithmetic (microseconds -> centiseconds)."""
     w = Window.partitionBy("file_path").orderBy("ingested_at", "seq")
-    prev = F.lag("ingested_at").over(w)
-    secs = (F.unix_micros(F.col("ingested_at")) - F.unix_micros(prev)) / F.lit(1_000_000.0)
+    us = F.unix_micros(F.col("ingested_at")) - F.unix_micros(F.lag("ingested_at").over(w))
+    centis = F.floor((us + F.lit(5000)) / F.lit(10000))
     return history.select("file_path", "ingested_at", "status",
-                          F.round(secs, 2).alias("elapsed_s"))
+                          (centis / F.lit(100.0)).alias("elapsed_s"))

@@ -16,11 +16,9 @@ from quarry.functions import vectors as V
 from quarry.functions.hashing import hash_u64, point_key
 from quarry.functions.text import basename, extension, preview
 from quarry.operators import index as IX
-from quarry.operators import ledger as L
 from quarry.operators.ann import ivf_topk, mean_vectors
 from quarry.operators.chunking import chunk_fixed, chunk_sections, chunks_per_file, split_pieces
-from quarry.operators.ingest import document_status, ingest
-from quarry.operators.lexical import lexical_vectors, token_dims
+from quarry.operators.lexical import lexical_vectors
 from quarry.operators.prompts import build_prompts
 from quarry.operators.search import dense_retrieve, lexical_retrieve
 from quarry.plans import oracle_sql as O
@@ -532,3 +530,7 @@ def q_filter_by_file(spark, d):
     good = _t(spark, d, "labels").filter(F.col("quality") == 1).select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("source_file"))
     return pts.join(good, "source_file", "left_semi").select("point_id", "source_file", "chunk_index", "text_length")
+
+
+# ledger, status, ingest and stream queries register themselves on import
+from quarry.plans import catalog_ledger  # noqa: E402,F401

@@ -68,9 +68,10 @@ def _error_of(event_type="event_type", event_id="event_id"):
 
 
 def _ledger_rows(events: DataFrame) -> DataFrame:
+    ts = F.col("ts").cast("timestamp")
     return events.select(
         user_file().alias("file_path"),
-        F.col("ts").alias("last_modified"), F.col("ts").alias("ingested_at"),
+        ts.alias("last_modified"), ts.alias("ingested_at"),
         _status_of().alias("status"), _error_of().alias("error_message"),
         F.col("event_id").alias("seq"))
 
@@ -98,5 +99,5 @@ def file_listing(events: DataFrame) -> DataFrame:
                  .groupBy("user_id")
                  .agg(F.max("ts").alias("_all"), F.max(F.when(before, F.col("ts"))).alias("_before")))
     mtime = F.when(odd, F.col("_all")).otherwise(F.coalesce(F.col("_before"), F.col("_all")))
-    return agg.select(user_file().alias("file_path"), mtime.alias("mtime"),
+    return agg.select(user_file().alias("file_path"), mtime.cast("timestamp").alias("mtime"),
                       F.col("user_id").alias("doc_id"))
