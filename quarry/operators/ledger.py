@@ -54,7 +54,7 @@ def read_ledger(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     if not fs.exists(fs_path):
         empty = spark.createDataFrame([], LEDGER)
         return empty, spark.createDataFrame([], "source string, raw string, reason string")
-    texts = spark.read.option("wholetext", "true").text(path)
+    texts = spark.read.text(path, wholetext=True)
     return parse_ledger_json(texts)
 
 

@@ -35,6 +35,8 @@ from quarry.config import MAX_BROADCAST_QUERY_BYTES, SCORE_DECIMALS, TOP_K
 
 # Cap on the score matrix held at once inside a task (rows x queries x 8 bytes).
 _SCORE_BLOCK_BYTES = 32 * 1024 * 1024
+# Input partitions whose per-query candidate lists one final task may merge.
+_PARTITIONS_PER_SALT = 64
 
 
 @dataclass(frozen=True)
@@ -96,18 +98,40 @@ def _scores(enc: Encoding, pm: np.ndarray, qm: np.ndarray, qnorm2: np.ndarray) -
     return s
 
 
-def _local_topk(scores: np.ndarray, keys: np.ndarray, k: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row/column indices of candidates: score >= threshold and >= the k-th best in the batch."""
+def _local_topk(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row/column indices of finite scores that reach the k-th best of their column."""
     n = scores.shape[0]
-    ok = scores >= threshold
+    ok = np.isfinite(scores)
     if n > k:
         kth = np.partition(scores, n - k, axis=0)[n - k]
         ok &= scores >= kth[None, :]
     return np.nonzero(ok)
 
 
+def _key_order(col) -> np.ndarray:
+    """Sortable NumPy view of a point-key column (integers; DECIMAL(20,0) as uint64)."""
+    if pa.types.is_decimal(col.type):
+        col = pc.cast(col, pa.uint64())
+    return col.to_numpy(zero_copy_only=False)
+
+
+def _exact_topk(qi: np.ndarray, score: np.ndarray, key: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the first ``k`` rows per query under (score DESC, key ASC)."""
+    if len(qi) == 0:
+        return np.zeros(0, dtype=np.int64)
+    order = np.lexsort((key, -score, qi))
+    sq = qi[order]
+    starts = np.r_[0, np.nonzero(sq[1:] != sq[:-1])[0] + 1]
+    group_start = np.repeat(starts, np.diff(np.r_[starts, len(sq)]))
+    return order[(np.arange(len(sq)) - group_start) < k]
+
+
 def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k: int,
             threshold: float, decimals: int | None, exclude_self: bool, list_col: str | None):
+    """Per partition: score every batch against the broadcast query block and keep
+    the exact top-``k`` per query across all batches of the partition."""
+    names = ["query_id", "score", point_key, *payload]
+
     def run(batches):
         block = bc.value
         q_ids = block["ids"]
@@ -115,12 +139,15 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
         qnorm2 = (qm * qm).sum(axis=1)
         probes = block.get("probes")
         nq = len(q_ids)
+        acc = None
         for batch in batches:
             n = batch.num_rows
             if n == 0 or nq == 0:
                 continue
             pm, valid = _matrix(enc, batch.column(vec))
-            keys = batch.column(point_key).to_numpy(zero_copy_only=False)
+            keys = batch.column(point_key)
+            korder = _key_order(keys)
+            raw_keys = keys.to_numpy(zero_copy_only=False) if exclude_self else None
             lists = (pc.fill_null(batch.column(list_col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                      if list_col else None)
             step = max(1, _SCORE_BLOCK_BYTES // max(1, n * 8))
@@ -130,36 +157,41 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
                 s = _scores(enc, pm, qm[q0:q1], qnorm2[q0:q1])
                 s[~valid, :] = -np.inf
                 if exclude_self:
-                    s[keys[:, None] == q_ids[None, q0:q1]] = -np.inf
+                    s[raw_keys[:, None] == q_ids[None, q0:q1]] = -np.inf
                 if probes is not None:
                     s[~probes[q0:q1][:, lists].T] = -np.inf
-                if decimals is not None:
-                    ranked = np.round(s, decimals)
-                    ranked[s < threshold] = -np.inf
-                else:
-                    ranked = np.where(s >= threshold, s, -np.inf)
-                r, c = _local_topk(ranked, keys, k, -np.inf)
-                keep = np.isfinite(ranked[r, c])
-                r, c = r[keep], c[keep]
+                ranked = np.round(s, decimals) if decimals is not None else s.copy()
+                ranked[~(s >= threshold)] = -np.inf
+                r, c = _local_topk(ranked, k)
                 out_rows.append(r)
                 out_q.append(c + q0)
                 out_s.append(ranked[r, c])
-            if not out_rows:
-                continue
-            rows = np.concatenate(out_rows)
+            rows = np.concatenate(out_rows) if out_rows else np.zeros(0, dtype=np.int64)
             if len(rows) == 0:
                 continue
             qi = np.concatenate(out_q)
             sc = np.concatenate(out_s)
+            keep = _exact_topk(qi, sc, korder[rows], k)
+            rows, qi, sc = rows[keep], qi[keep], sc[keep]
             taken = batch.select([point_key, *payload]).take(pa.array(rows, type=pa.int64()))
-            cols = [pa.array(q_ids[qi], type=pa.int64()), pa.array(sc, type=pa.float64())]
-            cols += [taken.column(i) for i in range(taken.num_columns)]
-            names = ["query_id", "score", point_key, *payload]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            part = pa.Table.from_arrays(
+                [pa.array(q_ids[qi], type=pa.int64()), pa.array(sc, type=pa.float64())]
+                + [taken.column(i) for i in range(taken.num_columns)], names=names)
+            acc = part if acc is None else pa.concat_tables([acc, part])
+            if acc.num_rows > 4 * k * nq:
+                acc = _prune(acc, point_key, k)
+        if acc is not None and acc.num_rows:
+            yield from _prune(acc, point_key, k).to_batches()
 
     return run
 
 
+def _prune(tbl: pa.Table, point_key: str, k: int) -> pa.Table:
+    keep = _exact_topk(tbl.column("query_id").to_numpy(), tbl.column("score").to_numpy(),
+                       _key_order(tbl.column(point_key).combine_chunks()), k)
+    return tbl.take(pa.array(keep, type=pa.int64()))
+
+
 def _query_blocks(queries: DataFrame, enc: Encoding, query_key: str, qvec: str,
                   max_bytes: int) -> list[DataFrame]:
     """Split the query side into blocks whose dense form fits ``max_bytes``."""
@@ -223,7 +255,15 @@ def topk(points: DataFrame, queries: DataFrame, *, encoding: Encoding, k: int =
         return ranked.withColumn("rank", F.row_number().over(
             Window.orderBy(F.desc("score"), F.asc(point_key))).cast("bigint")) \
             .select("query_id", "rank", "score", point_key, *payload)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(point_key))
+    order = [F.desc("score"), F.asc(point_key)]
+    # Level 1 (only when the scan has many partitions): top-k per (query, salt) so
+    # no single task receives one candidate list per input partition.
+    salts = max(1, pts.rdd.getNumPartitions() // _PARTITIONS_PER_SALT)
+    if salts > 1:
+        salt = F.pmod(F.xxhash64(F.col(point_key)), F.lit(salts))
+        w1 = Window.partitionBy("query_id", salt).orderBy(*order)
+        cands = cands.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_r1")
+    w = Window.partitionBy("query_id").orderBy(*order)
     return (cands.withColumn("rank", F.row_number().over(w).cast("bigint"))
                  .filter(F.col("rank") <= k)
                  .select("query_id", "rank", "score", point_key, *payload))

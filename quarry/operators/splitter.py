@@ -53,41 +53,58 @@ def frames(lengths: list[int], size: int, overlap: int) -> list[tuple[int, int]]
         s = min(max(keep_overlap, fits_next), e)
 
 
-def _split(text: str, seps: tuple[str, ...], size: int, overlap: int, out: list[str]) -> None:
+def _split(text: str, base: int, seps: tuple[str, ...], size: int, overlap: int,
+           out: list[tuple[int, int]]) -> None:
+    """Append ``(start, end)`` spans (into the original text) of the stripped chunks."""
     sep, rest = seps[-1], ()
     for i, cand in enumerate(seps):
         if cand == "" or cand in text:
             sep, rest = cand, seps[i + 1:]
             break
     run: list[str] = []
+    run_start = 0
+
+    def emit(start: int, raw: str) -> None:
+        stripped = raw.strip()
+        if stripped:
+            lead = len(raw) - len(raw.lstrip())
+            out.append((start + lead, start + lead + len(stripped)))
 
     def flush() -> None:
         if run:
-            for s, e in frames([len(p) for p in run], size, overlap):
-                chunk = "".join(run[s:e]).strip()
-                if chunk:
-                    out.append(chunk)
+            lengths = [len(p) for p in run]
+            offsets = [0, *accumulate(lengths)]
+            for s, e in frames(lengths, size, overlap):
+                emit(base + run_start + offsets[s], "".join(run[s:e]))
             run.clear()
 
+    pos = 0
     for piece in pieces(text, sep):
         if len(piece) < size:
+            if not run:
+                run_start = pos
             run.append(piece)
-            continue
-        flush()
-        if rest:
-            _split(piece, rest, size, overlap, out)
         else:
-            stripped = piece.strip()
-            if stripped:
-                out.append(stripped)
+            flush()
+            if rest:
+                _split(piece, base + pos, rest, size, overlap, out)
+            else:
+                emit(base + pos, piece)
+        pos += len(piece)
     flush()
 
 
-def split_text(text: str | None, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-               separators: tuple[str, ...] = SEPARATORS) -> list[str]:
-    """All chunks of one section, in text order."""
+def chunk_spans(text: str | None, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+                separators: tuple[str, ...] = SEPARATORS) -> list[tuple[int, int]]:
+    """``(start, end)`` code-point offsets of every chunk, in text order."""
     if not text:
         return []
-    out: list[str] = []
-    _split(text, tuple(separators), size, overlap, out)
+    out: list[tuple[int, int]] = []
+    _split(text, 0, tuple(separators), size, overlap, out)
     return out
+
+
+def split_text(text: str | None, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+               separators: tuple[str, ...] = SEPARATORS) -> list[str]:
+    """All chunks of one section, in text order."""
+    return [text[a:b] for a, b in chunk_spans(text, size, overlap, separators)]
