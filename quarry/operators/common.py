@@ -6,6 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def estimated_partitions(df: DataFrame) -> int:
+    """Scan-split estimate from the optimizer's size statistics (executes nothing).
+
+    ``df.rdd.getNumPartitions()`` would make adaptive execution run every shuffle
+    stage below it just to plan; the estimate is ``sizeInBytes / maxPartitionBytes``.
+    """
+    jss = df.sparkSession._jsparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    per = int(jss.sessionState().conf().filesMaxPartitionBytes())
+    return max(1, -(-size // max(1, per)))
+
+
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
     """Hash-spread an under-partitioned input before a Python stage.
 
@@ -15,7 +27,7 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if estimated_partitions(df) >= target:
         return df
     return df.repartition(target, *[F.col(k) for k in keys]) if keys else df.repartition(target)
 

@@ -40,3 +40,8 @@ def build_prompts(queries: DataFrame, hits: DataFrame, query_text: str = "text")
         F.lit(C.SYSTEM_MESSAGE).alias("system"),
         F.when(n > 0, with_ctx).otherwise(fallback).alias("prompt"),
         n.alias("n_hits"))
+
+
+def write_prompts(prompts: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Prompt table sink for an offline model (Parquet or JSON lines), one folder per run."""
+    prompts.write.mode("errorifexists").format(fmt).save(path)

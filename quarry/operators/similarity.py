@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.config import MAX_BROADCAST_QUERY_BYTES, SCORE_DECIMALS, TOP_K
+from quarry.operators.common import estimated_partitions
 
 # Cap on the score matrix held at once inside a task (rows x queries x 8 bytes).
 _SCORE_BLOCK_BYTES = 32 * 1024 * 1024
@@ -192,22 +193,8 @@ def _prune(tbl: pa.Table, point_key: str, k: int) -> pa.Table:
     return tbl.take(pa.array(keep, type=pa.int64()))
 
 
-def _query_blocks(queries: DataFrame, enc: Encoding, query_key: str, qvec: str,
-                  max_bytes: int) -> list[DataFrame]:
-    """Split the query side into blocks whose dense form fits ``max_bytes``."""
-    n = queries.count()
-    per_query = enc.dim * 8
-    n_blocks = max(1, math.ceil(n * per_query / max_bytes))
-    if n_blocks == 1:
-        return [queries]
-    blk = F.pmod(F.xxhash64(F.col(query_key)), F.lit(n_blocks))
-    return [queries.filter(blk == b) for b in range(n_blocks)]
-
-
-def _collect_block(block: DataFrame, enc: Encoding, query_key: str, qvec: str,
-                   probe_col: str | None, n_lists: int | None) -> dict:
-    cols = [query_key, qvec] + ([probe_col] if probe_col else [])
-    tbl = block.select(*cols).orderBy(query_key).toArrow()
+def _block_data(tbl: pa.Table, enc: Encoding, query_key: str, qvec: str,
+                probe_col: str | None, n_lists: int | None) -> dict:
     ids = tbl.column(query_key).to_numpy(zero_copy_only=False).astype(np.int64)
     mat, valid = _matrix(enc, tbl.column(qvec))
     mat[~valid] = 0.0
@@ -221,6 +208,21 @@ def _collect_block(block: DataFrame, enc: Encoding, query_key: str, qvec: str,
     return out
 
 
+def _query_tables(queries: DataFrame, enc: Encoding, query_key: str, max_bytes: int) -> list[pa.Table]:
+    """Collect the query side in blocks whose dense form fits ``max_bytes``.
+
+    One bounded job (``limit(max_rows + 1)``) covers the common case; only a query
+    set above the bound is counted and split by a hash of the query key.
+    """
+    max_rows = max(1, max_bytes // (enc.dim * 8))
+    first = queries.limit(max_rows + 1).toArrow()
+    if first.num_rows <= max_rows:
+        return [first]
+    n_blocks = 2 * math.ceil(queries.count() / max_rows)
+    blk = F.pmod(F.xxhash64(F.col(query_key)), F.lit(n_blocks))
+    return [queries.filter(blk == b).toArrow() for b in range(n_blocks)]
+
+
 def topk(points: DataFrame, queries: DataFrame, *, encoding: Encoding, k: int = TOP_K,
          threshold: float = 0.0, point_key: str = "point_id", vec: str = "vector",
          query_key: str = "query_id", qvec: str = "vector", payload: list[str] | None = None,
@@ -241,9 +243,11 @@ def topk(points: DataFrame, queries: DataFrame, *, encoding: Encoding, k: int =
     scan_cols = [point_key, vec, *payload] + ([list_col] if list_col else [])
     pts = points.select(*dict.fromkeys(scan_cols))
     parts = []
-    for block in _query_blocks(queries.select(*[c for c in [query_key, qvec, probe_col] if c]),
-                               encoding, query_key, qvec, max_query_bytes):
-        data = _collect_block(block, encoding, query_key, qvec, probe_col, n_lists)
+    q = queries.select(*[c for c in [query_key, qvec, probe_col] if c])
+    for tbl in _query_tables(q, encoding, query_key, max_query_bytes):
+        if tbl.num_rows == 0 and parts:
+            continue
+        data = _block_data(tbl, encoding, query_key, qvec, probe_col, n_lists)
         bc = spark.sparkContext.broadcast(data)
         fn = _scorer(encoding, point_key, vec, payload, bc, k, threshold, decimals, exclude_self, list_col)
         parts.append(pts.mapInArrow(fn, out_schema))
@@ -258,7 +262,7 @@ def topk(points: DataFrame, queries: DataFrame, *, encoding: Encoding, k: int =
     order = [F.desc("score"), F.asc(point_key)]
     # Level 1 (only when the scan has many partitions): top-k per (query, salt) so
     # no single task receives one candidate list per input partition.
-    salts = max(1, pts.rdd.getNumPartitions() // _PARTITIONS_PER_SALT)
+    salts = max(1, estimated_partitions(pts) // _PARTITIONS_PER_SALT)
     if salts > 1:
         salt = F.pmod(F.xxhash64(F.col(point_key)), F.lit(salts))
         w1 = Window.partitionBy("query_id", salt).orderBy(*order)

@@ -307,7 +307,7 @@ FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id
 """)
 def q_attach_vectors(spark, d):
     docs = _t(spark, d, "documents").select("doc_id")
-    emb = _t(spark, d, "embeddings")
+    emb = IX.check_dim(_t(spark, d, "embeddings"), DENSE_DIM, vec="embedding")
     j = docs.join(emb, docs.doc_id == emb.vec_id)
     return j.select("doc_id", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("source_file"),
                     "label", F.size("embedding").cast("bigint").alias("dim"),
@@ -364,6 +364,31 @@ def q_vector_topk(spark, d):
                           threshold=DENSE_T, payload=["label"], exclude_self=True)
 
 
+@register("vector_preview", sql=f"""
+WITH s AS (
+  SELECT q.vec_id AS query_id, p.vec_id AS point_id, p.embedding, {_cos_sql('q.embedding', 'p.embedding')} AS s
+  FROM embeddings q JOIN embeddings p ON q.vec_id <> p.vec_id
+), r AS (
+  SELECT query_id, point_id, embedding,
+         row_number() OVER (PARTITION BY query_id ORDER BY round(s, 6) DESC, point_id) AS rnk
+  FROM s WHERE s >= {DENSE_T}
+)
+SELECT query_id, rnk::BIGINT AS rank, point_id,
+       round(embedding[1]::DOUBLE, 6) AS x1, round(embedding[2]::DOUBLE, 6) AS x2,
+       round(embedding[3]::DOUBLE, 6) AS x3, round(embedding[4]::DOUBLE, 6) AS x4,
+       round(embedding[5]::DOUBLE, 6) AS x5, len(embedding)::BIGINT AS dim
+FROM r WHERE rnk <= {K}
+""")
+def q_vector_preview(spark, d):
+    """Hit preview for dense hits: first five vector elements and the width."""
+    hits = dense_retrieve(_dense_points(spark, d), _dense_queries(spark, d), DENSE_DIM, k=K,
+                          threshold=DENSE_T, payload=["vector"], exclude_self=True)
+    head = V.head("vector", 5)
+    return hits.select("query_id", "rank", "point_id",
+                       *[F.round(head[i].cast("double"), 6).alias(f"x{i + 1}") for i in range(5)],
+                       F.size("vector").cast("bigint").alias("dim"))
+
+
 MEAN_VEC_SQL = """SELECT list(x ORDER BY i) AS v FROM (
     SELECT i, avg(x::DOUBLE) AS x FROM (
       SELECT generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM embeddings) GROUP BY i)"""
