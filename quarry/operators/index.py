@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.config import POINTS
-from quarry.functions.hashing import bucket_of
 from quarry.operators.common import last_per_key
 
 
@@ -74,43 +73,5 @@ def payload(chunks: DataFrame) -> DataFrame:
     return chunks.select("point_id", meta.alias("payload"), F.to_json(meta).alias("payload_json"))
 
 
-# --- versioned snapshots ------------------------------------------------------
-# Layout:  <base>/v=<n>/bucket=<b>/part-*.parquet, each version written by one Spark
-# job; a version counts once its _SUCCESS marker exists, so readers never see a
-# half-written replace and the version being read is never overwritten.
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p, jvm
-
-
-def committed_versions(spark: SparkSession, base: str) -> list[int]:
-    fs, p, jvm = _fs(spark, base)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_snapshot(spark: SparkSession, base: str, schema=POINTS) -> DataFrame:
-    versions = committed_versions(spark, base)
-    if not versions:
-        return empty_points(spark, schema)
-    return spark.read.schema(schema).parquet(f"{base}/v={versions[-1]}").select(*schema.fieldNames())
-
-
-def write_snapshot(df: DataFrame, base: str, buckets: int = 64, col: str = "source_file") -> int:
-    """Write ``df`` as the next version, laid out by file bucket; returns the version."""
-    spark = df.sparkSession
-    versions = committed_versions(spark, base)
-    nxt = (versions[-1] + 1) if versions else 1
-    (df.withColumn("bucket", bucket_of(col, buckets))
-       .repartition("bucket")
-       .write.mode("errorifexists").partitionBy("bucket")
-       .parquet(f"{base}/v={nxt}"))
-    return nxt
+# Persistent, versioned storage of the collection (rewriting only touched buckets)
+# lives in ``quarry.operators.versioned``; see ``quarry.operators.scan``.

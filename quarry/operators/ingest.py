@@ -57,24 +57,33 @@ def document_status(files: DataFrame, sections: DataFrame, chunks: DataFrame,
 
 def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataFrame], DataFrame],
            index: DataFrame, embed: Callable[[DataFrame], DataFrame] | None = None,
-           now=None, size: int = C.CHUNK_SIZE, overlap: int = C.CHUNK_OVERLAP) -> dict[str, DataFrame]:
+           now=None, size: int = C.CHUNK_SIZE, overlap: int = C.CHUNK_OVERLAP,
+           materialize: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
     """One incremental scan.  Returns ``changes, status, points, index, ledger``.
 
     ``load_sections(files)`` maps the files to ingest (``file_path, source_file,
     file_type``) to sections, optionally with a ``read_error`` column per file.
     Old points of a file are replaced only when its new chunks succeeded.
+    ``materialize(df, name)`` (e.g. write + read back) is applied to the loaded
+    sections and to the produced points, so file bodies are read once and the
+    chunking is not recomputed for statuses and the index.
     """
     changes = change_detect(listing, ledger)
     todo = files_to_ingest(changes).select("file_path", "mtime")
     files = todo.withColumn("source_file", F.regexp_extract("file_path", r"([^/]+)$", 1)) \
                 .withColumn("file_type", F.regexp_extract("source_file", r"^\.*[^.].*\.([^.]*)$", 1))
     sections = load_sections(files)
+    if materialize is not None:
+        sections = materialize(sections, "sections")
     read_errors = (sections.filter(F.col("read_error").isNotNull()).groupBy("source_file")
                    .agg(F.first("read_error").alias("read_error"))
                    if "read_error" in sections.columns else None)
     good_sections = sections.filter(F.col("read_error").isNull()) if read_errors is not None else sections
     chunks = chunk_sections(good_sections.filter(F.col("file_type").isin(*C.FILE_TYPES)), size, overlap)
     points = embed(chunks) if embed else chunks
+    if materialize is not None:
+        points = materialize(points, "points")
+        chunks = points
     f_err = files.join(read_errors, "source_file", "left") if read_errors is not None else files
     status = document_status(f_err, good_sections, chunks, points)
     ok_files = status.filter(F.col("status") == C.STATUS_SUCCESS).select("source_file")

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.config import LEDGER, LEDGER_JSON_ENTRY, STATUS_SUCCESS
-from quarry.functions.hashing import bucket_of
 from quarry.operators.common import last_per_key
 
 LEDGER_COLS = [f.name for f in LEDGER.fields]
@@ -82,9 +81,14 @@ def ledger_entry_json(ledger: DataFrame) -> DataFrame:
     return ledger.select("file_path", F.concat(_json_str(F.col("file_path")), F.lit(": "), body).alias("entry"))
 
 
+def shard_of(path, shards: int) -> F.Column:
+    """Ledger shard of a path: first 8 hex digits of md5, modulo the shard count."""
+    return F.pmod(F.conv(F.substring(F.md5(path), 1, 8), 16, 10).cast("bigint"), F.lit(shards))
+
+
 def export_ledger(ledger: DataFrame, shards: int = 1) -> DataFrame:
     """``(shard, n_files, json)``: one JSON object per shard, entries sorted by path."""
-    e = ledger_entry_json(ledger).withColumn("shard", bucket_of("file_path", shards) if shards > 1 else F.lit(0))
+    e = ledger_entry_json(ledger).withColumn("shard", shard_of(F.col("file_path"), shards))
     packed = e.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n_files"),
         F.array_sort(F.collect_list(F.struct("file_path", "entry"))).alias("_e"))

@@ -1,60 +1,59 @@
 """Folder scan with persistent state: the full incremental-ingest lifecycle.
 
-State lives in one folder (on the cluster: under the shared checkpoint folder):
+State lives in one folder (on a cluster: under the shared checkpoint folder):
 
-    <state>/index/v=<n>/bucket=<b>/*.parquet   points, one committed version per scan
-    <state>/ledger/v=<n>/*.txt                  ledger JSON shards (one object per line)
-    <state>/runs/<n>/points                     this scan's new points (cuts lineage)
+    <state>/index    points, versioned and bucketed by source file
+    <state>/ledger   ledger rows, versioned and bucketed by file path (Parquet is the
+                     primary store; the single-object JSON form is import/export)
+    <state>/runs/<id> this scan's sections, points and status (each written once: cuts lineage)
 
 A scan reads the newest committed versions, computes everything as one batch,
-writes the new points once, then commits index ``v=n+1`` and ledger ``v=n+1``.
-Nothing is overwritten that is being read.  A crash between the two commits makes
-the next scan redo the same files; per-file replace is idempotent.
+writes its new points once, then commits the index and the ledger.  Each commit
+rewrites only the buckets of the files it touched.  A crash between the two
+commits makes the next scan redo the same files; per-file replace is idempotent.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import config as C
-from quarry.operators import index as IX
 from quarry.operators import ledger as L
+from quarry.operators import versioned as VT
 from quarry.operators.ingest import ingest
 from quarry.sources.files import list_folders, registry, text_loader
 
 POINT_COLS = [f.name for f in C.CHUNKS.fields]
+INDEX_BUCKETS = 256
+LEDGER_BUCKETS = 64
 
 
-def _latest(spark: SparkSession, base: str) -> int:
-    v = IX.committed_versions(spark, base)
-    return v[-1] if v else 0
-
-
-def read_state_ledger(spark: SparkSession, state: str) -> tuple[DataFrame, DataFrame]:
-    n = _latest(spark, f"{state}/ledger")
-    if n == 0:
-        return spark.createDataFrame([], C.LEDGER), spark.createDataFrame([], "source string, raw string, reason string")
-    return L.parse_ledger_json(spark.read.text(f"{state}/ledger/v={n}"))
+def read_state_index(spark: SparkSession, state: str) -> DataFrame:
+    return VT.read_current(spark, f"{state}/index", C.CHUNKS)
 
 
-def read_state_index(spark: SparkSession, state: str) -> DataFrame:
-    return IX.read_snapshot(spark, f"{state}/index", C.CHUNKS)
+def read_state_ledger(spark: SparkSession, state: str) -> DataFrame:
+    return VT.read_current(spark, f"{state}/ledger", C.LEDGER)
 
 
 def import_ledger(spark: SparkSession, json_path: str, state: str) -> DataFrame:
-    """Bring a single-file JSON ledger into the state folder; returns quarantine rows."""
+    """Bring a JSON ledger (single object keyed by path, or shards) into the state.
+
+    Returns the quarantine rows; an unparseable file contributes no ledger rows.
+    """
     rows, bad = L.read_ledger(spark, json_path)
-    _commit_ledger(spark, rows, state)
+    VT.write_version(spark, f"{state}/ledger", C.LEDGER, "file_path", LEDGER_BUCKETS, changed=rows)
     return bad
 
 
-def _commit_ledger(spark: SparkSession, ledger: DataFrame, state: str, shard_size: int = 50_000) -> int:
-    n = _latest(spark, f"{state}/ledger") + 1
-    count = ledger.count()
-    shards = max(1, -(-count // shard_size))
-    L.export_ledger(ledger, shards).select("json").write.mode("errorifexists").text(f"{state}/ledger/v={n}")
-    return n
+def export_ledger_json(spark: SparkSession, state: str, path: str, entries_per_shard: int = 50_000) -> None:
+    """Write the ledger as JSON objects keyed by path (one object per shard line)."""
+    led = read_state_ledger(spark, state)
+    shards = max(1, -(-led.count() // entries_per_shard))
+    L.export_ledger(led, shards).select("json").write.mode("errorifexists").text(path)
 
 
 def pdf_unavailable(files: DataFrame) -> DataFrame:
@@ -69,35 +68,39 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
              embed=None, now=None) -> dict[str, DataFrame]:
     """One scan over ``folders`` (``{'.pdf': dir, '.txt': dir}``); returns the run's tables."""
     listing = list_folders(spark, folders)
-    ledger, quarantine = read_state_ledger(spark, state)
+    ledger = read_state_ledger(spark, state)
     index = read_state_index(spark, state)
     load = registry(loaders or {"txt": text_loader(spark), "pdf": pdf_unavailable})
-    out = ingest(listing, ledger, load, index, embed=embed, now=now)
-    run_no = _latest(spark, f"{state}/index") + 1
-    run_dir = f"{state}/runs/{run_no}"
+    run_dir = f"{state}/runs/{uuid.uuid4().hex[:12]}"
+
+    def materialize(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("errorifexists").parquet(f"{run_dir}/{name}")
+        return spark.read.parquet(f"{run_dir}/{name}")
+
+    out = ingest(listing, ledger, load, index, embed=embed, now=now, materialize=materialize)
     out["status"].write.mode("errorifexists").parquet(f"{run_dir}/status")
     status = spark.read.parquet(f"{run_dir}/status")
-    out["points"].select(*POINT_COLS).write.mode("errorifexists").parquet(f"{run_dir}/points")
-    new_points = spark.read.parquet(f"{run_dir}/points")
-    gone = out["changes"].filter(F.col("reason") == "missing").select(
-        F.regexp_extract("file_path", r"([^/]+)$", 1).alias("source_file"))
-    new_index = IX.replace_files(IX.delete_by_file(index, gone), new_points)
-    IX.write_snapshot(new_index.select(*POINT_COLS), f"{state}/index")
-    # ledger rows from the written status, so the scan's work is not recomputed
-    todo = L.files_to_ingest(out["changes"]).select("file_path", F.col("mtime").alias("last_modified"))
+    new_points = out["points"].select(*POINT_COLS)
+    changes = out["changes"]
+    gone = changes.filter(F.col("reason") == "missing").select("file_path")
+    gone_files = gone.select(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("source_file"))
+    # index: successful files are replaced, missing files are purged
+    VT.write_version(spark, f"{state}/index", C.CHUNKS, "source_file", INDEX_BUCKETS,
+                     changed=new_points, removed=gone_files)
+    # ledger: one new row per processed path (from the written status), missing paths dropped
+    todo = L.files_to_ingest(changes).select("file_path", F.col("mtime").alias("last_modified"))
     rows = (todo.withColumn("source_file", F.regexp_extract("file_path", r"([^/]+)$", 1))
                 .join(status.select("source_file", "status", "error_message"), "source_file", "left")
                 .select("file_path", "last_modified",
                         (now if now is not None else F.current_timestamp()).alias("ingested_at"),
                         "status", "error_message"))
-    kept = ledger.join(out["changes"].filter(F.col("reason") == "missing").select("file_path"), "file_path", "left_anti")
-    _commit_ledger(spark, L.upsert_ledger(kept, rows), state)
-    return {"changes": out["changes"], "status": status, "points": new_points,
-            "index": read_state_index(spark, state), "ledger": read_state_ledger(spark, state)[0],
-            "quarantine": quarantine}
+    VT.write_version(spark, f"{state}/ledger", C.LEDGER, "file_path", LEDGER_BUCKETS,
+                     changed=rows, removed=gone)
+    return {"changes": changes, "status": status, "points": new_points,
+            "index": read_state_index(spark, state), "ledger": read_state_ledger(spark, state)}
 
 
 def clear_all(spark: SparkSession, state: str) -> None:
     """Empty collection and empty ledger as new versions (old versions stay readable)."""
-    IX.write_snapshot(IX.empty_points(spark, C.CHUNKS), f"{state}/index")
-    _commit_ledger(spark, spark.createDataFrame([], C.LEDGER), state)
+    VT.write_empty(spark, f"{state}/index")
+    VT.write_empty(spark, f"{state}/ledger")

@@ -114,14 +114,7 @@ def q_ledger_export(spark, d):
 
 
 def _export(led):
-    shards = max(1, math.ceil(led.count() / ENTRIES_PER_SHARD))
-    shard = F.pmod(F.conv(F.substring(F.md5("file_path"), 1, 8), 16, 10).cast("bigint"), F.lit(shards))
-    e = L.ledger_entry_json(led).withColumn("shard", shard)
-    packed = e.groupBy("shard").agg(F.count(F.lit(1)).cast("bigint").alias("n_files"),
-                                    F.array_sort(F.collect_list(F.struct("file_path", "entry"))).alias("_e"))
-    return packed.select(F.col("shard").cast("bigint").alias("shard"), "n_files",
-                         F.concat(F.lit("{"), F.array_join(F.transform("_e", lambda x: x["entry"]), ", "),
-                                  F.lit("}")).alias("json"))
+    return L.export_ledger(led, max(1, math.ceil(led.count() / ENTRIES_PER_SHARD)))
 
 
 @register("ledger_load", sql=f"WITH {LEDGER_CTES}\nSELECT * FROM ledger")
@@ -236,7 +229,7 @@ def q_ingest_pipeline(spark, d):
 @register("stream_ingest", sql=f"WITH {UPSERTED}\nSELECT * FROM upserted")
 def q_stream_ingest(spark, d):
     """Ledger writes arrive as a file stream; each micro-batch is folded into the ledger."""
-    from quarry.streaming.incremental import read_ledger_version, stream_ledger
+    from quarry.streaming.incremental import read_ledger, stream_ledger
     ev = _t(spark, d, "events")
     src = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
            .option("maxFilesPerTrigger", 1).parquet(d))
@@ -248,7 +241,7 @@ def q_stream_ingest(spark, d):
 
     base = scratch_dir(spark, "ledger-stream")
     stream_ledger(spark, src, to_rows, base + "/table", base + "/_checkpoint")
-    return read_ledger_version(spark, base + "/table")
+    return read_ledger(spark, base + "/table")
 
 
 @register("stream_retrieve", sql=_prompt_sql())

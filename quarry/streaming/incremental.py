@@ -1,10 +1,8 @@
 """Structured Streaming forms of the two loops.
 
 * ``stream_ledger`` (repeated scan): a stream of file-status events is folded
-  into the ledger table in ``foreachBatch``.  Each micro-batch reads the current
-  committed ledger version, upserts (last write per path wins) and commits the
-  next version -- the version being read is never overwritten, and a replayed
-  batch gives the same result (idempotent by path and ordering key).
+  into the versioned ledger table in ``foreachBatch`` (last write per path wins;
+  only the touched buckets are rewritten; a replayed batch gives the same result).
 * ``stream_answers`` (question loop): a stream of questions joined, per
   micro-batch, against the static chunk collection (stream-static similarity
   join through the block scorer), producing prompt rows appended to a sink.
@@ -21,33 +19,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.config import LEDGER
 from quarry.operators import ledger as L
-from quarry.operators.index import committed_versions
+from quarry.operators import versioned as VT
 from quarry.operators.prompts import build_prompts
 from quarry.operators.search import lexical_retrieve
 from quarry.sources.queries import normalise_queries
 
 
-def read_ledger_version(spark: SparkSession, base: str, below: int | None = None) -> DataFrame:
-    """Latest committed ledger version (optionally the latest one below ``below``)."""
-    versions = [v for v in committed_versions(spark, base) if below is None or v < below]
-    if not versions:
-        return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).parquet(f"{base}/v={versions[-1]}")
-
-
 def stream_ledger(spark: SparkSession, source: DataFrame, to_rows: Callable[[DataFrame], DataFrame],
-                  ledger_base: str, checkpoint: str) -> None:
+                  ledger_base: str, checkpoint: str, buckets: int = 64) -> None:
     """Run ``source`` (a streaming DataFrame) to completion with ``availableNow``.
 
-    Epoch ``e`` reads the newest version below ``e+1`` and (over)writes version
-    ``e+1``, so a replayed epoch recomputes the same version.
+    Each micro-batch reads only the current rows of the paths it touches, keeps the
+    last write per path and commits them as a new bucketed version.  Replaying an
+    epoch re-applies the same last-write-wins merge, so the result is unchanged.
     """
 
     def fold(batch: DataFrame, epoch_id: int) -> None:
-        version = epoch_id + 1
-        current = read_ledger_version(spark, ledger_base, below=version)
-        nxt = L.upsert_ledger(current, to_rows(batch))
-        nxt.write.mode("overwrite").parquet(f"{ledger_base}/v={version}")
+        rows = to_rows(batch)
+        keys = rows.select("file_path").distinct()
+        current = VT.read_current(spark, ledger_base, LEDGER).join(keys, "file_path", "left_semi")
+        merged = L.upsert_ledger(current, rows)
+        VT.write_version(spark, ledger_base, LEDGER, "file_path", buckets, changed=merged)
 
     q = (source.writeStream.foreachBatch(fold)
          .option("checkpointLocation", checkpoint)
@@ -55,6 +47,10 @@ def stream_ledger(spark: SparkSession, source: DataFrame, to_rows: Callable[[Dat
     q.awaitTermination()
 
 
+def read_ledger(spark: SparkSession, ledger_base: str) -> DataFrame:
+    return VT.read_current(spark, ledger_base, LEDGER)
+
+
 def stream_answers(spark: SparkSession, questions: DataFrame, chunks: DataFrame, sink: str,
                    checkpoint: str, k: int, threshold: float) -> None:
     """Prompts for every question of the stream, written to ``sink/epoch=<id>`` (Parquet)."""

@@ -87,18 +87,21 @@ def test_scan_lifecycle(spark, folders):
     # clear all
     S.clear_all(spark, state)
     assert S.read_state_index(spark, state).count() == 0
-    assert S.read_state_ledger(spark, state)[0].count() == 0
+    assert S.read_state_ledger(spark, state).count() == 0
 
 
 def test_corrupt_ledger_is_quarantined(spark, folders):
-    state = folders["state"]
-    vdir = os.path.join(state, "ledger", "v=1")
-    os.makedirs(vdir)
-    _write(os.path.join(vdir, "part-00000.txt"), b"{")
-    _write(os.path.join(vdir, "_SUCCESS"), b"")
-    ledger, bad = S.read_state_ledger(spark, state)
-    assert ledger.count() == 0
+    path = folders["state"] + "-corrupt.json"
+    _write(path, b"{")
+    bad = S.import_ledger(spark, path, folders["state"])
     assert bad.count() == 1
+    assert S.read_state_ledger(spark, folders["state"]).count() == 0
+
+
+def test_missing_ledger_is_empty(spark, folders):
+    bad = S.import_ledger(spark, folders["state"] + "-absent.json", folders["state"])
+    assert bad.count() == 0
+    assert S.read_state_ledger(spark, folders["state"]).count() == 0
 
 
 def test_import_reference_ledger(spark, folders):
@@ -114,6 +117,22 @@ def test_import_reference_ledger(spark, folders):
 }''')
     bad = S.import_ledger(spark, path, folders["state"])
     assert bad.count() == 0
-    rows = S.read_state_ledger(spark, folders["state"])[0].collect()
+    rows = S.read_state_ledger(spark, folders["state"]).collect()
     assert len(rows) == 1 and rows[0].status == "success"
     assert rows[0].file_path == "/x/data/texts/a.txt"
+
+
+def test_only_touched_buckets_are_rewritten(spark, folders):
+    from quarry.operators import versioned as VT
+    from quarry import config as C
+    base = folders["state"] + "/vt"
+    schema = C.LEDGER
+    rows = spark.createDataFrame([(f"/f/{i}.txt", None, None, "success", None) for i in range(40)], schema)
+    VT.write_version(spark, base, schema, "file_path", 8, changed=rows)
+    one = spark.createDataFrame([("/f/3.txt", None, None, "failed", "x")], schema)
+    v2 = VT.write_version(spark, base, schema, "file_path", 8, changed=one,
+                          removed=spark.createDataFrame([("/f/4.txt",)], "file_path string"))
+    man = VT.manifest(spark, base, v2)
+    assert sum(1 for v in man.values() if v == v2) <= 2      # only the touched buckets
+    got = {r.file_path: r.status for r in VT.read_current(spark, base, schema).collect()}
+    assert len(got) == 39 and got["/f/3.txt"] == "failed" and "/f/4.txt" not in got
