@@ -36,7 +36,7 @@ def test_pieces_keep_separator_in_front():
 
 def test_frames_fixed_width_level():
     # single characters: width 500, stride 450
-    fr = frames([1] * 951, 500, 50)
+    fr = frames(list(range(952)), 500, 50)
     assert fr == [(0, 500), (450, 950), (900, 951)]
 
 
@@ -69,3 +69,14 @@ def test_spans_cover_all_text(text):
     for a, b in spans:
         covered.update(range(a, b))
     assert all(i in covered for i, ch in enumerate(text) if not ch.isspace())
+
+
+MIXED = st.lists(st.sampled_from(list("ab c\n") + ["\n\n", "  ", "é", "\t", "xyz"]), max_size=1200).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(MIXED, st.sampled_from([(500, 50), (120, 20), (60, 0), (30, 29), (7, 3)]))
+def test_equals_reference_implementation(text, params):
+    import reference_splitter as ref
+    size, overlap = params
+    assert split_text(text, size, overlap) == ref.split_text(text, size, overlap)
