@@ -70,7 +70,8 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     listing = list_folders(spark, folders)
     ledger = read_state_ledger(spark, state)
     index = read_state_index(spark, state)
-    load = registry(loaders or {"txt": text_loader(spark), "pdf": pdf_unavailable})
+    txt_dirs = [d for suffix, d in folders.items() if suffix == ".txt"]
+    load = registry(loaders or {"txt": text_loader(spark, txt_dirs), "pdf": pdf_unavailable})
     run_dir = f"{state}/runs/{uuid.uuid4().hex[:12]}"
 
     def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -151,22 +151,33 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
             raw_keys = keys.to_numpy(zero_copy_only=False) if exclude_self else None
             lists = (pc.fill_null(batch.column(list_col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                      if list_col else None)
-            step = max(1, _SCORE_BLOCK_BYTES // max(1, n * 8))
             out_rows, out_q, out_s = [], [], []
-            for q0 in range(0, nq, step):
-                q1 = min(nq, q0 + step)
-                s = _scores(enc, pm, qm[q0:q1], qnorm2[q0:q1])
-                s[~valid, :] = -np.inf
-                if exclude_self:
-                    s[raw_keys[:, None] == q_ids[None, q0:q1]] = -np.inf
-                if probes is not None:
-                    s[~probes[q0:q1][:, lists].T] = -np.inf
-                ranked = np.round(s, decimals) if decimals is not None else s.copy()
-                ranked[~(s >= threshold)] = -np.inf
-                r, c = _local_topk(ranked, k)
-                out_rows.append(r)
-                out_q.append(c + q0)
-                out_s.append(ranked[r, c])
+            if probes is None:
+                groups = [(None, np.arange(nq))]
+            else:
+                # IVF: rows of one list only meet the queries that probe that list
+                groups = [(np.flatnonzero(lists == lst), np.flatnonzero(probes[:, lst]))
+                          for lst in np.unique(lists)]
+            for rsel, qsel in groups:
+                if len(qsel) == 0 or (rsel is not None and len(rsel) == 0):
+                    continue
+                pm_g = pm if rsel is None else pm[rsel]
+                valid_g = valid if rsel is None else valid[rsel]
+                m = pm_g.shape[0]
+                step = max(1, _SCORE_BLOCK_BYTES // max(1, m * 8))
+                for q0 in range(0, len(qsel), step):
+                    qi_blk = qsel[q0:q0 + step]
+                    s = _scores(enc, pm_g, qm[qi_blk], qnorm2[qi_blk])
+                    s[~valid_g, :] = -np.inf
+                    if exclude_self:
+                        rk = raw_keys if rsel is None else raw_keys[rsel]
+                        s[rk[:, None] == q_ids[None, qi_blk]] = -np.inf
+                    ranked = np.round(s, decimals) if decimals is not None else s.copy()
+                    ranked[~(s >= threshold)] = -np.inf
+                    r, c = _local_topk(ranked, k)
+                    out_rows.append(r if rsel is None else rsel[r])
+                    out_q.append(qi_blk[c])
+                    out_s.append(ranked[r, c])
             rows = np.concatenate(out_rows) if out_rows else np.zeros(0, dtype=np.int64)
             if len(rows) == 0:
                 continue

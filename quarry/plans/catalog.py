@@ -438,6 +438,22 @@ def q_ivf_topk(spark, d):
                     threshold=DENSE_T, payload=["label"], exclude_self=True)
 
 
+@register("ivf_recall", sql=f"""
+WITH exact AS ({{ORACLE_PLACEHOLDER_EXACT}}),
+approx AS ({{ORACLE_PLACEHOLDER_IVF}})
+SELECT count(*)::BIGINT AS n_exact, count(a.point_id)::BIGINT AS n_found,
+       round(count(a.point_id) / count(*), 6) AS recall
+FROM exact e LEFT JOIN approx a ON a.query_id = e.query_id AND a.point_id = e.point_id
+""")
+def q_ivf_recall(spark, d):
+    """recall@k of the IVF plan against exact search (reported, never asserted high)."""
+    exact = q_vector_topk(spark, d).select("query_id", "point_id", F.lit(1).alias("_e"))
+    approx = q_ivf_topk(spark, d).select("query_id", "point_id", F.lit(1).alias("_a"))
+    j = exact.join(approx, ["query_id", "point_id"], "left")
+    return j.agg(F.count("_e").alias("n_exact"), F.count("_a").alias("n_found")).select(
+        "n_exact", "n_found", F.round(F.col("n_found") / F.col("n_exact"), 6).alias("recall"))
+
+
 @register("lexical_topk", sql=DOC_CHUNKS + _lexical_hits_ctes() + "\nSELECT * FROM hits")
 def q_lexical_topk(spark, d):
     return lexical_retrieve(_doc_chunks(spark, d), _queries(spark, d), k=K, threshold=LEX_T)
@@ -559,3 +575,7 @@ def q_filter_by_file(spark, d):
 
 # ledger, status, ingest and stream queries register themselves on import
 from quarry.plans import catalog_ledger  # noqa: E402,F401
+
+ORACLE["ivf_recall"] = (ORACLE["ivf_recall"]
+                        .replace("{ORACLE_PLACEHOLDER_EXACT}", ORACLE["vector_topk"])
+                        .replace("{ORACLE_PLACEHOLDER_IVF}", ORACLE["ivf_topk"]))

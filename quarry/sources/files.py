@@ -40,12 +40,20 @@ def list_folders(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     return out
 
 
-def read_text_files(spark: SparkSession, paths: list[str] | str, recursive: bool = False) -> DataFrame:
+def read_text_files(spark: SparkSession, paths: list[str] | str, recursive: bool = False,
+                    suffix: str | None = None, min_mtime=None) -> DataFrame:
     """Whole-file text sections ``(file_path, source_file, file_type, mtime, section_no,
-    n_sections, text, read_error)``."""
-    raw = (spark.read.format("binaryFile")
-           .option("recursiveFileLookup", str(recursive).lower())
-           .load(paths))
+    n_sections, text, read_error)``.
+
+    ``min_mtime`` is pushed into the ``binaryFile`` reader, which then skips the
+    bodies of older files entirely.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if suffix:
+        reader = reader.option("pathGlobFilter", f"*{suffix}")
+    raw = reader.load(paths)
+    if min_mtime is not None:
+        raw = raw.filter(F.col("modificationTime") >= F.lit(min_mtime))
     decoded = F.col("content").cast("string")
     valid = F.is_valid_utf8(decoded)
     name = basename("path")
@@ -57,18 +65,20 @@ def read_text_files(spark: SparkSession, paths: list[str] | str, recursive: bool
         F.when(~valid, F.lit("'utf-8' codec can't decode the file")).alias("read_error"))
 
 
-def text_loader(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
-    """Loader for ``txt`` files named by a files DataFrame (paths resolved in batches)."""
-    def load(files: DataFrame, batch: int = 50_000) -> DataFrame:
-        paths = [r.file_path for r in files.select("file_path").toLocalIterator()]
-        out = None
-        for i in range(0, len(paths), batch):
-            df = read_text_files(spark, paths[i:i + batch])
-            out = df if out is None else out.unionByName(df)
-        if out is None:
+def text_loader(spark: SparkSession, folders: list[str] | str, suffix: str = ".txt") -> Callable[[DataFrame], DataFrame]:
+    """Loader for text files of ``folders`` named by a files DataFrame.
+
+    No path list goes through the driver: the folders are scanned with the oldest
+    wanted mtime pushed into the reader (older bodies are never read) and the wanted
+    files are kept by a semi-join on the path.
+    """
+    def load(files: DataFrame) -> DataFrame:
+        lo = files.agg(F.min("mtime")).first()[0]
+        if lo is None:
             from quarry.config import SECTIONS
             return spark.createDataFrame([], SECTIONS).withColumn("read_error", F.lit(None).cast("string"))
-        return out
+        df = read_text_files(spark, folders, suffix=suffix, min_mtime=lo)
+        return df.join(files.select("file_path"), "file_path", "left_semi")
     return load
 
 
