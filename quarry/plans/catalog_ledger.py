@@ -198,7 +198,7 @@ def _doc_loader(documents):
     return load
 
 
-@register("ingest_pipeline", sql="WITH RECURSIVE " + LEDGER_CTES + ",\n" + O.chunk_ctes(
+@register("ingest_scan", sql="WITH RECURSIVE " + LEDGER_CTES + ",\n" + O.chunk_ctes(
     f"""SELECT regexp_extract(c.file_path, '([^/]+)$', 1) AS source_file, c.file_path, 'txt' AS file_type,
                c.mtime, 1::BIGINT AS section_no, 1::BIGINT AS n_sections, d.text
         FROM changes c JOIN documents d ON d.doc_id = CAST(regexp_extract(c.file_path, 'user_(\\d+)\\.txt$', 1) AS BIGINT)
@@ -213,7 +213,7 @@ SELECT t.file_path, t.reason,
             ELSE 'success' END AS status,
        coalesce(c.n_chunks, 0)::BIGINT AS n_chunks
 FROM todo t JOIN has_doc h ON h.source_file = t.source_file LEFT JOIN c ON c.source_file = t.source_file""")
-def q_ingest_pipeline(spark, d):
+def q_ingest_scan(spark, d):
     """One incremental scan: ledger from events, file bodies from documents."""
     ev = _t(spark, d, "events")
     docs = _t(spark, d, "documents")
