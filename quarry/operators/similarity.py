@@ -36,6 +36,8 @@ from quarry.operators.common import estimated_partitions
 
 # Cap on the score matrix held at once inside a task (rows x queries x 8 bytes).
 _SCORE_BLOCK_BYTES = 32 * 1024 * 1024
+# Cap on the dense point matrix built from one slice of an Arrow batch (rows x dim x 8).
+_POINT_BLOCK_BYTES = 64 * 1024 * 1024
 # Input partitions whose per-query candidate lists one final task may merge.
 _PARTITIONS_PER_SALT = 64
 
@@ -129,69 +131,71 @@ def _exact_topk(qi: np.ndarray, score: np.ndarray, key: np.ndarray, k: int) -> n
 
 def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k: int,
             threshold: float, decimals: int | None, exclude_self: bool, list_col: str | None):
-    """Per partition: score every batch against the broadcast query block and keep
-    the exact top-``k`` per query across all batches of the partition."""
+    """Per partition: score every batch slice against the broadcast query block and
+    keep the exact top-``k`` per query across all slices of the partition."""
     names = ["query_id", "score", point_key, *payload]
+    rows_per_block = max(1, _POINT_BLOCK_BYTES // (enc.dim * 8))
+
+    def score_slice(batch: pa.RecordBatch, q_ids, qm, qnorm2, probes) -> pa.Table | None:
+        pm, valid = _matrix(enc, batch.column(vec))
+        keys = batch.column(point_key)
+        korder = _key_order(keys)
+        raw_keys = keys.to_numpy(zero_copy_only=False) if exclude_self else None
+        lists = (pc.fill_null(batch.column(list_col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                 if list_col else None)
+        if probes is None:
+            groups = [(None, np.arange(len(q_ids)))]
+        else:
+            # IVF: rows of one list only meet the queries that probe that list
+            groups = [(np.flatnonzero(lists == lst), np.flatnonzero(probes[:, lst])) for lst in np.unique(lists)]
+        out_rows, out_q, out_s = [], [], []
+        for rsel, qsel in groups:
+            if len(qsel) == 0 or (rsel is not None and len(rsel) == 0):
+                continue
+            pm_g = pm if rsel is None else pm[rsel]
+            valid_g = valid if rsel is None else valid[rsel]
+            step = max(1, _SCORE_BLOCK_BYTES // max(1, pm_g.shape[0] * 8))
+            for q0 in range(0, len(qsel), step):
+                qi_blk = qsel[q0:q0 + step]
+                s = _scores(enc, pm_g, qm[qi_blk], qnorm2[qi_blk])
+                s[~valid_g, :] = -np.inf
+                if exclude_self:
+                    rk = raw_keys if rsel is None else raw_keys[rsel]
+                    s[rk[:, None] == q_ids[None, qi_blk]] = -np.inf
+                ranked = np.round(s, decimals) if decimals is not None else s.copy()
+                ranked[~(s >= threshold)] = -np.inf
+                r, c = _local_topk(ranked, k)
+                out_rows.append(r if rsel is None else rsel[r])
+                out_q.append(qi_blk[c])
+                out_s.append(ranked[r, c])
+        rows = np.concatenate(out_rows) if out_rows else np.zeros(0, dtype=np.int64)
+        if len(rows) == 0:
+            return None
+        qi, sc = np.concatenate(out_q), np.concatenate(out_s)
+        keep = _exact_topk(qi, sc, korder[rows], k)
+        rows, qi, sc = rows[keep], qi[keep], sc[keep]
+        taken = batch.select([point_key, *payload]).take(pa.array(rows, type=pa.int64()))
+        return pa.Table.from_arrays(
+            [pa.array(q_ids[qi], type=pa.int64()), pa.array(sc, type=pa.float64())]
+            + [taken.column(i) for i in range(taken.num_columns)], names=names)
 
     def run(batches):
         block = bc.value
-        q_ids = block["ids"]
-        qm = block["matrix"]
+        q_ids, qm = block["ids"], block["matrix"]
         qnorm2 = (qm * qm).sum(axis=1)
         probes = block.get("probes")
         nq = len(q_ids)
         acc = None
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0 or nq == 0:
+        for whole in batches:
+            if nq == 0:
                 continue
-            pm, valid = _matrix(enc, batch.column(vec))
-            keys = batch.column(point_key)
-            korder = _key_order(keys)
-            raw_keys = keys.to_numpy(zero_copy_only=False) if exclude_self else None
-            lists = (pc.fill_null(batch.column(list_col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-                     if list_col else None)
-            out_rows, out_q, out_s = [], [], []
-            if probes is None:
-                groups = [(None, np.arange(nq))]
-            else:
-                # IVF: rows of one list only meet the queries that probe that list
-                groups = [(np.flatnonzero(lists == lst), np.flatnonzero(probes[:, lst]))
-                          for lst in np.unique(lists)]
-            for rsel, qsel in groups:
-                if len(qsel) == 0 or (rsel is not None and len(rsel) == 0):
+            for off in range(0, whole.num_rows, rows_per_block):
+                part = score_slice(whole.slice(off, rows_per_block), q_ids, qm, qnorm2, probes)
+                if part is None:
                     continue
-                pm_g = pm if rsel is None else pm[rsel]
-                valid_g = valid if rsel is None else valid[rsel]
-                m = pm_g.shape[0]
-                step = max(1, _SCORE_BLOCK_BYTES // max(1, m * 8))
-                for q0 in range(0, len(qsel), step):
-                    qi_blk = qsel[q0:q0 + step]
-                    s = _scores(enc, pm_g, qm[qi_blk], qnorm2[qi_blk])
-                    s[~valid_g, :] = -np.inf
-                    if exclude_self:
-                        rk = raw_keys if rsel is None else raw_keys[rsel]
-                        s[rk[:, None] == q_ids[None, qi_blk]] = -np.inf
-                    ranked = np.round(s, decimals) if decimals is not None else s.copy()
-                    ranked[~(s >= threshold)] = -np.inf
-                    r, c = _local_topk(ranked, k)
-                    out_rows.append(r if rsel is None else rsel[r])
-                    out_q.append(qi_blk[c])
-                    out_s.append(ranked[r, c])
-            rows = np.concatenate(out_rows) if out_rows else np.zeros(0, dtype=np.int64)
-            if len(rows) == 0:
-                continue
-            qi = np.concatenate(out_q)
-            sc = np.concatenate(out_s)
-            keep = _exact_topk(qi, sc, korder[rows], k)
-            rows, qi, sc = rows[keep], qi[keep], sc[keep]
-            taken = batch.select([point_key, *payload]).take(pa.array(rows, type=pa.int64()))
-            part = pa.Table.from_arrays(
-                [pa.array(q_ids[qi], type=pa.int64()), pa.array(sc, type=pa.float64())]
-                + [taken.column(i) for i in range(taken.num_columns)], names=names)
-            acc = part if acc is None else pa.concat_tables([acc, part])
-            if acc.num_rows > 4 * k * nq:
-                acc = _prune(acc, point_key, k)
+                acc = part if acc is None else pa.concat_tables([acc, part])
+                if acc.num_rows > 4 * k * nq:
+                    acc = _prune(acc, point_key, k)
         if acc is not None and acc.num_rows:
             yield from _prune(acc, point_key, k).to_batches()
 
