@@ -31,10 +31,15 @@ def document_status(files: DataFrame, sections: DataFrame, chunks: DataFrame,
                      (F.col("read_error") if "read_error" in files.columns else F.lit(None).cast("string")).alias("read_error"))
     s = sections.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("n_sections"), F.bool_or(has_text("text")).alias("any_text"))
-    c = chunks.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_chunks"))
-    u = (uploaded if uploaded is not None else chunks).groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n_uploaded"))
-    j = f.join(s, "source_file", "left").join(c, "source_file", "left").join(u, "source_file", "left")
+    if uploaded is None:
+        # everything produced counts as written: one aggregate, one pass over the chunks
+        c = chunks.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_chunks")) \
+                  .withColumn("n_uploaded", F.col("n_chunks"))
+        j = f.join(s, "source_file", "left").join(c, "source_file", "left")
+    else:
+        c = chunks.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_chunks"))
+        u = uploaded.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_uploaded"))
+        j = f.join(s, "source_file", "left").join(c, "source_file", "left").join(u, "source_file", "left")
     n_sec = F.coalesce(F.col("n_sections"), F.lit(0)).cast("bigint")
     n_ch = F.coalesce(F.col("n_chunks"), F.lit(0)).cast("bigint")
     n_up = F.coalesce(F.col("n_uploaded"), F.lit(0)).cast("bigint")
@@ -85,7 +90,7 @@ def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataF
         points = materialize(points, "points")
         chunks = points
     f_err = files.join(read_errors, "source_file", "left") if read_errors is not None else files
-    status = document_status(f_err, good_sections, chunks, points)
+    status = document_status(f_err, good_sections, chunks, None if points is chunks else points)
     ok_files = status.filter(F.col("status") == C.STATUS_SUCCESS).select("source_file")
     new_points = points.join(ok_files, "source_file", "left_semi")
     new_index = replace_files(index, new_points)
