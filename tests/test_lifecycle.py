@@ -136,3 +136,16 @@ def test_only_touched_buckets_are_rewritten(spark, folders):
     assert sum(1 for v in man.values() if v == v2) <= 2      # only the touched buckets
     got = {r.file_path: r.status for r in VT.read_current(spark, base, schema).collect()}
     assert len(got) == 39 and got["/f/3.txt"] == "failed" and "/f/4.txt" not in got
+
+
+def test_ingest_then_ask(spark, folders):
+    from quarry import api
+    txt, state = folders["txt"], folders["state"]
+    _write(f"{txt}/ai.txt", b"Artificial intelligence studies agents that learn.\nMachine learning fits models to data.")
+    _write(f"{txt}/cats.txt", b"Cats sleep most of the day and purr.")
+    api.ingest_folders(spark, None, txt, state)
+    rows = {r.query_id: r for r in api.ask(spark, state, ["machine learning models", "exit", "quantum soup"],
+                                         threshold=0.3).collect()}
+    assert set(rows) == {0, 2}                       # the stop word is dropped
+    assert rows[0].n_hits >= 1 and "Source: ai.txt" in rows[0].prompt
+    assert rows[2].n_hits == 0 and rows[2].prompt.startswith("Answer the following query: quantum soup.")
