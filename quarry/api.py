@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quarry import config as C
 from quarry.operators import scan as S
 from quarry.operators.prompts import build_prompts
-from quarry.operators.search import lexical_retrieve
+from quarry.operators.search import HIT_PAYLOAD, dense_retrieve, lexical_retrieve
 from quarry.sources.queries import normalise_queries
 
 
@@ -37,18 +37,35 @@ def _questions(spark: SparkSession, questions) -> DataFrame:
     return spark.createDataFrame([(i, q) for i, q in enumerate(questions)], C.QUERIES)
 
 
+def _hits(spark: SparkSession, state: str, q: DataFrame, k: int, threshold: float, embed) -> DataFrame:
+    index = S.read_state_index(spark, state)
+    if embed is None:
+        return lexical_retrieve(index, q, k=k, threshold=threshold)
+    # dense: the questions go through the same embedder the collection was built with
+    qv = embed(q).select("query_id", "vector")
+    dim = qv.select(F.size("vector").alias("d")).first()
+    if dim is None:
+        return lexical_retrieve(index, q.limit(0), k=k, threshold=threshold)
+    pts = index.filter(F.col("vector").isNotNull())
+    return dense_retrieve(pts, qv, int(dim.d), k=k, threshold=threshold, payload=HIT_PAYLOAD)
+
+
 def retrieve(spark: SparkSession, state: str, questions, k: int = C.TOP_K,
-             threshold: float = C.SCORE_THRESHOLD) -> DataFrame:
-    """Ranked hits for every question against the current collection."""
+             threshold: float = C.SCORE_THRESHOLD, embed=None) -> DataFrame:
+    """Ranked hits for every question against the current collection.
+
+    ``embed`` (``DataFrame -> DataFrame`` adding ``vector``) selects dense retrieval;
+    without it the hashed lexical vectors are computed from the stored text.
+    """
     q = normalise_queries(_questions(spark, questions))
-    return lexical_retrieve(S.read_state_index(spark, state), q, k=k, threshold=threshold)
+    return _hits(spark, state, q, k, threshold, embed)
 
 
 def ask(spark: SparkSession, state: str, questions, k: int = C.TOP_K,
-        threshold: float = C.SCORE_THRESHOLD) -> DataFrame:
+        threshold: float = C.SCORE_THRESHOLD, embed=None) -> DataFrame:
     """Prompt rows for every question (fallback prompt when nothing scores >= threshold)."""
     q = normalise_queries(_questions(spark, questions))
-    hits = lexical_retrieve(S.read_state_index(spark, state), q, k=k, threshold=threshold)
+    hits = _hits(spark, state, q, k, threshold, embed)
     return build_prompts(q, hits).join(q.withColumnRenamed("text", "question"), "query_id")
 
 

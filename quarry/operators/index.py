@@ -33,7 +33,7 @@ def upsert(index: DataFrame, new: DataFrame, key: str = "point_id", order: list[
     """Insert or overwrite by ``key``; within ``new`` the last row by ``order`` wins."""
     fresh = last_per_key(new, [key], order) if order else new.dropDuplicates([key])
     kept = index.join(fresh.select(key), key, "left_anti")
-    return kept.unionByName(fresh.select(*index.columns))
+    return kept.unionByName(fresh, allowMissingColumns=True).select(*index.columns)
 
 
 def delete_by_file(index: DataFrame, files: DataFrame, col: str = "source_file") -> DataFrame:
@@ -48,7 +48,7 @@ def replace_files(index: DataFrame, new: DataFrame, col: str = "source_file", ke
     """
     touched = new.select(col).distinct()
     kept = index.join(touched, col, "left_anti")
-    return kept.unionByName(new.dropDuplicates([key]).select(*index.columns))
+    return kept.unionByName(new.dropDuplicates([key]), allowMissingColumns=True).select(*index.columns)
 
 
 def filter_by_file(index: DataFrame, name: str, col: str = "source_file") -> DataFrame:

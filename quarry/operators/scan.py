@@ -26,13 +26,21 @@ from quarry.operators import versioned as VT
 from quarry.operators.ingest import ingest
 from quarry.sources.files import list_folders, registry, text_loader
 
-POINT_COLS = [f.name for f in C.CHUNKS.fields]
+# The stored index always has the points schema; ``vector`` stays NULL when no
+# embedder is configured (lexical retrieval works from the text alone).
+POINT_COLS = [f.name for f in C.POINTS.fields]
 INDEX_BUCKETS = 256
 LEDGER_BUCKETS = 64
 
 
 def read_state_index(spark: SparkSession, state: str) -> DataFrame:
-    return VT.read_current(spark, f"{state}/index", C.CHUNKS)
+    return VT.read_current(spark, f"{state}/index", C.POINTS)
+
+
+def _with_vector(points: DataFrame) -> DataFrame:
+    if "vector" in points.columns:
+        return points.withColumn("vector", F.col("vector").cast("array<float>"))
+    return points.withColumn("vector", F.lit(None).cast("array<float>"))
 
 
 def read_state_ledger(spark: SparkSession, state: str) -> DataFrame:
@@ -81,12 +89,12 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     out = ingest(listing, ledger, load, index, embed=embed, now=now, materialize=materialize)
     out["status"].write.mode("errorifexists").parquet(f"{run_dir}/status")
     status = spark.read.parquet(f"{run_dir}/status")
-    new_points = out["points"].select(*POINT_COLS)
+    new_points = _with_vector(out["points"]).select(*POINT_COLS)
     changes = out["changes"]
     gone = changes.filter(F.col("reason") == "missing").select("file_path")
     gone_files = gone.select(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("source_file"))
     # index: successful files are replaced, missing files are purged
-    VT.write_version(spark, f"{state}/index", C.CHUNKS, "source_file", INDEX_BUCKETS,
+    VT.write_version(spark, f"{state}/index", C.POINTS, "source_file", INDEX_BUCKETS,
                      changed=new_points, removed=gone_files)
     # ledger: one new row per processed path (from the written status), missing paths dropped
     todo = L.files_to_ingest(changes).select("file_path", F.col("mtime").alias("last_modified"))

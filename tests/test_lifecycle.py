@@ -149,3 +149,34 @@ def test_ingest_then_ask(spark, folders):
     assert set(rows) == {0, 2}                       # the stop word is dropped
     assert rows[0].n_hits >= 1 and "Source: ai.txt" in rows[0].prompt
     assert rows[2].n_hits == 0 and rows[2].prompt.startswith("Answer the following query: quantum soup.")
+
+
+def _toy_embed(df):
+    """8-dim bag of letters: a stand-in for any Arrow/pandas embedder."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    @F.arrow_udf("array<float>")
+    def vec(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            v = [0.0] * 8
+            for ch in (t or "").lower():
+                if ch.isalpha():
+                    v[ord(ch) % 8] += 1.0
+            out.append(v)
+        return pa.array(out, type=pa.list_(pa.float32()))
+
+    return df.withColumn("vector", vec(F.col("text")))
+
+
+def test_pluggable_dense_embedder(spark, folders):
+    from quarry import api
+    txt, state = folders["txt"], folders["state"]
+    _write(f"{txt}/a.txt", b"aaaa aaaa")
+    _write(f"{txt}/b.txt", b"bbbb bbbb")
+    api.ingest_folders(spark, None, txt, state, embed=_toy_embed)
+    idx = S.read_state_index(spark, state)
+    assert idx.filter("vector is null").count() == 0
+    hits = api.retrieve(spark, state, ["aaa"], k=1, threshold=0.5, embed=_toy_embed).collect()
+    assert [h.source_file for h in hits] == ["a.txt"] and abs(hits[0].score - 1.0) < 1e-6
