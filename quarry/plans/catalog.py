@@ -36,9 +36,20 @@ ALT_SIZE, ALT_OVERLAP = 300, 30   # second chunking used as the "new version" of
 IVF_NPROBE = 3
 
 
+def naive_timestamps(df: DataFrame) -> DataFrame:
+    """Report instants as naive UTC wall-clock values (the oracle's TIMESTAMP type)."""
+    from pyspark.sql import types as T
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def query(spark, d):
+            return naive_timestamps(fn(spark, d))
+        query.__name__, query.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = query
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn

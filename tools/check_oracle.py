@@ -25,9 +25,9 @@ def norm_value(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 9)
+        return None if math.isnan(v) else (v if os.environ.get("EXACT_FLOATS") else round(v, 9))
     if isinstance(v, (np.floating,)):
-        return None if np.isnan(v) else round(float(v), 9)
+        return None if np.isnan(v) else (float(v) if os.environ.get("EXACT_FLOATS") else round(float(v), 9))
     if isinstance(v, (np.integer,)):
         return int(v)
     if isinstance(v, np.bool_):
@@ -43,6 +43,17 @@ def norm_value(v):
     return v
 
 
+def spark_to_duck_type(t) -> str:
+    from pyspark.sql import types as T
+    if isinstance(t, T.ArrayType):
+        return spark_to_duck_type(t.elementType) + "[]"
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    return {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+            "date": "DATE", "smallint": "SMALLINT", "tinyint": "TINYINT"}.get(t.simpleString(), t.simpleString())
+
+
 def rows_of(records, cols):
     return sorted((tuple(norm_value(r[c]) for c in cols) for r in records), key=repr)
 
@@ -74,12 +85,16 @@ def main():
             d_recs = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
             t2 = time.time()
             same_cols = s_cols == d_cols
+            s_types = {f.name: spark_to_duck_type(f.dataType) for f in sdf.schema.fields}
+            d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+            type_diff = {c: (s_types.get(c), d_types.get(c)) for c in s_cols if s_types.get(c) != d_types.get(c)}
             a = rows_of(s_rows, s_cols)
             b = rows_of(d_recs, d_cols) if same_cols else []
             match = same_cols and a == b
             ok += match
             msg = "OK " if match else "BAD"
-            print(f"{name:22s} {msg} spark={len(a)} duck={len(d_recs)} {t1 - t0:.1f}s/{t2 - t1:.1f}s", flush=True)
+            print(f"{name:22s} {msg} spark={len(a)} duck={len(d_recs)} {t1 - t0:.1f}s/{t2 - t1:.1f}s"
+                  + (f"  TYPES {type_diff}" if type_diff else ""), flush=True)
             if not same_cols:
                 print("   cols spark", s_cols, "\n   cols duck ", d_cols)
             elif not match:
