@@ -14,13 +14,14 @@ HIT_PAYLOAD = ["source_file", "page_number", "chunk_index", "text"]
 
 
 def lexical_retrieve(chunks: DataFrame, queries: DataFrame, k: int = TOP_K,
-                     threshold: float = SCORE_THRESHOLD, dim: int = LEXICAL_DIM) -> DataFrame:
+                     threshold: float = SCORE_THRESHOLD, dim: int = LEXICAL_DIM,
+                     method: str = "md5") -> DataFrame:
     """Hits ``(query_id, rank, score, point_id, source_file, page_number, chunk_index, text)``.
 
     The query text is embedded with the same function as the chunks (symmetric).
     """
-    q = normalise_queries(queries).select("query_id", token_dims("text", dim).alias("vector"))
-    pts = chunks.select("point_id", *HIT_PAYLOAD, token_dims("text", dim).alias("vector"))
+    q = normalise_queries(queries).select("query_id", token_dims("text", dim, method).alias("vector"))
+    pts = chunks.select("point_id", *HIT_PAYLOAD, token_dims("text", dim, method).alias("vector"))
     hits = topk(pts, q, encoding=Encoding("bag", dim), k=k, threshold=threshold,
                 point_key="point_id", payload=HIT_PAYLOAD)
     return hits.withColumn("text", F.coalesce(F.col("text"), F.lit("")))

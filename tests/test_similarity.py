@@ -72,3 +72,16 @@ def test_upsert_idempotent_and_replace_no_surplus(spark):
     assert {r.point_id: r.text for r in once.collect()} == {1: "x2", 2: "y", 3: "z"}
     rep = replace_files(old, new)
     assert sorted((r.point_id, r.text) for r in rep.collect()) == [(1, "x2"), (3, "z")]
+
+
+def test_lexical_xxhash_option_is_consistent(spark):
+    from decimal import Decimal
+    from quarry.operators.search import lexical_retrieve
+    chunks = spark.createDataFrame(
+        [(Decimal(1), "a.txt", None, 0, "machine learning fits models"),
+         (Decimal(2), "b.txt", None, 0, "cats purr and sleep")],
+        "point_id decimal(20,0), source_file string, page_number bigint, chunk_index bigint, text string")
+    q = spark.createDataFrame([(0, "machine learning")], "query_id bigint, text string")
+    for method in ("md5", "xxhash64"):
+        hits = lexical_retrieve(chunks, q, k=1, threshold=0.1, method=method).collect()
+        assert [h.source_file for h in hits] == ["a.txt"]
