@@ -83,7 +83,8 @@ def _bag_matrix(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     values = col.values.to_numpy(zero_copy_only=False).astype(np.int64)[offsets[0]:offsets[-1]]
     rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
     counts = np.bincount(rows * dim + values, minlength=n * dim).reshape(n, dim)
-    return counts.astype(np.float64), col.is_valid().to_numpy(zero_copy_only=False)
+    # float32 holds these counts and their dot products exactly (all far below 2**24)
+    return counts.astype(np.float32), col.is_valid().to_numpy(zero_copy_only=False)
 
 
 def _matrix(enc: Encoding, col) -> tuple[np.ndarray, np.ndarray]:
@@ -91,10 +92,11 @@ def _matrix(enc: Encoding, col) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scores(enc: Encoding, pm: np.ndarray, qm: np.ndarray, qnorm2: np.ndarray) -> np.ndarray:
-    dotp = pm @ qm.T
     if enc.kind == "dense":
-        return dotp
-    pnorm2 = (pm * pm).sum(axis=1)
+        return pm @ qm.T
+    # integer counts: exact products in float32, the division in float64
+    dotp = (pm @ qm.T).astype(np.float64)
+    pnorm2 = (pm.astype(np.float64) ** 2).sum(axis=1)
     denom = np.sqrt(pnorm2[:, None] * qnorm2[None, :])
     with np.errstate(divide="ignore", invalid="ignore"):
         s = np.where(denom > 0, dotp / denom, 0.0)
@@ -182,7 +184,7 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
     def run(batches):
         block = bc.value
         q_ids, qm = block["ids"], block["matrix"]
-        qnorm2 = (qm * qm).sum(axis=1)
+        qnorm2 = (qm.astype(np.float64) ** 2).sum(axis=1)
         probes = block.get("probes")
         nq = len(q_ids)
         acc = None
