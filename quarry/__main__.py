@@ -57,7 +57,8 @@ def main(argv: list[str] | None = None) -> int:
         qs = spark.read.parquet(args.questions) if args.questions else args.text
         prompts = api.ask(spark, args.state, qs, k=args.k, threshold=args.threshold)
         if args.out:
-            prompts.write.mode("errorifexists").parquet(args.out)
+            from quarry.operators.prompts import write_prompts
+            write_prompts(prompts, args.out)
         else:
             for r in prompts.orderBy("query_id").toLocalIterator():
                 print(f"--- {r.query_id} ({r.n_hits} hits)\n{r.prompt}\n")

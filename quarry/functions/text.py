@@ -30,11 +30,6 @@ def has_text(col: Column | str) -> Column:
     return _c(col).rlike(f"[^{WS_CLASS}]")
 
 
-def is_blank(col: Column | str) -> Column:
-    """``not s.strip()``; NULL counts as blank."""
-    return F.coalesce(~has_text(col), F.lit(True))
-
-
 def normalise_newlines(col: Column | str) -> Column:
     """Universal-newline read: ``\\r\\n`` and lone ``\\r`` become ``\\n``."""
     return F.regexp_replace(_c(col), "\r\n?", "\n")

@@ -1,5 +1,5 @@
-"""The point collection as a table: keyed upsert, delete, per-file replace, stats,
-and versioned snapshots.
+"""The point collection as a table: keyed upsert, delete, per-file replace, stats
+(persistent versioned storage lives in ``operators.versioned``).
 
 All mutations are anti-joins plus unions.  The changed side (new points, deleted
 files) is normally much smaller than the index; Spark's planner broadcasts it only
@@ -10,18 +10,12 @@ collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.config import POINTS
 from quarry.operators.common import last_per_key
 
 
-def empty_points(spark: SparkSession, schema=POINTS) -> DataFrame:
-    """Create-if-absent / clear-all: an empty collection with the fixed schema."""
-    return spark.createDataFrame([], schema)
-
-
 def check_dim(points: DataFrame, dim: int, vec: str = "vector") -> DataFrame:
     """Fail the write when a vector has the wrong width (collection contract)."""
     bad = F.size(F.col(vec)) != F.lit(dim)

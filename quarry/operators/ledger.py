@@ -97,10 +97,6 @@ def export_ledger(ledger: DataFrame, shards: int = 1) -> DataFrame:
         F.concat(F.lit("{"), F.array_join(F.transform("_e", lambda x: x["entry"]), ", "), F.lit("}")).alias("json"))
 
 
-def write_ledger(ledger: DataFrame, path: str, shards: int = 1) -> None:
-    export_ledger(ledger, shards).select("json").coalesce(1 if shards == 1 else shards) \
-        .write.mode("overwrite").text(path)
-
 
 def change_detect(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Listing (file_path, mtime) full-outer-joined with the ledger on path -> reason.

@@ -39,9 +39,6 @@ def token_dims(text: Column | str, dim: int = LEXICAL_DIM, method: str = "md5")
     return F.transform(tokens(text), lambda w: token_bucket(w, dim, method))
 
 
-def with_bag(df: DataFrame, text: str = "text", out: str = "dims", dim: int = LEXICAL_DIM) -> DataFrame:
-    return df.withColumn(out, token_dims(text, dim))
-
 
 def lexical_vectors(df: DataFrame, key: str = "point_id", text: str = "text",
                     dim: int = LEXICAL_DIM, method: str = "md5") -> DataFrame:
