@@ -9,7 +9,7 @@ the classic single-file format.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.config import LEDGER, LEDGER_JSON_ENTRY, STATUS_SUCCESS
@@ -139,9 +139,15 @@ def ledger_summary(ledger: DataFrame) -> DataFrame:
 
 def ledger_durations(history: DataFrame) -> DataFrame:
     """Seconds between consecutive ledger writes of the same file, rounded half-up to
-    2 places in exact integer arithmetic (microseconds -> centiseconds)."""
-    w = Window.partitionBy("file_path").orderBy("ingested_at", "seq")
-    us = F.unix_micros(F.col("ingested_at")) - F.unix_micros(F.lag("ingested_at").over(w))
+    2 places in exact integer arithmetic (microseconds -> centiseconds).
+
+    The previous write is found by a skew-safe rank within the file and an
+    equi-join on ``(file, rank)``, so a file written very often is not one task.
+    """
+    from quarry.operators.ordinal import previous, rank_within
+    h = history.select("file_path", "ingested_at", "status", "seq")
+    ranked = rank_within(h, "file_path", ["ingested_at", "seq"], out="_r")
+    p = previous(ranked, "file_path", "_r", ["ingested_at"])
+    us = F.unix_micros(F.col("ingested_at")) - F.unix_micros(F.col("prev_ingested_at"))
     centis = F.floor((us + F.lit(5000)) / F.lit(10000))
-    return history.select("file_path", "ingested_at", "status",
-                          (centis / F.lit(100.0)).alias("elapsed_s"))
+    return p.select("file_path", "ingested_at", "status", (centis / F.lit(100.0)).alias("elapsed_s"))

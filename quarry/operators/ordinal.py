@@ -1,0 +1,84 @@
+"""Position of each row within its group, without putting a group in one task.
+
+``Window.partitionBy(key)`` sends every row of a key to one task.  When one key may
+hold a large share of all rows (one huge document, one file ingested again and
+again), ``rank_within`` instead:
+
+1. range-partitions on ``(key, order...)`` -- a hot key is spread over many
+   consecutive partitions, sorted;
+2. numbers rows inside each partition (one Arrow pass, running count per key);
+3. adds, per ``(key, partition)``, the number of rows of that key in earlier
+   partitions -- a small table (one row per key and partition it spans);
+4. joins that offset back on ``(key, partition)``.
+
+The result equals ``row_number()`` (and ``count(*)``) over ``partition by key order
+by order`` when the order columns make rows unique within a key.  ``previous``
+then gives ``lag`` as an equi-join on the unique ``(key, rank)``.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _local_numbers(key: str):
+    def run(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        last_key, count = None, 0
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            keys = b.column(key).to_pylist()
+            local = np.empty(n, dtype=np.int64)
+            for i, k in enumerate(keys):          # rows arrive sorted by key
+                count = count + 1 if (count and k == last_key) else 1
+                last_key = k
+                local[i] = count
+            yield b.append_column("_pid", pa.array(np.full(n, pid, dtype=np.int32))) \
+                   .append_column("_local", pa.array(local))
+    return run
+
+
+def rank_within(df: DataFrame, key: str, order: list[str], out: str = "rank",
+                size_out: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Append ``out`` (1-based position within ``key`` by ``order``) and optionally
+    ``size_out`` (rows of the key).  ``(key, *order)`` must identify a row and hold
+    no NULLs (ranks are joined back on them).
+
+    Only the narrow ``(key, *order)`` projection is ranked.  Its numbering is cut
+    from the lineage with a reliable ``checkpoint()`` (shared checkpoint folder), so
+    the partition numbers it records are the range partitions' own, whatever plan
+    the result is later embedded in; ranks join back on the unique ``(key, *order)``.
+    """
+    from quarry.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    narrow = df.select(key, *order)
+    sorted_parts = (narrow.repartitionByRange(n, F.col(key), *[F.col(c) for c in order])
+                          .sortWithinPartitions(key, *order))
+    schema = T.StructType(narrow.schema.fields + [T.StructField("_pid", T.IntegerType()),
+                                                  T.StructField("_local", T.LongType())])
+    numbered = sorted_parts.mapInArrow(_local_numbers(key), schema).checkpoint(eager=True)
+    per_part = numbered.groupBy(key, "_pid").agg(F.max("_local").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    if size_out:
+        offsets = offsets.withColumn(size_out, F.sum("_n").over(Window.partitionBy(key)))
+    cols = ["_off"] + ([size_out] if size_out else [])
+    ranks = (numbered.join(offsets.select(key, "_pid", *cols), [key, "_pid"])
+                     .select(key, *order, (F.col("_local") + F.col("_off")).alias(out),
+                             *([size_out] if size_out else [])))
+    return df.join(ranks, [key, *order])
+
+
+def previous(ranked: DataFrame, key: str, rank: str, cols: list[str], prefix: str = "prev_") -> DataFrame:
+    """``lag`` of ``cols`` by one position, as a join on the unique ``(key, rank)``."""
+    prev = ranked.select(F.col(key), (F.col(rank) + 1).alias(rank), *[F.col(c).alias(prefix + c) for c in cols])
+    return ranked.join(prev, [key, rank], "left")

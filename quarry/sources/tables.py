@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.config import STATUS_FAILED, STATUS_SKIPPED_EMPTY, STATUS_SUCCESS, MSG_EMPTY
@@ -34,15 +34,20 @@ def document_sections(documents: DataFrame) -> DataFrame:
 
 
 def conversation_sections(conversations: DataFrame) -> DataFrame:
-    """Turns become pages of ``conv_<id>.pdf``: numbered 1.. by turn, counted per file."""
+    """Turns become pages of ``conv_<id>.pdf``: numbered 1.. by turn, counted per file.
+
+    Numbering is skew-safe (``rank_within``): one very long conversation is spread
+    over several tasks instead of one window partition.
+    """
+    from quarry.operators.ordinal import rank_within
+    ranked = rank_within(conversations.select("conv_id", "turn", "text"), "conv_id", ["turn"],
+                         out="section_no", size_out="n_sections")
     name = F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit(".pdf"))
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    wall = Window.partitionBy("conv_id")
-    return conversations.select(
+    return ranked.select(
         name.alias("source_file"), name.alias("file_path"), F.lit("pdf").alias("file_type"),
         F.lit(None).cast("timestamp").alias("mtime"),
-        F.row_number().over(w).cast("bigint").alias("section_no"),
-        F.count(F.lit(1)).over(wall).cast("bigint").alias("n_sections"),
+        F.col("section_no").cast("bigint").alias("section_no"),
+        F.col("n_sections").cast("bigint").alias("n_sections"),
         F.col("text"))
 
 
