@@ -4,10 +4,10 @@ Plan: the (bounded) query side is collected in blocks whose byte size is checked
 and shipped to executors as a broadcast variable.  The point side is scanned in
 place (no shuffle) by ``mapInArrow``: each Arrow batch becomes a NumPy matrix,
 is scored against the query block, thresholded, and reduced to a *local* top-k
-per query (ties at the boundary kept).  Only these candidates -- at most about
-``k x queries`` per batch -- are shuffled, and a ``row_number`` window (planned as
-``WindowGroupLimit``) picks the exact global top-k ordered by
-``(score DESC, point key ASC)``.
+per query, kept exactly across all batches of the task (ties broken by point
+key).  Only these candidates -- at most ``k x queries`` per partition -- are
+shuffled, and a ``row_number`` window (planned as ``WindowGroupLimit``) picks the
+exact global top-k ordered by ``(score DESC, point key ASC)``.
 
 Two vector encodings share the scorer:
 
@@ -15,8 +15,8 @@ Two vector encodings share the scorer:
 * ``bag``:   ``array<int>`` of hashed token buckets (a sparse count vector);
   score = ``dot / sqrt(|q|^2 |p|^2)`` on exact integer counts.
 
-An optional probe mask (IVF) restricts each query to the points whose ``list_id``
-is among the query's probed lists.
+With IVF, the rows of each list are scored only against the queries that probe
+that list.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ _PARTITIONS_PER_SALT = 64
 
 @dataclass(frozen=True)
 class Encoding:
-    kind: str          # "dense" or "bag"
+    kind: str          # "dense" (array<float>) or "bag" (array<int> of bucket ids)
     dim: int
 
 
@@ -60,8 +60,9 @@ def _dense_matrix(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.diff(offsets)
     valid = (lengths == dim) & col.is_valid().to_numpy(zero_copy_only=False)
     values = col.values.to_numpy(zero_copy_only=False).astype(np.float64)
-    if valid.all() and offsets[0] == 0 and len(values) == n * dim:
-        mat[:] = values.reshape(n, dim)
+    if valid.all():
+        # contiguous (also for a sliced batch, whose offsets do not start at 0)
+        mat[:] = values[offsets[0]:offsets[0] + n * dim].reshape(n, dim)
     else:
         for i in np.nonzero(valid)[0]:
             mat[i] = values[offsets[i]:offsets[i] + dim]
@@ -72,7 +73,7 @@ def _dense_matrix(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bag_matrix(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """(n, dim) float64 count matrix from token-bucket lists (counts are exact integers)."""
+    """(n, dim) count matrix from token-bucket lists; bucket ids outside [0, dim) are ignored."""
     n = len(col)
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
@@ -82,7 +83,8 @@ def _bag_matrix(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.diff(offsets)
     values = col.values.to_numpy(zero_copy_only=False).astype(np.int64)[offsets[0]:offsets[-1]]
     rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
-    counts = np.bincount(rows * dim + values, minlength=n * dim).reshape(n, dim)
+    ok = (values >= 0) & (values < dim)
+    counts = np.bincount(rows[ok] * dim + values[ok], minlength=n * dim).reshape(n, dim)
     # float32 holds these counts and their dot products exactly (all far below 2**24)
     return counts.astype(np.float32), col.is_valid().to_numpy(zero_copy_only=False)
 
