@@ -5,7 +5,7 @@ State lives in one folder (on a cluster: under the shared checkpoint folder):
     <state>/index    points, versioned and bucketed by source file
     <state>/ledger   ledger rows, versioned and bucketed by file path (Parquet is the
                      primary store; the single-object JSON form is import/export)
-    <state>/runs/<id> this scan's sections, points and status (each written once: cuts lineage)
+    <state>/runs/<id> this scan's listing, sections, points and status (each written once)
 
 A scan reads the newest committed versions, computes everything as one batch,
 writes its new points once, then commits the index and the ledger.  Each commit
@@ -75,17 +75,19 @@ def pdf_unavailable(files: DataFrame) -> DataFrame:
 def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders: dict | None = None,
              embed=None, now=None) -> dict[str, DataFrame]:
     """One scan over ``folders`` (``{'.pdf': dir, '.txt': dir}``); returns the run's tables."""
-    listing = list_folders(spark, folders)
-    ledger = read_state_ledger(spark, state)
-    index = read_state_index(spark, state)
-    txt_dirs = [d for suffix, d in folders.items() if suffix == ".txt"]
-    load = registry(loaders or {"txt": text_loader(spark, txt_dirs), "pdf": pdf_unavailable})
     run_dir = f"{state}/runs/{uuid.uuid4().hex[:12]}"
 
     def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("errorifexists").parquet(f"{run_dir}/{name}")
         return spark.read.parquet(f"{run_dir}/{name}")
 
+    # one listing per scan: processing, index and ledger all see the same files
+    listing = materialize(list_folders(spark, folders), "listing")
+    ledger = read_state_ledger(spark, state)
+    index = read_state_index(spark, state)
+    txt_dirs = [d for suffix, d in folders.items() if suffix == ".txt"]
+    load = registry(loaders or {"txt": text_loader(spark, txt_dirs), "pdf": pdf_unavailable})
+
     out = ingest(listing, ledger, load, index, embed=embed, now=now, materialize=materialize)
     out["status"].write.mode("errorifexists").parquet(f"{run_dir}/status")
     status = spark.read.parquet(f"{run_dir}/status")
