@@ -19,8 +19,24 @@ from quarry.config import STATUS_FAILED, STATUS_SKIPPED_EMPTY, STATUS_SUCCESS, M
 HISTORY_CUTOFF = "2024-01-20 00:00:00"
 
 
+_SCHEMAS: dict[tuple, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table; its footer schema is inferred once per file version and reused."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        st = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jpath)
+        key = (path, st.getLen(), st.getModificationTime())
+    except Exception:  # noqa: BLE001 - let the reader report a missing path
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def document_sections(documents: DataFrame) -> DataFrame:
