@@ -1,6 +1,6 @@
 """Parameters and table schemas.
 
-Fixed values that must equal the original pipeline's for identical results are
+Fixed values that must equal the original system's for identical results are
 collected in one block below; everything else is ours.
 """
 
@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# --- fixed values (must equal the original pipeline's) ----------------------
+# --- fixed values (must equal the original system's) ------------------------
 CHUNK_SIZE = 500
 CHUNK_OVERLAP = 50
 SEPARATORS = ("\n\n", "\n", " ", "")

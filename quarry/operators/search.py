@@ -1,4 +1,4 @@
-"""Retrieval pipelines: normalise -> embed -> similarity top-k -> hits."""
+"""Retrieval: normalise -> embed -> similarity top-k -> hits."""
 
 from __future__ import annotations
 

@@ -405,7 +405,7 @@ MEAN_VEC_SQL = """SELECT list(x ORDER BY i) AS v FROM (
       SELECT generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM embeddings) GROUP BY i)"""
 
 
-@register("vector_top1_query", sql=f"""
+@register("single_query_topk", sql=f"""
 WITH c AS ({MEAN_VEC_SQL}),
 s AS (SELECT e.vec_id AS point_id, e.label, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.v) AS s
       FROM embeddings e, c)
@@ -413,7 +413,7 @@ SELECT 0::BIGINT AS query_id, (row_number() OVER (ORDER BY round(s, 6) DESC, poi
        round(s, 6) AS score, point_id, label
 FROM s ORDER BY round(s, 6) DESC, point_id LIMIT {K}
 """)
-def q_vector_top1_query(spark, d):
+def q_single_query_topk(spark, d):
     """One question: the collection's mean direction; top-k via TakeOrderedAndProject."""
     pts = _dense_points(spark, d)
     q = mean_vectors(pts.withColumn("query_id", F.lit(0).cast("bigint")), "query_id")
