@@ -36,22 +36,37 @@ ALT_SIZE, ALT_OVERLAP = 300, 30   # second chunking used as the "new version" of
 IVF_NPROBE = 3
 
 
-def naive_timestamps(df: DataFrame) -> DataFrame:
-    """Report instants as naive UTC wall-clock values (the oracle's TIMESTAMP type)."""
+def report_types(df: DataFrame) -> DataFrame:
+    """Types every consumer reads the same way: instants as naive UTC wall-clock
+    values (the oracle's TIMESTAMP) and uint64 ids (DECIMAL(20,0)) as their exact
+    decimal digits, which no float or pandas conversion can round."""
     from pyspark.sql import types as T
-    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
-                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
-                       for f in df.schema.fields])
 
+    def conv(f):
+        if isinstance(f.dataType, T.TimestampType):
+            return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        if isinstance(f.dataType, T.DecimalType) and f.dataType.scale == 0:
+            return F.col(f.name).cast("string").alias(f.name)
+        return F.col(f.name)
+    return df.select(*[conv(f) for f in df.schema.fields])
 
-def register(name: str, sql: str | None = None):
+
+def report_sql(sql: str, id_cols: tuple[str, ...]) -> str:
+    """The oracle side of ``report_types`` for the given uint64 id columns."""
+    if not id_cols:
+        return sql
+    repl = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in id_cols)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) reported"
+
+
+def register(name: str, sql: str | None = None, ids: tuple[str, ...] = ()):
     def deco(fn):
         def query(spark, d):
-            return naive_timestamps(fn(spark, d))
+            return report_types(fn(spark, d))
         query.__name__, query.__doc__ = fn.__name__, fn.__doc__
         QUERIES[name] = query
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = report_sql(sql.strip(), ids)
         return fn
     return deco
 
@@ -246,13 +261,13 @@ def q_chunk_fixed(spark, d):
     return chunk_fixed(docs, "source_file")
 
 
-@register("chunk_sections", sql=DOC_CHUNKS + "\nSELECT * FROM chunks")
+@register("chunk_sections", sql=DOC_CHUNKS + "\nSELECT * FROM chunks", ids=("point_id",))
 def q_chunk_sections(spark, d):
     return _doc_chunks(spark, d)
 
 
 @register("chunk_metadata", sql=ALL_CHUNKS + """
-SELECT source_file, file_type, page_number, chunk_index, chunk_id, text_length, point_id FROM chunks""")
+SELECT source_file, file_type, page_number, chunk_index, chunk_id, text_length, point_id FROM chunks""", ids=("point_id",))
 def q_chunk_metadata(spark, d):
     return _all_chunks(spark, d).drop("text")
 
@@ -268,7 +283,7 @@ WITH s AS ({O.conversation_sections()})
 SELECT source_file, section_no AS page_number, {O.point_key('source_file', 'section_no', '0')} AS point_key,
        {O.point_id(O.point_key('source_file', 'section_no', '0'))} AS point_id
 FROM s
-""")
+""", ids=("point_id",))
 def q_point_ids(spark, d):
     s = _conv_sections(spark, d)
     key = point_key("source_file", "section_no", F.lit(0))
@@ -277,7 +292,7 @@ def q_point_ids(spark, d):
 
 
 @register("point_payload", sql=DOC_CHUNKS + """
-SELECT point_id, source_file, file_type, page_number, chunk_index, chunk_id, text_length, text FROM chunks""")
+SELECT point_id, source_file, file_type, page_number, chunk_index, chunk_id, text_length, text FROM chunks""", ids=("point_id",))
 def q_point_payload(spark, d):
     p = IX.payload(_doc_chunks(spark, d))
     return p.select("point_id", "payload.*")
@@ -288,7 +303,7 @@ SELECT point_id, coalesce(source_file, '{C.SOURCE_UNKNOWN}') AS source,
        page_number IS NOT NULL AS has_page,
        (6 + CASE WHEN page_number IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS n_keys,
        CASE WHEN page_number IS NOT NULL THEN CAST(page_number AS VARCHAR) ELSE 'n/a' END AS page
-FROM chunks""")
+FROM chunks""", ids=("point_id",))
 def q_payload_map(spark, d):
     ch = _all_chunks(spark, d)
     entries = F.array(
@@ -344,7 +359,7 @@ def q_normalise_vectors(spark, d):
 @register("lexical_vectors", sql=DOC_CHUNKS + f""",
 tok AS ({_tokens_sql('chunks', 'point_id')}),
 v AS (SELECT point_id, dim, count(*)::BIGINT AS tf FROM tok GROUP BY point_id, dim)
-SELECT point_id, sum(tf * tf) OVER (PARTITION BY point_id)::BIGINT AS norm2, dim::BIGINT AS dim, tf FROM v""")
+SELECT point_id, sum(tf * tf) OVER (PARTITION BY point_id)::BIGINT AS norm2, dim::BIGINT AS dim, tf FROM v""", ids=("point_id",))
 def q_lexical_vectors(spark, d):
     return lexical_vectors(_doc_chunks(spark, d))
 
@@ -465,7 +480,7 @@ def q_ivf_recall(spark, d):
         "n_exact", "n_found", F.round(F.col("n_found") / F.col("n_exact"), 6).alias("recall"))
 
 
-@register("lexical_topk", sql=DOC_CHUNKS + _lexical_hits_ctes() + "\nSELECT * FROM hits")
+@register("lexical_topk", sql=DOC_CHUNKS + _lexical_hits_ctes() + "\nSELECT * FROM hits", ids=("point_id",))
 def q_lexical_topk(spark, d):
     return lexical_retrieve(_doc_chunks(spark, d), _queries(spark, d), k=K, threshold=LEX_T)
 
@@ -473,7 +488,7 @@ def q_lexical_topk(spark, d):
 @register("hit_preview", sql=DOC_CHUNKS + _lexical_hits_ctes() + """
 SELECT h.query_id, h.rank, h.point_id, substring(q.text, 1, 50) AS query_preview,
        substring(h.text, 1, 100) AS text_preview, length(h.text)::BIGINT AS text_length
-FROM hits h JOIN qn q ON q.query_id = h.query_id""")
+FROM hits h JOIN qn q ON q.query_id = h.query_id""", ids=("point_id",))
 def q_hit_preview(spark, d):
     q = normalise_queries(_queries(spark, d))
     hits = lexical_retrieve(_doc_chunks(spark, d), _queries(spark, d), k=K, threshold=LEX_T)
@@ -539,7 +554,7 @@ def _old_new_sql() -> str:
 SELECT point_id, source_file, chunk_index, chunk_id, text_length, text FROM chunks
 WHERE point_id NOT IN (SELECT point_id FROM chunks_n)
 UNION ALL
-SELECT point_id, source_file, chunk_index, chunk_id, text_length, text FROM chunks_n""")
+SELECT point_id, source_file, chunk_index, chunk_id, text_length, text FROM chunks_n""", ids=("point_id",))
 def q_upsert_points(spark, d):
     old, new = _old_new(spark, d)
     cols = ["point_id", "source_file", "chunk_index", "chunk_id", "text_length", "text"]
@@ -548,7 +563,7 @@ def q_upsert_points(spark, d):
 
 @register("delete_by_file", sql=DOC_CHUNKS + """
 SELECT point_id, source_file, chunk_index, text_length FROM chunks
-WHERE source_file NOT IN (SELECT 'doc_' || doc_id || '.txt' FROM labels WHERE toxic = 1)""")
+WHERE source_file NOT IN (SELECT 'doc_' || doc_id || '.txt' FROM labels WHERE toxic = 1)""", ids=("point_id",))
 def q_delete_by_file(spark, d):
     pts = _doc_chunks(spark, d).select("point_id", "source_file", "chunk_index", "text_length")
     toxic = _t(spark, d, "labels").filter(F.col("toxic") == 1).select(
@@ -560,7 +575,7 @@ def q_delete_by_file(spark, d):
 SELECT point_id, source_file, chunk_index, chunk_id, text_length, text FROM chunks
 WHERE source_file NOT IN (SELECT source_file FROM chunks_n)
 UNION ALL
-SELECT point_id, source_file, chunk_index, chunk_id, text_length, text FROM chunks_n""")
+SELECT point_id, source_file, chunk_index, chunk_id, text_length, text FROM chunks_n""", ids=("point_id",))
 def q_replace_files(spark, d):
     old, new = _old_new(spark, d)
     cols = ["point_id", "source_file", "chunk_index", "chunk_id", "text_length", "text"]
@@ -576,7 +591,7 @@ def q_collection_stats(spark, d):
 
 @register("filter_by_file", sql=DOC_CHUNKS + """
 SELECT point_id, source_file, chunk_index, text_length FROM chunks
-WHERE source_file IN (SELECT 'doc_' || doc_id || '.txt' FROM labels WHERE quality = 1)""")
+WHERE source_file IN (SELECT 'doc_' || doc_id || '.txt' FROM labels WHERE quality = 1)""", ids=("point_id",))
 def q_filter_by_file(spark, d):
     pts = _doc_chunks(spark, d).select("point_id", "source_file", "chunk_index", "text_length")
     good = _t(spark, d, "labels").filter(F.col("quality") == 1).select(
