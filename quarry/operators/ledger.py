@@ -30,20 +30,27 @@ def parse_ledger_json(texts: DataFrame, col: str = "value") -> tuple[DataFrame,
     """JSON objects keyed by path -> ``(ledger rows, quarantine rows)``.
 
     A document that does not parse (or has the wrong shape) yields no rows and one
-    quarantine row instead of failing the job.
+    quarantine row; an entry missing a required field (``last_modified``,
+    ``ingested_at``, ``status``) is quarantined on its own.  Nothing fails the job.
     """
     parsed = texts.select(
         F.col(col).alias("raw"),
         F.from_json(F.col(col), f"map<string,{LEDGER_JSON_ENTRY}>", {"mode": "PERMISSIVE"}).alias("m"))
-    bad = parsed.filter(F.col("m").isNull() & F.col("raw").isNotNull()).select(
+    bad_docs = parsed.filter(F.col("m").isNull() & F.col("raw").isNotNull()).select(
         F.lit("ledger").alias("source"), F.col("raw"), F.lit("unparseable ledger JSON").alias("reason"))
-    rows = parsed.filter(F.col("m").isNotNull()).select(F.explode("m").alias("k", "v")).select(
+    entries = parsed.filter(F.col("m").isNotNull()).select(F.explode("m").alias("k", "v"))
+    complete = (F.col("v").isNotNull() & F.col("v.last_modified").isNotNull()
+                & F.col("v.ingested_at").isNotNull() & F.col("v.status").isNotNull())
+    bad_entries = entries.filter(~complete).select(
+        F.lit("ledger").alias("source"), F.to_json(F.struct("k", "v")).alias("raw"),
+        F.lit("ledger entry misses a required field").alias("reason"))
+    rows = entries.filter(complete).select(
         F.coalesce(F.col("v.file_path"), F.col("k")).alias("file_path"),
         _from_epoch(F.col("v.last_modified")).alias("last_modified"),
         _from_epoch(F.col("v.ingested_at")).alias("ingested_at"),
         F.col("v.status").alias("status"),
         F.col("v.error_message").alias("error_message"))
-    return rows, bad
+    return rows, bad_docs.unionByName(bad_entries)
 
 
 def read_ledger(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -98,3 +98,11 @@ def test_rank_within_matches_row_number_with_hot_key(spark):
     assert parts >= 1
     lagged = previous(got, "g", "r", ["o"])
     assert lagged.filter("g = 0 and r = 10").first().prev_o == 8
+
+
+def test_ledger_entry_missing_field_is_quarantined(spark):
+    doc = ('{"/a": {"file_path": "/a", "last_modified": 1.5, "ingested_at": 2.5, "status": "success", '
+           '"error_message": null}, "/b": {"file_path": "/b", "last_modified": 1.0}}')
+    rows, bad = L.parse_ledger_json(spark.createDataFrame([(doc,)], "value string"))
+    assert [r.file_path for r in rows.collect()] == ["/a"]
+    assert [r.reason for r in bad.collect()] == ["ledger entry misses a required field"]
