@@ -27,14 +27,23 @@ def contexts(hits: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_hits"))
 
 
-def build_prompts(queries: DataFrame, hits: DataFrame, query_text: str = "text") -> DataFrame:
-    """``(query_id, system, prompt, n_hits)``, one row per query."""
+def build_prompts(queries: DataFrame, hits: DataFrame, query_text: str = "text",
+                  no_hit: str = "answer") -> DataFrame:
+    """``(query_id, system, prompt, n_hits)``, one row per query.
+
+    Queries without hits get the question-loop fallback (``no_hit="answer"``) or the
+    prompt builder's own zero-context text (``no_hit="context"``).
+    """
     agg = contexts(hits)
     q = queries.select("query_id", F.col(query_text).alias("_q"))
     joined = q.join(agg, "query_id", "left")
     n = F.coalesce(F.col("n_hits"), F.lit(0)).cast("bigint")
     with_ctx = F.concat(F.lit(C.PROMPT_HEAD), F.col("context"), F.lit(C.PROMPT_QUERY), F.col("_q"), F.lit(C.PROMPT_TAIL))
-    fallback = F.concat(F.lit(C.NO_HIT_PROMPT_HEAD), F.col("_q"), F.lit(C.NO_HIT_PROMPT_TAIL))
+    if no_hit == "context":
+        head, tail = C.EMPTY_CONTEXT_PROMPT.split("{}")
+        fallback = F.concat(F.lit(head), F.col("_q"), F.lit(tail))
+    else:
+        fallback = F.concat(F.lit(C.NO_HIT_PROMPT_HEAD), F.col("_q"), F.lit(C.NO_HIT_PROMPT_TAIL))
     return joined.select(
         "query_id",
         F.lit(C.SYSTEM_MESSAGE).alias("system"),

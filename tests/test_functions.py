@@ -80,3 +80,10 @@ def test_prompt_joins_contexts_in_rank_order(spark):
         "query_id bigint, rank int, source_file string, page_number bigint, text string")
     p = build_prompts(q, hits).first().prompt
     assert "Source: a.txt\nContent: first\n\nSource: Unknown\nContent: second" in p
+
+
+def test_prompt_zero_context_variant(spark):
+    q = spark.createDataFrame([(1, "Q")], "query_id bigint, text string")
+    hits = spark.createDataFrame([], "query_id bigint, rank int, source_file string, page_number bigint, text string")
+    p = build_prompts(q, hits, no_hit="context").first().prompt
+    assert p == "Query: Q\n\nNo relevant information was found in the knowledge base."
