@@ -180,3 +180,24 @@ def test_pluggable_dense_embedder(spark, folders):
     assert idx.filter("vector is null").count() == 0
     hits = api.retrieve(spark, state, ["aaa"], k=1, threshold=0.5, embed=_toy_embed).collect()
     assert [h.source_file for h in hits] == ["a.txt"] and abs(hits[0].score - 1.0) < 1e-6
+
+
+def test_uncommitted_version_is_invisible_and_overwritten(spark, folders):
+    import os
+    from quarry import config as C
+    from quarry.operators import versioned as VT
+    base = folders["state"] + "/crash"
+    schema = C.LEDGER
+    rows = spark.createDataFrame([(f"/f/{i}.txt", None, None, "success", None) for i in range(10)], schema)
+    assert VT.write_version(spark, base, schema, "file_path", 4, changed=rows) == 1
+    # a writer died after its data files but before its manifest: v=2 has no manifest
+    junk = spark.createDataFrame([("/f/0.txt", None, None, "failed", "half-written")], schema)
+    junk.write.parquet(base + "/v=2/data/bucket=0")
+    assert os.path.isdir(base + "/v=2") and VT.committed(spark, base) == [1]
+    got = {r.file_path: r.status for r in VT.read_current(spark, base, schema).collect()}
+    assert len(got) == 10 and got["/f/0.txt"] == "success"
+    # the next writer reuses v=2, overwrites the debris and commits
+    one = spark.createDataFrame([("/f/1.txt", None, None, "failed", "x")], schema)
+    assert VT.write_version(spark, base, schema, "file_path", 4, changed=one) == 2
+    got = {r.file_path: r.status for r in VT.read_current(spark, base, schema).collect()}
+    assert len(got) == 10 and got["/f/0.txt"] == "success" and got["/f/1.txt"] == "failed"
