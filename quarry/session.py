@@ -1,8 +1,8 @@
 """Session helpers: a local session for tests/bench and the shared scratch folder.
 
 On a cluster the session is built by the platform; we only read its settings.
-``scratch_dir`` resolves the shared folder named by ``spark.checkpoint.dir`` and
-only sets one when the session has none (tests, local runs).
+``scratch_dir`` resolves the shared folder named by ``spark.checkpoint.dir``; a local
+session that has none gets a temporary one, a cluster session without one is refused.
 """
 
 from __future__ import annotations
@@ -66,11 +66,16 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, setting a local one only if unset."""
+    """Return the session's shared checkpoint folder; a temporary one only where driver and
+    executors are one process.  On a cluster without ``spark.checkpoint.dir`` this raises:
+    a folder of the driver's machine is not seen by the executors."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
