@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from quarry.llm import sql as S
 from quarry.llm.common import bound_batches, table
 from quarry.llm.decontaminate import decontaminate
+from quarry.llm.packing import pack_documents
+from quarry.llm.records import read_digests, write_records
 from quarry.llm.sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,12 +31,24 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op4_packing")
+def op4_packing(spark, d):
+    """All documents in sequences of at most 2048 tokens."""
+    return pack_documents(table(spark, d, "documents"))
+
+
 @register("op5_sharding")
 def op5_sharding(spark, d):
     """All documents on a bounded-load ring of 16 shards."""
     return shard_documents(table(spark, d, "documents"))
 
 
+@register("op9_token_records")
+def op9_token_records(spark, d):
+    """All documents written as token records and read back from the files."""
+    return read_digests(write_records(table(spark, d, "documents")))
+
+
 @register("op10_decontaminate", S.DECONTAMINATE)
 def op10_decontaminate(spark, d):
     """Every document against every benchmark window."""
