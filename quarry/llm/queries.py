@@ -11,8 +11,10 @@ from quarry.llm import sql as S
 from quarry.llm.common import bound_batches, table
 from quarry.llm.decontaminate import decontaminate
 from quarry.llm.packing import pack_documents
+from quarry.llm.quality import classify, held_out
 from quarry.llm.records import read_digests, write_records
 from quarry.llm.sharding import shard_documents
+from quarry.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +33,21 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op2_quality")
+def op2_quality(spark, d):
+    """A quality score for every document."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return classify(docs, table(spark, d, "labels")).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"),
+        F.col("quality_predicted").alias("predicted"))
+
+
+@register("op3_topk", S.TOP_K)
+def op3_topk(spark, d):
+    """The five best other vectors for every fiftieth."""
+    return top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 @register("op4_packing")
 def op4_packing(spark, d):
     """All documents in sequences of at most 2048 tokens."""
