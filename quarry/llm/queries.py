@@ -15,6 +15,7 @@ from quarry.llm.quality import classify, held_out
 from quarry.llm.records import read_digests, write_records
 from quarry.llm.sharding import shard_documents
 from quarry.llm.topk import top_k
+from quarry.llm.urls import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +34,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_url_filter")
+def op1_url_filter(spark, d):
+    """A verdict for the URL of every page."""
+    return filter_urls(table(spark, d, "pages"))
+
+
 @register("op2_quality")
 def op2_quality(spark, d):
     """A quality score for every document."""
