@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarry.llm import sql as S
 from quarry.llm.common import bound_batches, table
 from quarry.llm.decontaminate import decontaminate
+from quarry.llm.neardup import near_duplicates
 from quarry.llm.packing import pack_documents
 from quarry.llm.quality import classify, held_out
 from quarry.llm.records import read_digests, write_records
@@ -67,6 +68,12 @@ def op5_sharding(spark, d):
     return shard_documents(table(spark, d, "documents"))
 
 
+@register("op6_near_duplicates", S.NEAR_DUPLICATES)
+def op6_near_duplicates(spark, d):
+    """The near-duplicate component of every document."""
+    return near_duplicates(table(spark, d, "documents"))
+
+
 @register("op9_token_records")
 def op9_token_records(spark, d):
     """All documents written as token records and read back from the files."""

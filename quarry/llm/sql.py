@@ -37,3 +37,18 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGIN
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, rank, vec_id, score FROM (SELECT query_id, vec_id, score,
   row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 5"""
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all({_fold('text')}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+seqs AS (SELECT w, min(doc_id) AS id FROM doc WHERE len(w) > 0 GROUP BY w),
+sh AS (SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS k
+  FROM (SELECT id, w, unnest(generate_series(1, greatest(1, len(w)::BIGINT - 4))) AS i FROM seqs)),
+n AS (SELECT id, count(*) AS n FROM sh GROUP BY id),
+shared AS (SELECT a.id AS a, b.id AS b, count(*) AS common FROM sh a JOIN sh b ON a.k = b.k AND a.id < b.id GROUP BY 1, 2),
+link AS (SELECT a, b FROM shared JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link UNION SELECT id, id FROM n),
+reach AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+comp AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  doc_id = coalesce(component_id, doc_id) AS kept
+FROM doc LEFT JOIN seqs ON doc.w = seqs.w LEFT JOIN n ON n.id = seqs.id LEFT JOIN comp ON comp.id = seqs.id"""
