@@ -15,6 +15,7 @@ from quarry.llm.packing import pack_documents
 from quarry.llm.quality import classify, held_out
 from quarry.llm.records import read_digests, write_records
 from quarry.llm.sharding import shard_documents
+from quarry.llm.substring import substring_dedup
 from quarry.llm.topk import top_k
 from quarry.llm.urls import filter_urls
 
@@ -74,6 +75,15 @@ def op6_near_duplicates(spark, d):
     return near_duplicates(table(spark, d, "documents"))
 
 
+@register("op7_substring_dedup")
+def op7_substring_dedup(spark, d):
+    """Every document without the passages that an earlier one holds."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    removed = F.coalesce(F.aggregate("removed_spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"]), F.lit(0))
+    return substring_dedup(docs).select("doc_id", removed.alias("n_removed"), "removed_spans",
+                                        F.col("deduped_text").alias("text"))
+
+
 @register("op9_token_records")
 def op9_token_records(spark, d):
     """All documents written as token records and read back from the files."""
