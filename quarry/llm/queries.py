@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarry.llm import sql as S
 from quarry.llm.common import bound_batches, table
 from quarry.llm.decontaminate import decontaminate
+from quarry.llm.html_text import extract_text
 from quarry.llm.neardup import near_duplicates
 from quarry.llm.packing import pack_documents
 from quarry.llm.quality import classify, held_out
@@ -84,6 +85,13 @@ def op7_substring_dedup(spark, d):
                                         F.col("deduped_text").alias("text"))
 
 
+@register("op8_html_text")
+def op8_html_text(spark, d):
+    """The visible text of every page."""
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    return extract_text(pages).select("page_id", "url", F.length("text").cast("bigint").alias("n_chars"), "text")
+
+
 @register("op9_token_records")
 def op9_token_records(spark, d):
     """All documents written as token records and read back from the files."""
