@@ -142,10 +142,11 @@ def cut_text(texts: pd.Series, spans: pd.Series) -> pd.Series:
 
 def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``removed_spans`` (word ranges, NULL if none) and ``deduped_text``."""
+    docs = docs.drop("removed_spans", "deduped_text")
     spans = materialise(repeated_spans(docs, min_words), "spans")
-    side = spans.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("spans").alias("removed_spans"))
+    side = spans.select(F.col("doc").alias("_sd_doc"), F.col("mark").alias("_sd_mark"), F.col("spans").alias("removed_spans"))
     side = F.broadcast(side) if spans.count() <= BROADCAST_ROWS else side
-    joined = docs.join(side, (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col("_doc"))
-                       & (mark(F.col("text").cast("string")) == F.col("_mark")), "left").drop("_doc", "_mark")
+    joined = docs.join(side, (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col("_sd_doc"))
+                       & (mark(F.col("text").cast("string")) == F.col("_sd_mark")), "left").drop("_sd_doc", "_sd_mark")
     return joined.withColumn("deduped_text", F.when(F.col("removed_spans").isNull(), F.col("text"))
                              .otherwise(cut_text("text", "removed_spans")))
