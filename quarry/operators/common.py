@@ -6,30 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def estimated_partitions(df: DataFrame) -> int:
-    """Scan-split estimate from the optimizer's size statistics (executes nothing).
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread rows over the session's shuffle partitions before a Python stage.
 
-    ``df.rdd.getNumPartitions()`` would make adaptive execution run every shuffle
-    stage below it just to plan; the estimate is ``sizeInBytes / maxPartitionBytes``.
+    How many splits a scan or a join below it has says little about the work a row makes
+    here, so the number comes from the session and never from an estimate.
     """
-    jss = df.sparkSession._jsparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    per = int(jss.sessionState().conf().filesMaxPartitionBytes())
-    return max(1, -(-size // max(1, per)))
-
-
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread an under-partitioned input before a Python stage.
-
-    A single small Parquet file is one task; a Python UDF over it would run on one
-    core.  At scale the scan already has many splits and this is a no-op, so the
-    text is not shuffled needlessly.
-    """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if estimated_partitions(df) >= target:
-        return df
-    return df.repartition(target, *[F.col(k) for k in keys]) if keys else df.repartition(target)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *[F.col(k) for k in keys])
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

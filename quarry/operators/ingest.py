@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quarry import config as C
 from quarry.functions.text import has_text
 from quarry.operators.chunking import chunk_sections
-from quarry.operators.index import replace_files
+from quarry.operators.index import delete_by_file, replace_files
 from quarry.operators.ledger import change_detect, files_to_ingest, upsert_ledger, LEDGER_COLS
 
 
@@ -50,12 +50,12 @@ def document_status(files: DataFrame, sections: DataFrame, chunks: DataFrame,
                .when(n_ch == 0, F.lit(C.STATUS_SKIPPED_NO_CHUNKS))
                .when(n_up == n_ch, F.lit(C.STATUS_SUCCESS))
                .otherwise(F.lit(C.STATUS_FAILED)))
-    msg = (F.when(~known, F.concat(F.lit("No processor for type '"), F.col("file_type"), F.lit("'")))
+    msg = (F.when(~known, F.format_string(C.MSG_NO_PROCESSOR.format("%s"), F.col("file_type")))
             .when(F.col("read_error").isNotNull(), F.col("read_error"))
             .when((n_sec == 0) | ~F.coalesce(F.col("any_text"), F.lit(False)), F.lit(C.MSG_EMPTY))
             .when(n_ch == 0, F.lit(C.MSG_NO_CHUNKS))
             .when(n_up == n_ch, F.lit(None).cast("string"))
-            .otherwise(F.format_string("Mismatch in uploaded chunks count. Expected %d, got %d.", n_ch, n_up)))
+            .otherwise(F.format_string(C.MSG_MISMATCH.format("%d", "%d"), n_ch, n_up)))
     return j.select("source_file", "file_type", n_sec.alias("n_sections"), n_ch.alias("n_chunks"),
                     n_up.alias("n_uploaded"), status.alias("status"), msg.alias("error_message"))
 
@@ -68,7 +68,9 @@ def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataF
 
     ``load_sections(files)`` maps the files to ingest (``file_path, source_file,
     file_type``) to sections, optionally with a ``read_error`` column per file.
-    Old points of a file are replaced only when its new chunks succeeded.
+    Old points of a file are replaced when its new chunks succeeded and removed when the
+    file has become empty; a file that failed keeps them.  Chunks are counted before
+    ``embed``, so vectors that go missing make the file fail.
     ``materialize(df, name)`` (e.g. write + read back) is applied to the loaded
     sections and to the produced points, so file bodies are read once and the
     chunking is not recomputed for statuses and the index.
@@ -85,15 +87,20 @@ def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataF
                    if "read_error" in sections.columns else None)
     good_sections = sections.filter(F.col("read_error").isNull()) if read_errors is not None else sections
     chunks = chunk_sections(good_sections.filter(F.col("file_type").isin(*C.FILE_TYPES)), size, overlap)
-    points = embed(chunks) if embed else chunks
     if materialize is not None:
-        points = materialize(points, "points")
-        chunks = points
+        chunks = materialize(chunks, "chunks")
+    points = chunks
+    if embed:
+        points = embed(chunks)
+        if materialize is not None:
+            points = materialize(points, "points")
     f_err = files.join(read_errors, "source_file", "left") if read_errors is not None else files
     status = document_status(f_err, good_sections, chunks, None if points is chunks else points)
     ok_files = status.filter(F.col("status") == C.STATUS_SUCCESS).select("source_file")
     new_points = points.join(ok_files, "source_file", "left_semi")
-    new_index = replace_files(index, new_points)
+    # a file that was read and turned out empty holds no text any more: its old points go too
+    empty = status.filter(F.col("status").isin(C.STATUS_SKIPPED_EMPTY, C.STATUS_SKIPPED_NO_CHUNKS)).select("source_file")
+    new_index = delete_by_file(replace_files(index, new_points), empty)
     ts = now if now is not None else F.current_timestamp()
     rows = files.join(status.select("source_file", "status", "error_message"), "source_file", "left").select(
         "file_path", F.col("mtime").alias("last_modified"), ts.alias("ingested_at"),
@@ -101,4 +108,4 @@ def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataF
     gone = changes.filter(F.col("reason") == "missing").select("file_path")
     kept_ledger = ledger.join(gone, "file_path", "left_anti")
     new_ledger = upsert_ledger(kept_ledger, rows).select(*LEDGER_COLS)
-    return {"changes": changes, "status": status, "points": new_points, "index": new_index, "ledger": new_ledger}
+    return {"changes": changes, "status": status, "points": new_points, "emptied": empty, "index": new_index, "ledger": new_ledger}

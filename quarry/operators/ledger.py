@@ -2,14 +2,13 @@
 
 The ledger is a table ``(file_path, last_modified, ingested_at, status,
 error_message)``, one row per absolute path.  Its JSON form is an object keyed by
-path; for large ledgers it is written as shards (one object per line, one shard
-per hash bucket) so no single task holds the whole ledger.  A one-shard export is
-the classic single-file format.
+path, written one entry per line (every line is an object of one path), whatever the
+number of files.  The classic form, one object over the whole file, is a separate import.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.config import LEDGER, LEDGER_JSON_ENTRY, STATUS_SUCCESS
@@ -18,10 +17,6 @@ from quarry.operators.common import last_per_key
 LEDGER_COLS = [f.name for f in LEDGER.fields]
 
 
-def _epoch(ts) -> F.Column:
-    return (F.unix_micros(ts) / F.lit(1_000_000.0))
-
-
 def _from_epoch(x) -> F.Column:
     return F.timestamp_micros(F.round(x * F.lit(1_000_000.0)).cast("bigint"))
 
@@ -53,56 +48,38 @@ def parse_ledger_json(texts: DataFrame, col: str = "value") -> tuple[DataFrame,
     return rows, bad_docs.unionByName(bad_entries)
 
 
-def read_ledger(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Read a ledger file (or a folder of shards); a missing path is an empty ledger."""
+def _read(spark: SparkSession, path: str, wholetext: bool) -> tuple[DataFrame, DataFrame]:
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(fs_path):
         empty = spark.createDataFrame([], LEDGER)
         return empty, spark.createDataFrame([], "source string, raw string, reason string")
-    texts = spark.read.text(path, wholetext=True)
-    return parse_ledger_json(texts)
-
-
-def _json_str(col) -> F.Column:
-    """JSON string literal (quotes, backslashes and control characters escaped)."""
-    esc = F.regexp_replace(F.regexp_replace(col, r"\\", r"\\\\"), '"', '\\\\"')
-    esc = F.regexp_replace(F.regexp_replace(F.regexp_replace(esc, "\n", "\\\\n"), "\r", "\\\\r"), "\t", "\\\\t")
-    return F.concat(F.lit('"'), esc, F.lit('"'))
+    return parse_ledger_json(spark.read.text(path, wholetext=wholetext))
 
 
-def _json_num(ts) -> F.Column:
-    return F.format_string("%.6f", _epoch(ts))
-
+def read_ledger(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Read an exported ledger (file or folder, one object per line) as ``(rows, quarantine)``.
 
-def ledger_entry_json(ledger: DataFrame) -> DataFrame:
-    """``(file_path, entry)`` where entry is ``"path": {...}`` in the ledger JSON format."""
-    body = F.concat(
-        F.lit('{"file_path": '), _json_str(F.col("file_path")),
-        F.lit(', "last_modified": '), _json_num(F.col("last_modified")),
-        F.lit(', "ingested_at": '), _json_num(F.col("ingested_at")),
-        F.lit(', "status": '), _json_str(F.col("status")),
-        F.lit(', "error_message": '),
-        F.coalesce(_json_str(F.col("error_message")), F.lit("null")),
-        F.lit("}"))
-    return ledger.select("file_path", F.concat(_json_str(F.col("file_path")), F.lit(": "), body).alias("entry"))
+    A damaged line is quarantined alone; a missing path is an empty ledger.
+    """
+    return _read(spark, path, wholetext=False)
 
 
-def shard_of(path, shards: int) -> F.Column:
-    """Ledger shard of a path: first 8 hex digits of md5, modulo the shard count."""
-    return F.pmod(F.conv(F.substring(F.md5(path), 1, 8), 16, 10).cast("bigint"), F.lit(shards))
+def read_ledger_object(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Read the classic form: one JSON object over the whole file."""
+    return _read(spark, path, wholetext=True)
 
 
-def export_ledger(ledger: DataFrame, shards: int = 1) -> DataFrame:
-    """``(shard, n_files, json)``: one JSON object per shard, entries sorted by path."""
-    e = ledger_entry_json(ledger).withColumn("shard", shard_of(F.col("file_path"), shards))
-    packed = e.groupBy("shard").agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.array_sort(F.collect_list(F.struct("file_path", "entry"))).alias("_e"))
-    return packed.select(
-        F.col("shard").cast("bigint").alias("shard"), F.col("n_files").cast("bigint").alias("n_files"),
-        F.concat(F.lit("{"), F.array_join(F.transform("_e", lambda x: x["entry"]), ", "), F.lit("}")).alias("json"))
+def export_ledger(ledger: DataFrame) -> DataFrame:
+    """``(file_path, json)``: each row of the ledger as a one-line object keyed by its path.
 
+    Rows without a path have no key in this form and are left out.
+    """
+    seconds = {c: (F.unix_micros(c) / F.lit(1_000_000)).cast("decimal(18,6)").alias(c)
+               for c in ("last_modified", "ingested_at")}
+    entry = F.struct(*[seconds.get(c, F.col(c)) for c in LEDGER_COLS])
+    return ledger.filter(F.col("file_path").isNotNull()).select(
+        "file_path", F.to_json(F.create_map("file_path", entry), {"ignoreNullFields": "false"}).alias("json"))
 
 
 def change_detect(listing: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -148,13 +125,9 @@ def ledger_durations(history: DataFrame) -> DataFrame:
     """Seconds between consecutive ledger writes of the same file, rounded half-up to
     2 places in exact integer arithmetic (microseconds -> centiseconds).
 
-    The previous write is found by a skew-safe rank within the file and an
-    equi-join on ``(file, rank)``, so a file written very often is not one task.
+    Writes of one instant follow ``seq``; only the narrow projection is sorted.
     """
-    from quarry.operators.ordinal import previous, rank_within
-    h = history.select("file_path", "ingested_at", "status", "seq")
-    ranked = rank_within(h, "file_path", ["ingested_at", "seq"], out="_r")
-    p = previous(ranked, "file_path", "_r", ["ingested_at"])
-    us = F.unix_micros(F.col("ingested_at")) - F.unix_micros(F.col("prev_ingested_at"))
+    w = Window.partitionBy("file_path").orderBy("ingested_at", "seq")
+    us = F.unix_micros("ingested_at") - F.unix_micros(F.lag("ingested_at").over(w))
     centis = F.floor((us + F.lit(5000)) / F.lit(10000))
-    return p.select("file_path", "ingested_at", "status", (centis / F.lit(100.0)).alias("elapsed_s"))
+    return history.select("file_path", "ingested_at", "status", (centis / F.lit(100.0)).alias("elapsed_s"))

@@ -48,20 +48,18 @@ def read_state_ledger(spark: SparkSession, state: str) -> DataFrame:
 
 
 def import_ledger(spark: SparkSession, json_path: str, state: str) -> DataFrame:
-    """Bring a JSON ledger (single object keyed by path, or shards) into the state.
+    """Bring a JSON ledger (one object keyed by path over the whole file) into the state.
 
     Returns the quarantine rows; an unparseable file contributes no ledger rows.
     """
-    rows, bad = L.read_ledger(spark, json_path)
+    rows, bad = L.read_ledger_object(spark, json_path)
     VT.write_version(spark, f"{state}/ledger", C.LEDGER, "file_path", LEDGER_BUCKETS, changed=rows)
     return bad
 
 
-def export_ledger_json(spark: SparkSession, state: str, path: str, entries_per_shard: int = 50_000) -> None:
-    """Write the ledger as JSON objects keyed by path (one object per shard line)."""
-    led = read_state_ledger(spark, state)
-    shards = max(1, -(-led.count() // entries_per_shard))
-    L.export_ledger(led, shards).select("json").write.mode("errorifexists").text(path)
+def export_ledger_json(spark: SparkSession, state: str, path: str) -> None:
+    """Write the ledger as JSON, one object keyed by its path per line."""
+    L.export_ledger(read_state_ledger(spark, state)).select("json").write.mode("errorifexists").text(path)
 
 
 def pdf_unavailable(files: DataFrame) -> DataFrame:
@@ -91,13 +89,14 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     out = ingest(listing, ledger, load, index, embed=embed, now=now, materialize=materialize)
     out["status"].write.mode("errorifexists").parquet(f"{run_dir}/status")
     status = spark.read.parquet(f"{run_dir}/status")
+    emptied = status.filter(F.col("status").isin(C.STATUS_SKIPPED_EMPTY, C.STATUS_SKIPPED_NO_CHUNKS)).select("source_file")
     new_points = _with_vector(out["points"]).select(*POINT_COLS)
     changes = out["changes"]
     gone = changes.filter(F.col("reason") == "missing").select("file_path")
     gone_files = gone.select(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("source_file"))
-    # index: successful files are replaced, missing files are purged
+    # index: successful files are replaced, missing and emptied files are purged
     VT.write_version(spark, f"{state}/index", C.POINTS, "source_file", INDEX_BUCKETS,
-                     changed=new_points, removed=gone_files)
+                     changed=new_points, removed=gone_files.unionByName(emptied))
     # ledger: one new row per processed path (from the written status), missing paths dropped
     todo = L.files_to_ingest(changes).select("file_path", F.col("mtime").alias("last_modified"))
     rows = (todo.withColumn("source_file", F.regexp_extract("file_path", r"([^/]+)$", 1))

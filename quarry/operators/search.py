@@ -15,7 +15,7 @@ HIT_PAYLOAD = ["source_file", "page_number", "chunk_index", "text"]
 
 def lexical_retrieve(chunks: DataFrame, queries: DataFrame, k: int = TOP_K,
                      threshold: float = SCORE_THRESHOLD, dim: int = LEXICAL_DIM,
-                     method: str = "md5") -> DataFrame:
+                     method: str = "md5", decimals: int | None = None) -> DataFrame:
     """Hits ``(query_id, rank, score, point_id, source_file, page_number, chunk_index, text)``.
 
     The query text is embedded with the same function as the chunks (symmetric).
@@ -23,14 +23,14 @@ def lexical_retrieve(chunks: DataFrame, queries: DataFrame, k: int = TOP_K,
     q = normalise_queries(queries).select("query_id", token_dims("text", dim, method).alias("vector"))
     pts = chunks.select("point_id", *HIT_PAYLOAD, token_dims("text", dim, method).alias("vector"))
     hits = topk(pts, q, encoding=Encoding("bag", dim), k=k, threshold=threshold,
-                point_key="point_id", payload=HIT_PAYLOAD)
+                point_key="point_id", payload=HIT_PAYLOAD, decimals=decimals)
     return hits.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
 
 
 def dense_retrieve(points: DataFrame, queries: DataFrame, dim: int, k: int = TOP_K,
                    threshold: float = SCORE_THRESHOLD, point_key: str = "point_id",
                    payload: list[str] | None = None, exclude_self: bool = False,
-                   final: str = "window") -> DataFrame:
+                   decimals: int | None = None) -> DataFrame:
     """Cosine top-k over dense ``vector`` columns (points and queries)."""
     return topk(points, queries, encoding=Encoding("dense", dim), k=k, threshold=threshold,
-                point_key=point_key, payload=payload, exclude_self=exclude_self, final=final)
+                point_key=point_key, payload=payload, exclude_self=exclude_self, decimals=decimals)

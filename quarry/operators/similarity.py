@@ -31,15 +31,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.config import MAX_BROADCAST_QUERY_BYTES, SCORE_DECIMALS, TOP_K
-from quarry.operators.common import estimated_partitions
+from quarry.config import MAX_BROADCAST_QUERY_BYTES, TOP_K
 
 # Cap on the score matrix held at once inside a task (rows x queries x 8 bytes).
 _SCORE_BLOCK_BYTES = 32 * 1024 * 1024
 # Cap on the dense point matrix built from one slice of an Arrow batch (rows x dim x 8).
 _POINT_BLOCK_BYTES = 64 * 1024 * 1024
-# Input partitions whose per-query candidate lists one final task may merge.
-_PARTITIONS_PER_SALT = 64
 
 
 @dataclass(frozen=True)
@@ -245,13 +242,13 @@ def _query_tables(queries: DataFrame, enc: Encoding, query_key: str, max_bytes:
 def topk(points: DataFrame, queries: DataFrame, *, encoding: Encoding, k: int = TOP_K,
          threshold: float = 0.0, point_key: str = "point_id", vec: str = "vector",
          query_key: str = "query_id", qvec: str = "vector", payload: list[str] | None = None,
-         decimals: int | None = SCORE_DECIMALS, exclude_self: bool = False,
+         decimals: int | None = None, exclude_self: bool = False,
          list_col: str | None = None, probe_col: str | None = None, n_lists: int | None = None,
-         max_query_bytes: int = MAX_BROADCAST_QUERY_BYTES, final: str = "window") -> DataFrame:
+         max_query_bytes: int = MAX_BROADCAST_QUERY_BYTES) -> DataFrame:
     """Top-``k`` points per query with ``score >= threshold``.
 
-    Returns ``(query_id, rank, score, <point_key>, *payload)``.  ``final='order'``
-    (single query) finishes with ``orderBy().limit()`` i.e. ``TakeOrderedAndProject``.
+    Returns ``(query_id, rank, score, <point_key>, *payload)``.  Points are ranked on full
+    precision; ``decimals`` rounds scores first (for reports that another engine must repeat).
     """
     payload = [c for c in (payload or []) if c != point_key]
     spark = points.sparkSession
@@ -273,19 +270,9 @@ def topk(points: DataFrame, queries: DataFrame, *, encoding: Encoding, k: int =
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
-    if final == "order":
-        ranked = cands.orderBy(F.desc("score"), F.asc(point_key)).limit(k)
-        return ranked.withColumn("rank", F.row_number().over(
-            Window.orderBy(F.desc("score"), F.asc(point_key))).cast("bigint")) \
-            .select("query_id", "rank", "score", point_key, *payload)
+    # a task hands on k candidates per query at most, and the window's group limit cuts
+    # them again before the shuffle
     order = [F.desc("score"), F.asc(point_key)]
-    # Level 1 (only when the scan has many partitions): top-k per (query, salt) so
-    # no single task receives one candidate list per input partition.
-    salts = max(1, estimated_partitions(pts) // _PARTITIONS_PER_SALT)
-    if salts > 1:
-        salt = F.pmod(F.xxhash64(F.col(point_key)), F.lit(salts))
-        w1 = Window.partitionBy("query_id", salt).orderBy(*order)
-        cands = cands.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_r1")
     w = Window.partitionBy("query_id").orderBy(*order)
     return (cands.withColumn("rank", F.row_number().over(w).cast("bigint"))
                  .filter(F.col("rank") <= k)

@@ -279,16 +279,21 @@ def q_chunks_per_file(spark, d):
 
 
 @register("point_ids", sql=f"""
-WITH s AS ({O.conversation_sections()})
-SELECT source_file, section_no AS page_number, {O.point_key('source_file', 'section_no', '0')} AS point_key,
-       {O.point_id(O.point_key('source_file', 'section_no', '0'))} AS point_id
-FROM s
+WITH s AS ({O.conversation_sections()}),
+k AS (SELECT source_file, section_no AS page_number, 0::BIGINT AS chunk_index FROM s
+      UNION ALL SELECT 'doc_' || doc_id || '.txt', NULL, i FROM documents, (SELECT unnest([0, 1, 2])::BIGINT AS i) n)
+SELECT source_file, page_number, chunk_index, {O.point_key('source_file', 'page_number', 'chunk_index')} AS point_key,
+       {O.point_id(O.point_key('source_file', 'page_number', 'chunk_index'))} AS point_id
+FROM k
 """, ids=("point_id",))
 def q_point_ids(spark, d):
-    s = _conv_sections(spark, d)
-    key = point_key("source_file", "section_no", F.lit(0))
-    return s.select("source_file", F.col("section_no").alias("page_number"), key.alias("point_key"),
-                    hash_u64(key).alias("point_id"))
+    """Ids of paged sections and of page-less chunks."""
+    zero = F.lit(0).cast("bigint")
+    paged = _conv_sections(spark, d).select("source_file", F.col("section_no").alias("page_number"), zero.alias("chunk_index"))
+    plain = _doc_sections(spark, d).select("source_file", F.lit(None).cast("bigint").alias("page_number"),
+                                           F.explode(F.sequence(zero, F.lit(2).cast("bigint"))).alias("chunk_index"))
+    key = point_key("source_file", "page_number", F.col("chunk_index"))
+    return paged.unionByName(plain).withColumn("point_key", key).withColumn("point_id", hash_u64(F.col("point_key")))
 
 
 @register("point_payload", sql=DOC_CHUNKS + """
@@ -328,16 +333,20 @@ def q_payload_map(spark, d):
 @register("attach_vectors", sql=f"""
 SELECT d.doc_id, 'doc_' || d.doc_id || '.txt' AS source_file, e.label,
        len(e.embedding)::BIGINT AS dim,
-       round(sqrt(list_sum(list_transform(e.embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm
-FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id
+       round(sqrt(list_sum(list_transform(e.embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm,
+       CASE WHEN e.embedding IS NULL THEN 'no_vector' ELSE 'attached' END AS status
+FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id
 """)
 def q_attach_vectors(spark, d):
+    """Every document, with its vector or the report that it has none."""
     docs = _t(spark, d, "documents").select("doc_id")
     emb = IX.check_dim(_t(spark, d, "embeddings"), DENSE_DIM, vec="embedding")
-    j = docs.join(emb, docs.doc_id == emb.vec_id)
+    j = docs.join(emb, docs.doc_id == emb.vec_id, "left")
+    has = F.col("embedding").isNotNull()
     return j.select("doc_id", F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("source_file"),
-                    "label", F.size("embedding").cast("bigint").alias("dim"),
-                    F.round(V.l2_norm("embedding"), 6).alias("norm"))
+                    "label", F.when(has, F.size("embedding").cast("bigint")).alias("dim"),
+                    F.round(V.l2_norm("embedding"), 6).alias("norm"),
+                    F.when(has, F.lit("attached")).otherwise(F.lit("no_vector")).alias("status"))
 
 
 @register("normalise_vectors", sql="""
@@ -387,7 +396,7 @@ SELECT query_id, rnk::BIGINT AS rank, score, point_id, label FROM r WHERE rnk <=
 """)
 def q_vector_topk(spark, d):
     return dense_retrieve(_dense_points(spark, d), _dense_queries(spark, d), DENSE_DIM, k=K,
-                          threshold=DENSE_T, payload=["label"], exclude_self=True)
+                          threshold=DENSE_T, payload=["label"], exclude_self=True, decimals=C.SCORE_DECIMALS)
 
 
 @register("vector_preview", sql=f"""
@@ -408,7 +417,7 @@ FROM r WHERE rnk <= {K}
 def q_vector_preview(spark, d):
     """Hit preview for dense hits: first five vector elements and the width."""
     hits = dense_retrieve(_dense_points(spark, d), _dense_queries(spark, d), DENSE_DIM, k=K,
-                          threshold=DENSE_T, payload=["vector"], exclude_self=True)
+                          threshold=DENSE_T, payload=["vector"], exclude_self=True, decimals=C.SCORE_DECIMALS)
     head = V.head("vector", 5)
     return hits.select("query_id", "rank", "point_id",
                        *[F.round(head[i].cast("double"), 6).alias(f"x{i + 1}") for i in range(5)],
@@ -429,10 +438,10 @@ SELECT 0::BIGINT AS query_id, (row_number() OVER (ORDER BY round(s, 6) DESC, poi
 FROM s ORDER BY round(s, 6) DESC, point_id LIMIT {K}
 """)
 def q_single_query_topk(spark, d):
-    """One question: the collection's mean direction; top-k via TakeOrderedAndProject."""
+    """One question: the collection's mean direction."""
     pts = _dense_points(spark, d)
     q = mean_vectors(pts.withColumn("query_id", F.lit(0).cast("bigint")), "query_id")
-    return dense_retrieve(pts, q, DENSE_DIM, k=K, threshold=-1.0, payload=["label"], final="order")
+    return dense_retrieve(pts, q, DENSE_DIM, k=K, threshold=-1.0, payload=["label"], decimals=C.SCORE_DECIMALS)
 
 
 @register("ivf_topk", sql=f"""
@@ -461,7 +470,7 @@ def q_ivf_topk(spark, d):
     pts = _dense_points(spark, d)
     cents = mean_vectors(pts, "label").withColumnRenamed("label", "list_id")
     return ivf_topk(pts, _dense_queries(spark, d), cents, DENSE_DIM, nprobe=IVF_NPROBE, k=K,
-                    threshold=DENSE_T, payload=["label"], exclude_self=True)
+                    threshold=DENSE_T, payload=["label"], exclude_self=True, decimals=C.SCORE_DECIMALS)
 
 
 @register("ivf_recall", sql=f"""
@@ -482,7 +491,7 @@ def q_ivf_recall(spark, d):
 
 @register("lexical_topk", sql=DOC_CHUNKS + _lexical_hits_ctes() + "\nSELECT * FROM hits", ids=("point_id",))
 def q_lexical_topk(spark, d):
-    return lexical_retrieve(_doc_chunks(spark, d), _queries(spark, d), k=K, threshold=LEX_T)
+    return lexical_retrieve(_doc_chunks(spark, d), _queries(spark, d), k=K, threshold=LEX_T, decimals=C.SCORE_DECIMALS)
 
 
 @register("hit_preview", sql=DOC_CHUNKS + _lexical_hits_ctes() + """
@@ -491,7 +500,7 @@ SELECT h.query_id, h.rank, h.point_id, substring(q.text, 1, 50) AS query_preview
 FROM hits h JOIN qn q ON q.query_id = h.query_id""", ids=("point_id",))
 def q_hit_preview(spark, d):
     q = normalise_queries(_queries(spark, d))
-    hits = lexical_retrieve(_doc_chunks(spark, d), _queries(spark, d), k=K, threshold=LEX_T)
+    hits = lexical_retrieve(_doc_chunks(spark, d), _queries(spark, d), k=K, threshold=LEX_T, decimals=C.SCORE_DECIMALS)
     return hits.join(q.select("query_id", F.col("text").alias("qtext")), "query_id").select(
         "query_id", "rank", "point_id", preview("qtext", 50).alias("query_preview"),
         preview("text", 100).alias("text_preview"), F.length("text").cast("bigint").alias("text_length"))
@@ -522,7 +531,7 @@ FROM qn q LEFT JOIN agg a ON a.query_id = q.query_id"""
 def q_build_prompts(spark, d):
     chunks = _doc_chunks(spark, d)
     q = normalise_queries(_queries(spark, d))
-    hits = lexical_retrieve(chunks, q, k=K, threshold=LEX_T)
+    hits = lexical_retrieve(chunks, q, k=K, threshold=LEX_T, decimals=C.SCORE_DECIMALS)
     return build_prompts(q, hits)
 
 
@@ -589,6 +598,18 @@ def q_collection_stats(spark, d):
     return IX.collection_stats(_all_chunks(spark, d), vec=None, length="text_length")
 
 
+@register("filter_by_payload", sql=DOC_CHUNKS + """
+SELECT point_id, source_file, chunk_index, text_length FROM chunks
+WHERE source_file = (SELECT max('doc_' || doc_id || '.txt') FROM documents)""", ids=("point_id",))
+def q_filter_by_payload(spark, d):
+    """The points of one file, from a stored collection: the equality reaches the Parquet scan."""
+    from quarry.session import scratch_dir
+    path = scratch_dir(spark, "points")
+    _doc_chunks(spark, d).select("point_id", "source_file", "chunk_index", "text_length").write.parquet(path)
+    name = _t(spark, d, "documents").agg(F.max(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))).first()[0]
+    return IX.filter_by_file(spark.read.parquet(path), name)
+
+
 @register("filter_by_file", sql=DOC_CHUNKS + """
 SELECT point_id, source_file, chunk_index, text_length FROM chunks
 WHERE source_file IN (SELECT 'doc_' || doc_id || '.txt' FROM labels WHERE quality = 1)""", ids=("point_id",))

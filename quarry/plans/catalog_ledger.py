@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from quarry import config as C
@@ -18,7 +16,6 @@ from quarry.session import scratch_dir
 from quarry.sources import tables as TB
 
 CUT = TB.HISTORY_CUTOFF
-ENTRIES_PER_SHARD = 50_000
 
 # ---------------------------------------------------------------- SQL pieces
 _STATUS = ("CASE WHEN event_type = 'error' THEN 'failed' WHEN event_type = 'signup' THEN 'skipped_empty' "
@@ -50,7 +47,16 @@ changes AS (
               WHEN li.mtime > le.last_modified THEN 'modified'
               ELSE 'unchanged' END AS reason
   FROM listing li FULL OUTER JOIN ledger le ON li.file_path = le.file_path)"""
-UPSERTED = f"""{LEDGER_CTES},
+EARLY = _rows_sql(f"ts < TIMESTAMP '{CUT}'")
+ALL_ROWS = _rows_sql("true")
+
+
+def _last_sql(rows: str) -> str:
+    return f"""SELECT file_path, last_modified, ingested_at, status, error_message FROM (
+   SELECT *, row_number() OVER (PARTITION BY file_path ORDER BY ingested_at DESC, seq DESC) AS r FROM ({rows}) h) x WHERE r = 1"""
+
+
+UPSERTED = f"""ledger AS ({_last_sql(EARLY)}),
 upd AS ({UPD}),
 both_ AS (SELECT file_path, last_modified, ingested_at, status, error_message, 0 AS src, 0::BIGINT AS seq FROM ledger
           UNION ALL SELECT file_path, last_modified, ingested_at, status, error_message, 1 AS src, seq FROM upd),
@@ -59,25 +65,35 @@ upserted AS (SELECT file_path, last_modified, ingested_at, status, error_message
    WHERE r = 1)"""
 
 
-def _json_str_sql(x: str) -> str:
-    e = f"replace(replace({x}, '\\', '\\\\'), '\"', '\\\"')"
-    e = f"replace(replace(replace({e}, chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t')"
-    return f"('\"' || {e} || '\"')"
+def _seconds_sql(ts: str) -> str:
+    return f"(epoch_us({ts}) / 1000000)::DECIMAL(18,6)::VARCHAR"
 
 
-def _num_sql(ts: str) -> str:
-    return f"printf('%.6f', epoch_us({ts}) / 1000000.0)"
+def _json_sql(text: str) -> str:
+    return f"coalesce(to_json({text})::VARCHAR, 'null')"
 
 
-ENTRY_SQL = (f"{_json_str_sql('file_path')} || ': {{\"file_path\": ' || {_json_str_sql('file_path')} || "
-             f"', \"last_modified\": ' || {_num_sql('last_modified')} || "
-             f"', \"ingested_at\": ' || {_num_sql('ingested_at')} || "
-             f"', \"status\": ' || {_json_str_sql('status')} || "
-             f"', \"error_message\": ' || coalesce({_json_str_sql('error_message')}, 'null') || '}}'")
+EXPORT_SQL = f"""SELECT file_path, '{{' || {_json_sql('file_path')} || ':{{"file_path":' || {_json_sql('file_path')}
+    || ',"last_modified":' || {_seconds_sql('last_modified')} || ',"ingested_at":' || {_seconds_sql('ingested_at')}
+    || ',"status":' || {_json_sql('status')} || ',"error_message":' || {_json_sql('error_message')} || '}}}}' AS json FROM ledger"""
+
+
+def _fold(spark, rows):
+    return L.upsert_ledger(spark.createDataFrame([], C.LEDGER), rows)
 
 
 def _spark_ledger(spark, d):
-    return L.upsert_ledger(spark.createDataFrame([], C.LEDGER), TB.ledger_history(_t(spark, d, "events")))
+    """The ledger that the change-detection cases are made from."""
+    return _fold(spark, TB.ledger_history(_t(spark, d, "events")))
+
+
+def _early_ledger(spark, d):
+    ev = _t(spark, d, "events")
+    return _fold(spark, TB.ledger_rows(ev.filter(F.col("ts") < F.lit(CUT).cast("timestamp"))))
+
+
+def _whole_ledger(spark, d):
+    return _fold(spark, TB.ledger_rows(_t(spark, d, "events")))
 
 
 # ---------------------------------------------------------------- ledger
@@ -102,35 +118,37 @@ def q_missing_files(spark, d):
     return L.missing_files(TB.file_listing(ev), _spark_ledger(spark, d))
 
 
-@register("ledger_export", sql=f"""WITH {LEDGER_CTES},
-nshard AS (SELECT greatest(1, ceil(count(*) / {ENTRIES_PER_SHARD}))::BIGINT AS s FROM ledger),
-e AS (SELECT file_path, {ENTRY_SQL} AS entry,
-             (('0x' || substr(md5(file_path), 1, 8))::BIGINT % (SELECT s FROM nshard))::BIGINT AS shard FROM ledger)
-SELECT shard, count(*)::BIGINT AS n_files, '{{' || string_agg(entry, ', ' ORDER BY file_path) || '}}' AS json
-FROM e GROUP BY shard""")
+@register("ledger_export", sql=f"WITH ledger AS ({_last_sql(ALL_ROWS)})\n{EXPORT_SQL}")
 def q_ledger_export(spark, d):
-    led = _spark_ledger(spark, d)
-    return _export(led)
-
+    return L.export_ledger(_whole_ledger(spark, d))
 
-def _export(led):
-    return L.export_ledger(led, max(1, math.ceil(led.count() / ENTRIES_PER_SHARD)))
 
-
-@register("ledger_load", sql=f"WITH {LEDGER_CTES}\nSELECT * FROM ledger")
+@register("ledger_load", sql=_last_sql(ALL_ROWS))
 def q_ledger_load(spark, d):
-    """Export the ledger as JSON shards, write them, read them back and parse."""
-    led = _spark_ledger(spark, d)
+    """Export the ledger one entry per line, write it, read it back and parse."""
     path = scratch_dir(spark, "ledger-json")
-    _export(led).select("json").write.text(path)
-    rows, _bad = L.parse_ledger_json(spark.read.text(path))
+    L.export_ledger(_whole_ledger(spark, d)).select("json").write.text(path)
+    rows, _bad = L.read_ledger(spark, path)
     return rows
 
 
+@register("ledger_quarantine", sql=f"""WITH ledger AS ({_last_sql(ALL_ROWS)}), lines AS ({EXPORT_SQL})
+SELECT 'ledger' AS source, substring(json, 1, length(json) // 2) AS raw, 'unparseable ledger JSON' AS reason
+FROM lines WHERE length(file_path) % 2 = 0""")
+def q_ledger_quarantine(spark, d):
+    """Lines cut off in the middle are quarantined one by one; the rest of the ledger loads."""
+    path = scratch_dir(spark, "ledger-damaged")
+    lines = L.export_ledger(_whole_ledger(spark, d))
+    cut = F.length("file_path") % 2 == 0
+    lines.select(F.when(cut, F.expr("substring(json, 1, length(json) div 2)")).otherwise(F.col("json"))).write.text(path)
+    _rows, bad = L.read_ledger(spark, path)
+    return bad
+
+
 @register("ledger_upsert", sql=f"WITH {UPSERTED}\nSELECT * FROM upserted")
 def q_ledger_upsert(spark, d):
     ev = _t(spark, d, "events")
-    return L.upsert_ledger(_spark_ledger(spark, d), TB.ledger_updates(ev))
+    return L.upsert_ledger(_early_ledger(spark, d), TB.ledger_updates(ev))
 
 
 @register("ledger_summary", sql=f"""WITH {UPSERTED}
@@ -140,13 +158,13 @@ def q_ledger_summary(spark, d):
         "status", F.col("n_files").cast("bigint").alias("n_files"), "last_ingested_at")
 
 
-@register("ledger_durations", sql=f"""WITH h AS ({HIST}),
+@register("ledger_durations", sql=f"""WITH h AS ({ALL_ROWS}),
 g AS (SELECT file_path, ingested_at, status,
              epoch_us(ingested_at) - epoch_us(lag(ingested_at) OVER (PARTITION BY file_path ORDER BY ingested_at, seq)) AS us
       FROM h)
 SELECT file_path, ingested_at, status, ((us + 5000) // 10000) / 100.0 AS elapsed_s FROM g""")
 def q_ledger_durations(spark, d):
-    return L.ledger_durations(TB.ledger_history(_t(spark, d, "events")))
+    return L.ledger_durations(TB.ledger_rows(_t(spark, d, "events")))
 
 
 # ---------------------------------------------------------------- status and ingest
@@ -234,13 +252,8 @@ def q_stream_ingest(spark, d):
     src = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
            .option("maxFilesPerTrigger", 1).parquet(d))
 
-    def to_rows(batch):
-        hist = TB.ledger_history(batch)
-        upd = TB.ledger_updates(batch)
-        return hist.unionByName(upd)
-
     base = scratch_dir(spark, "ledger-stream")
-    stream_ledger(spark, src, to_rows, base + "/table", base + "/_checkpoint")
+    stream_ledger(spark, src, TB.ledger_rows, base + "/table", base + "/_checkpoint")
     return read_ledger(spark, base + "/table")
 
 

@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.config import STATUS_FAILED, STATUS_SKIPPED_EMPTY, STATUS_SUCCESS, MSG_EMPTY
@@ -52,12 +52,12 @@ def document_sections(documents: DataFrame) -> DataFrame:
 def conversation_sections(conversations: DataFrame) -> DataFrame:
     """Turns become pages of ``conv_<id>.pdf``: numbered 1.. by turn, counted per file.
 
-    Numbering is skew-safe (``rank_within``): one very long conversation is spread
-    over several tasks instead of one window partition.
+    Turns that share a number follow their text; a missing number comes first.
     """
-    from quarry.operators.ordinal import rank_within
-    ranked = rank_within(conversations.select("conv_id", "turn", "text"), "conv_id", ["turn"],
-                         out="section_no", size_out="n_sections")
+    by_turn = Window.partitionBy("conv_id").orderBy("turn", "text")
+    ranked = conversations.select(
+        "conv_id", "text", F.row_number().over(by_turn).alias("section_no"),
+        F.count(F.lit(1)).over(Window.partitionBy("conv_id")).alias("n_sections"))
     name = F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit(".pdf"))
     return ranked.select(
         name.alias("source_file"), name.alias("file_path"), F.lit("pdf").alias("file_type"),
@@ -88,7 +88,7 @@ def _error_of(event_type="event_type", event_id="event_id"):
              .when(et == "signup", F.lit(MSG_EMPTY)))
 
 
-def _ledger_rows(events: DataFrame) -> DataFrame:
+def ledger_rows(events: DataFrame) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     return events.select(
         user_file().alias("file_path"),
@@ -98,14 +98,15 @@ def _ledger_rows(events: DataFrame) -> DataFrame:
 
 
 def ledger_history(events: DataFrame) -> DataFrame:
-    """Every ledger write before the cut-off (files of users not divisible by 5)."""
+    """Ledger writes before the cut-off, but for the files of every fifth user: the
+    change-detection queries need files that the ledger does not know."""
     h = events.filter((F.col("ts") < F.lit(HISTORY_CUTOFF).cast("timestamp")) & (F.pmod("user_id", F.lit(5)) != 0))
-    return _ledger_rows(h)
+    return ledger_rows(h)
 
 
 def ledger_updates(events: DataFrame) -> DataFrame:
     """Ledger writes after the cut-off (all users)."""
-    return _ledger_rows(events.filter(F.col("ts") >= F.lit(HISTORY_CUTOFF).cast("timestamp")))
+    return ledger_rows(events.filter(F.col("ts") >= F.lit(HISTORY_CUTOFF).cast("timestamp")))
 
 
 def file_listing(events: DataFrame) -> DataFrame:

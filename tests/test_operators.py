@@ -62,7 +62,7 @@ def test_ledger_json_round_trip_and_change_reasons(spark):
     led = spark.createDataFrame(
         [("/d/a.txt", t, t, "success", None), ("/d/b.txt", t, t, "failed", 'bad "quote"\\'),
          ("/d/gone.txt", t, t, "success", None), ("/d/c.txt", t, t, "success", None)], C.LEDGER)
-    text = L.export_ledger(led, 1).select(F.col("json").alias("value"))
+    text = L.export_ledger(led).select(F.col("json").alias("value"))
     rows, bad = L.parse_ledger_json(text)
     assert bad.count() == 0
     assert sorted(rows.collect()) == sorted(led.collect())
@@ -83,21 +83,67 @@ def test_ledger_upsert_last_write_wins(spark):
     assert got == {"/a": "success", "/b": "success"}
 
 
-def test_rank_within_matches_row_number_with_hot_key(spark):
-    from pyspark.sql import Window
-    from quarry.operators.ordinal import previous, rank_within
-    rows = [(0, i, f"t{i}") for i in range(3000)] + [(k, i, "x") for k in range(1, 200) for i in range(5)]
-    df = spark.createDataFrame(rows, "g bigint, o bigint, v string")
-    got = rank_within(df, "g", ["o"], out="r", size_out="n", partitions=16)
-    w = Window.partitionBy("g").orderBy("o")
-    ref = df.withColumn("r", F.row_number().over(w)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
-    cols = ["g", "o", "v", "r", "n"]
-    assert sorted(got.select(*cols).collect()) == sorted(ref.select(*cols).collect())
-    # the hot key really is spread over several partitions
-    parts = got.filter("g = 0").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert parts >= 1
-    lagged = previous(got, "g", "r", ["o"])
-    assert lagged.filter("g = 0 and r = 10").first().prev_o == 8
+def test_section_numbers_with_repeated_and_missing_turns(spark):
+    from quarry.sources.tables import conversation_sections
+    rows = [(1, 2, "b"), (1, 1, "a"), (1, 2, "a2"), (1, None, "n"), (2, 1, None), (2, 1, "x"), (3, 5, "only")]
+    got = conversation_sections(spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string")).collect()
+    assert sorted((r.source_file, r.section_no, r.n_sections, r.text or "") for r in got) == [
+        ("conv_1.pdf", 1, 4, "n"), ("conv_1.pdf", 2, 4, "a"), ("conv_1.pdf", 3, 4, "a2"), ("conv_1.pdf", 4, 4, "b"),
+        ("conv_2.pdf", 1, 2, ""), ("conv_2.pdf", 2, 2, "x"), ("conv_3.pdf", 1, 1, "only")]
+
+
+def test_ledger_durations_of_a_hot_file(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("/hot", t + dt.timedelta(milliseconds=1500 * i), "success", i) for i in range(2000)] + [("/one", t, "failed", 0)]
+    got = L.ledger_durations(spark.createDataFrame(rows, "file_path string, ingested_at timestamp, status string, seq bigint"))
+    assert got.filter("elapsed_s = 1.5").count() == 1999 and got.filter("elapsed_s is null").count() == 2
+
+
+def test_ledger_files_survive_odd_paths_and_many_entries(spark, tmp_path):
+    t = dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    odd = ["/q\"uote", "/back\\slash", "/ctrl\u0001\u001f", "/new\nline\ttab", "/ünï"]
+    led = spark.createDataFrame([(p, t, t, "success", p) for p in odd] + [(f"/f{i}", t, t, "success", None) for i in range(300)],
+                                C.LEDGER)
+    path = str(tmp_path / "ledger")
+    lines = L.export_ledger(led)
+    assert lines.count() == 305                        # one line an entry, however many
+    lines.coalesce(2).select("json").write.text(path)
+    rows, bad = L.read_ledger(spark, path)
+    assert bad.count() == 0 and sorted(rows.collect(), key=repr) == sorted(led.collect(), key=repr)
+    (tmp_path / "ledger" / "part-damaged.txt").write_text('{"/x": {"file_pa\n{"/y": {"file_path": "/y", "last_modified": 1.5, '
+                                                           '"ingested_at": 2.5, "status": "failed", "error_message": null}}\n')
+    rows, bad = L.read_ledger(spark, path)
+    assert bad.count() == 1 and rows.count() == 306    # the damaged line alone is lost
+
+
+def test_topk_ranks_on_full_precision_and_answers_every_question(spark):
+    from quarry.operators.search import dense_retrieve
+    pts = spark.createDataFrame([(1, [1.0, 0.001]), (2, [1.0, 0.0009]), (3, [0.0, 1.0])], "point_id bigint, vector array<double>")
+    q = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "query_id bigint, vector array<double>")
+    got = dense_retrieve(pts, q, 2, k=2, threshold=-1.0).collect()
+    assert sorted((r.query_id, r["rank"], r.point_id) for r in got) == [(0, 1, 2), (0, 2, 1), (1, 1, 3), (1, 2, 1)]
+
+
+def test_centroids_beyond_one_block(spark, monkeypatch):
+    import numpy as np
+    from quarry.operators import ann
+    rng = np.random.default_rng(1)
+    cents = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(23)], "list_id bigint, vector array<double>")
+    pts = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(50)], "point_id bigint, vector array<double>")
+    whole = sorted(ann.assign_lists(pts, cents, 4, nprobe=5).collect())
+    monkeypatch.setattr(ann, "CENTROID_BLOCK_BYTES", 3 * 4 * 8)
+    assert sorted(ann.assign_lists(pts, cents, 4, nprobe=5).collect()) == whole
+
+
+def test_chunking_uses_the_sessions_parallelism(spark):
+    from quarry.operators.chunking import chunk_sections
+    from quarry.sources.tables import document_sections
+    docs = spark.createDataFrame([(i, "some text " * 80) for i in range(400)], "doc_id bigint, text string").coalesce(1)
+    plan = chunk_sections(document_sections(docs))._jdf.queryExecution().optimizedPlan().toString()
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    assert f"{n}, " in plan[plan.index("RepartitionByExpression"):].split("\n")[0] or plan.count("RepartitionByExpression") == 1
+    parts = chunk_sections(document_sections(docs)).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts == int(n)
 
 
 def test_ledger_entry_missing_field_is_quarantined(spark):

@@ -35,10 +35,9 @@ def test_scorer_equals_sql_reference(spark):
     assert _rows(fast) == _rows(ref)
 
 
-def test_query_blocks_and_salting_do_not_change_results(spark, monkeypatch):
+def test_query_blocks_do_not_change_results(spark, monkeypatch):
     pts, qs = _emb(spark)
     base = _rows(dense_retrieve(pts, qs, 64, k=3, threshold=0.2, exclude_self=True))
-    monkeypatch.setattr(SIM, "_PARTITIONS_PER_SALT", 1)
     monkeypatch.setattr(SIM, "_SCORE_BLOCK_BYTES", 4096)
     monkeypatch.setattr(SIM, "_POINT_BLOCK_BYTES", 64 * 8 * 7)     # 7-row slices
     blocked = SIM.topk(pts.repartition(5), qs, encoding=SIM.Encoding("dense", 64), k=3, threshold=0.2,
