@@ -3,8 +3,10 @@
 The library splits a text into words before it merges, so the ids of a text are those
 of its pieces in turn, as long as the cuts fall where the library cuts too.  Texts repeat
 their words, so each Python worker keeps the ids of the pieces it has met (a bounded
-number, first come first kept) and asks the library only for new ones.  A text with an
-unusual white space sequence goes to the library whole.
+number, first come first kept) and asks the library only for new ones: a new piece of
+Latin letters and closing punctuation goes straight to the library's merge model, any
+other through its whole chain.  A text with an unusual white space sequence goes to the
+library whole.
 """
 
 from __future__ import annotations
@@ -15,6 +17,18 @@ from functools import lru_cache
 import numpy as np
 
 CACHE_PIECES = 500_000
+CLOSING = ".,;:!?"
+LATIN_END = "\u0250"      # letters below it are single, composed and keep their case pairs
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
+_LETTERS = byte_letters()
 
 
 class _Unusual(Exception):
@@ -39,7 +53,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
         self.encode = {"words": self._words, "spaces": self._spaces, "whole": self.whole}[cut]
-        library = self.whole
+        self.model = self.tokenizer.model
+        self._lower = cut == "words"
+        self._tails: dict[str, list[int]] = {"": []}
+        piece_ids = self._piece
 
         class Cache(dict):
             def __missing__(self, piece):
@@ -48,9 +65,9 @@ class Encoder:
                     body = piece[1:] if piece[:1] == "\n" else piece
                     if not body or body[0].isspace():
                         raise _Unusual
-                    ids = library(piece if piece[0] == "\n" else " " + piece)
+                    ids = piece_ids("\n", body) if piece[0] == "\n" else piece_ids(" ", body)
                 else:
-                    ids = library(piece)
+                    ids = piece_ids("", piece)
                 if len(self) < cache:
                     self[piece] = ids
                 return ids
@@ -60,6 +77,25 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _piece(self, lead: str, body: str) -> bytes:
+        word = body.rstrip(CLOSING)
+        tail = body[len(word):]
+        if self._lower:
+            word = word.lower()
+        if not word.isalpha() or max(word) >= LATIN_END:
+            return self.whole(lead + body)
+        ids = []
+        if lead == "\n":
+            ids += self._merged("\n")
+            lead = ""
+        ids += self._merged(lead + word)
+        if tail not in self._tails:
+            self._tails[tail] = self._merged(tail)
+        return np.array(ids + self._tails[tail], "<u4").tobytes()
+
+    def _merged(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
+
     def _words(self, text: str) -> bytes:
         # str.split() also cuts at four control characters that the library takes for text
         if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
