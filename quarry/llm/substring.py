@@ -146,7 +146,7 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spans = materialise(repeated_spans(docs, min_words), "spans")
     side = spans.select(F.col("doc").alias("_sd_doc"), F.col("mark").alias("_sd_mark"), F.col("spans").alias("removed_spans"))
     side = F.broadcast(side) if spans.count() <= BROADCAST_ROWS else side
-    joined = docs.join(side, (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col("_sd_doc"))
-                       & (mark(F.col("text").cast("string")) == F.col("_sd_mark")), "left").drop("_sd_doc", "_sd_mark")
+    joined = docs.join(side, (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == side["_sd_doc"])
+                       & (mark(F.col("text").cast("string")) == side["_sd_mark"]), "left").drop(side["_sd_doc"], side["_sd_mark"])
     return joined.withColumn("deduped_text", F.when(F.col("removed_spans").isNull(), F.col("text"))
                              .otherwise(cut_text("text", "removed_spans")))
