@@ -1,7 +1,7 @@
 """Sections -> chunks (the splitter as one Arrow UDF, everything else on the JVM).
 
-Plan shape: scan -> (spread) -> filter blank sections -> Arrow UDF -> posexplode ->
-metadata columns -> point id.  No shuffle beyond the optional spread.
+Plan shape: scan -> filter blank sections -> sections of one chunk on the JVM, longer ones
+spread -> Arrow UDF -> posexplode; then metadata columns -> point id.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.config import CHUNK_OVERLAP, CHUNK_SIZE
 from quarry.functions.hashing import point_id
-from quarry.functions.text import extension, has_text
+from quarry.functions.text import extension, has_text, py_strip
 from quarry.operators.common import spread
 from quarry.operators.splitter import split_text
 
@@ -48,11 +48,12 @@ def chunk_sections(sections: DataFrame, size: int = CHUNK_SIZE, overlap: int = C
     s = (s.select("source_file", "file_type", "section_no", "n_sections", "text")
           .filter(has_text("text"))
           .withColumn("_multi", is_multi_page()))
-    s = spread(s, "source_file", "section_no")
-    exploded = s.select(
-        "source_file", "file_type", "section_no", "_multi",
-        F.posexplode(chunk_udf(size, overlap)(F.col("text"))).alias("chunk_index", "text"),
-    )
+    # a section within one chunk is its own chunk, stripped; only longer ones go through Python
+    cols = ["source_file", "file_type", "section_no", "_multi"]
+    short = s.filter(F.length("text") <= size).select(*cols, F.lit(0).alias("chunk_index"), py_strip("text").alias("text"))
+    long_ = spread(s.filter(F.length("text") > size), "source_file", "section_no").select(
+        *cols, F.posexplode(chunk_udf(size, overlap)(F.col("text"))).alias("chunk_index", "text"))
+    exploded = short.unionByName(long_)
     page = F.when(F.col("_multi"), F.col("section_no").cast("bigint"))
     j = F.col("chunk_index").cast("bigint")
     chunk_id = F.when(

@@ -71,8 +71,13 @@ def pdf_unavailable(files: DataFrame) -> DataFrame:
 
 
 def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders: dict | None = None,
-             embed=None, now=None) -> dict[str, DataFrame]:
-    """One scan over ``folders`` (``{'.pdf': dir, '.txt': dir}``); returns the run's tables."""
+             embed=None, now=None, index_buckets: int = INDEX_BUCKETS,
+             ledger_buckets: int = LEDGER_BUCKETS) -> dict[str, DataFrame]:
+    """One scan over ``folders`` (``{'.pdf': dir, '.txt': dir}``); returns the run's tables.
+
+    The numbers of buckets are properties of the state's tables: choose them when the state is
+    created (so that a bucket holds about a file of Parquet) and keep them.
+    """
     run_dir = f"{state}/runs/{uuid.uuid4().hex[:12]}"
 
     def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -95,7 +100,7 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     gone = changes.filter(F.col("reason") == "missing").select("file_path")
     gone_files = gone.select(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("source_file"))
     # index: successful files are replaced, missing and emptied files are purged
-    VT.write_version(spark, f"{state}/index", C.POINTS, "source_file", INDEX_BUCKETS,
+    VT.write_version(spark, f"{state}/index", C.POINTS, "source_file", index_buckets,
                      changed=new_points, removed=gone_files.unionByName(emptied))
     # ledger: one new row per processed path (from the written status), missing paths dropped
     todo = L.files_to_ingest(changes).select("file_path", F.col("mtime").alias("last_modified"))
@@ -104,7 +109,7 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
                 .select("file_path", "last_modified",
                         (now if now is not None else F.current_timestamp()).alias("ingested_at"),
                         "status", "error_message"))
-    VT.write_version(spark, f"{state}/ledger", C.LEDGER, "file_path", LEDGER_BUCKETS,
+    VT.write_version(spark, f"{state}/ledger", C.LEDGER, "file_path", ledger_buckets,
                      changed=rows, removed=gone)
     return {"changes": changes, "status": status, "points": new_points,
             "index": read_state_index(spark, state), "ledger": read_state_ledger(spark, state)}

@@ -86,6 +86,13 @@ def _split(text: str, cp: np.ndarray, a: int, b: int, seps: tuple[str, ...], siz
         if cand == "" or text.find(cand, a, b) != -1:
             sep, rest = cand, seps[i + 1:]
             break
+    if sep == "" and overlap < size and size > 1:
+        # single characters: frames of ``size`` every ``size - overlap``, nothing listed per character
+        for s in range(a, b, size - overlap):
+            _emit(text, s, min(s + size, b), out)
+            if s + size >= b:
+                break
+        return
     if sep == "":
         starts_np = np.arange(a, b, dtype=np.int64)
     else:

@@ -187,20 +187,16 @@ def q_path_parts(spark, d):
 SELECT doc_id, 'doc_' || doc_id || '.txt' AS source_file, text, length(text)::BIGINT AS n_chars FROM documents
 """)
 def q_scan_text_files(spark, d):
-    """Documents written as one text file per document, then read back as files."""
+    """Documents written as one text file each into one folder, then read back as files."""
     from quarry.session import scratch_dir
-    from quarry.sources.files import read_text_files
+    from quarry.sources.files import read_text_files, write_files
     out = scratch_dir(spark, "docs-as-files")
-    docs = _t(spark, d, "documents").select("doc_id", "text")
-    (docs.repartition(spark.sparkContext.defaultParallelism, "doc_id")
-         .write.partitionBy("doc_id").option("lineSep", "\n").text(out))
-    back = read_text_files(spark, out, recursive=True)
-    doc_id = F.regexp_extract("file_path", r"doc_id=(\d+)", 1).cast("bigint")
-    # the text writer ends every row with one line separator
-    text = F.regexp_replace(F.col("text"), "\n$", "")
-    return back.select(doc_id.alias("doc_id"),
-                       F.concat(F.lit("doc_"), doc_id.cast("string"), F.lit(".txt")).alias("source_file"),
-                       text.alias("text"), F.length(text).cast("bigint").alias("n_chars"))
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    write_files(_t(spark, d, "documents").select(name.alias("name"), F.col("text").alias("content"))
+                .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "name"), out)
+    back = read_text_files(spark, out, suffix=".txt")
+    return back.select(F.regexp_extract("source_file", r"doc_(\d+)", 1).cast("bigint").alias("doc_id"), "source_file", "text",
+                       F.length("text").cast("bigint").alias("n_chars"))
 
 
 @register("scan_sections", sql=f"""

@@ -243,6 +243,63 @@ def q_ingest_scan(spark, d):
         "file_path", "reason", "status", "n_chunks")
 
 
+# Changes between the two scans of ``scan_lifecycle``: some files go, some turn blank, some grow.
+_GONE, _BLANK, _GROWN, _MORE = 13, 11, 7, " and some more words"
+_NEW_TEXT = f"CASE WHEN doc_id % {_BLANK} = 0 THEN '  ' WHEN doc_id % {_GROWN} = 0 THEN text || '{_MORE}' ELSE text END"
+
+
+@register("scan_lifecycle", sql="WITH RECURSIVE " + O.chunk_ctes(
+    f"""SELECT 'doc_' || doc_id || '.txt' AS source_file, 'txt' AS file_type, 1::BIGINT AS section_no, 1::BIGINT AS n_sections,
+               {_NEW_TEXT} AS text FROM documents WHERE doc_id % {_GONE} <> 0
+        UNION ALL SELECT source_file, file_type, section_no, n_sections, text FROM ({O.conversation_sections()}) cs""") + f""",
+c AS (SELECT source_file, count(*)::BIGINT AS n FROM chunks GROUP BY source_file),
+files AS (SELECT 'doc_' || doc_id || '.txt' AS source_file, doc_id % {_GONE} = 0 AS gone,
+                 text IS NOT NULL AND {O.has_text('text')} AS was_ok,
+                 doc_id % {_BLANK} = 0 OR doc_id % {_GROWN} = 0 AS touched FROM documents
+          UNION ALL SELECT 'conv_' || conv_id || '.pdf', false, bool_or({O.has_text('text')}), false FROM conversations GROUP BY conv_id)
+SELECT f.source_file, CASE WHEN gone THEN 'missing' WHEN NOT was_ok THEN 'retry' WHEN touched THEN 'modified' ELSE 'unchanged' END AS reason,
+       CASE WHEN gone THEN NULL WHEN n IS NULL THEN 'skipped_empty' ELSE 'success' END AS status,
+       coalesce(n, 0)::BIGINT AS n_points, CASE WHEN n IS NOT NULL THEN 2::BIGINT END AS dim
+FROM files f LEFT JOIN c ON c.source_file = f.source_file
+UNION ALL SELECT '(cleared)', 'cleared', NULL, 0, NULL""")
+def q_scan_lifecycle(spark, d):
+    """All documents as text files and all conversations as paged files: listed, scanned, changed
+    and scanned again with a user's loader and embedder; then the state is cleared."""
+    from quarry.operators import scan as SC
+    from quarry.sources.files import sections_loader, text_loader, write_files
+    base = scratch_dir(spark, "lifecycle")
+    dirs = {".txt": base + "/texts", ".pdf": base + "/papers"}
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = _t(spark, d, "documents")
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name")
+    pages = _conv_sections(spark, d)
+    write_files(docs.select(name, F.coalesce("text", F.lit("")).alias("content")).repartition(parts, "name"), dirs[".txt"])
+    write_files(pages.select(F.col("source_file").alias("name")).distinct().withColumn("content", F.lit("%PDF")), dirs[".pdf"])
+    loaders = {"txt": text_loader(spark, dirs[".txt"]), "pdf": sections_loader(pages)}
+
+    def embed(chunks):
+        return chunks.withColumn("vector", F.array(F.col("text_length").cast("float"), F.col("chunk_index").cast("float")))
+
+    SC.run_scan(spark, dirs, base + "/state", loaders, embed=embed, index_buckets=8, ledger_buckets=4)
+    text = (F.when(F.col("doc_id") % _GONE == 0, F.lit(None)).when(F.col("doc_id") % _BLANK == 0, F.lit("  "))
+            .otherwise(F.concat("text", F.lit(_MORE))))
+    changed = docs.filter((F.col("doc_id") % _GONE == 0) | (F.col("doc_id") % _BLANK == 0) | (F.col("doc_id") % _GROWN == 0))
+    write_files(changed.select(name, text.alias("content")).repartition(parts, "name"), dirs[".txt"])
+    run = SC.run_scan(spark, dirs, base + "/state", loaders, embed=embed, index_buckets=8, ledger_buckets=4)
+    points = run["index"].groupBy("source_file").agg(F.count(F.lit(1)).alias("n_points"), F.max(F.size("vector")).cast("bigint").alias("dim"))
+    ledger = run["ledger"].select(basename("file_path").alias("source_file"), F.col("status").alias("now"))
+    out = (run["changes"].select(basename("file_path").alias("source_file"), "reason").join(ledger, "source_file", "left")
+           .join(points, "source_file", "left")
+           .select("source_file", "reason", F.col("now").alias("status"), F.coalesce("n_points", F.lit(0)).cast("bigint").alias("n_points"), "dim"))
+    out.write.parquet(base + "/report")
+    SC.clear_all(spark, base + "/state")
+    left = SC.read_state_index(spark, base + "/state").count() + SC.read_state_ledger(spark, base + "/state").count()
+    cleared = spark.range(1).select(F.lit("(cleared)").alias("source_file"), F.lit("cleared").alias("reason"),
+                                    F.lit(None).cast("string").alias("status"), F.lit(left).cast("bigint").alias("n_points"),
+                                    F.lit(None).cast("bigint").alias("dim"))
+    return spark.read.parquet(base + "/report").unionByName(cleared)
+
+
 # ---------------------------------------------------------------- streams
 @register("stream_ingest", sql=f"WITH {UPSERTED}\nSELECT * FROM upserted")
 def q_stream_ingest(spark, d):

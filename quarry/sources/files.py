@@ -6,12 +6,16 @@
   ``read_error`` row (the job never aborts, nothing is silently replaced by
   U+FFFD).  Universal newlines as in Python's text mode.
 * registry: ``{file_type: loader}``; every loader returns the sections schema.
+* writers: tasks write files under given names through the file system of the
+  folder's URI (test inputs and exports).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +86,49 @@ def text_loader(spark: SparkSession, folders: list[str] | str, suffix: str = ".t
     return load
 
 
+def sections_loader(sections: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Loader for paged documents whose pages stand ready in a table.
+
+    ``sections`` holds ``source_file, section_no, n_sections, text``; a listed file
+    without any row there fails with a message.
+    """
+    def load(files: DataFrame) -> DataFrame:
+        pages = sections.select("source_file", "section_no", "n_sections", "text")
+        joined = files.select("source_file", "file_path", "file_type", "mtime").join(pages, "source_file", "left")
+        return joined.withColumn("read_error", F.when(F.col("section_no").isNull(), F.lit("no sections for the file")))
+    return load
+
+
+def file_system(uri: str):
+    """``(pyarrow file system, path)``; plain paths and ``file:`` URIs are local or mounted folders."""
+    from pyarrow import fs
+    local = re.match(r"(?:file:)?/+(.*)", uri)
+    return (fs.LocalFileSystem(), "/" + local[1]) if local else fs.FileSystem.from_uri(uri)
+
+
+def write_files(files: DataFrame, folder: str) -> int:
+    """Write ``(name, content)`` rows as files of ``folder``; NULL content deletes the file.
+
+    Writing again gives the same file, so a repeated task does no harm.  Returns the
+    number of files handled.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, at = file_system(folder)
+        fs.create_dir(at, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                path = f"{at}/{name}"
+                if content is not None:
+                    with fs.open_output_stream(path) as out:
+                        out.write(content)
+                elif fs.get_file_info(path).is_file:
+                    fs.delete_file(path)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    rows = files.select(F.col("name").cast("string"), F.col("content").cast("binary"))
+    return rows.mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
 def registry(loaders: dict[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame], DataFrame]:
     """Dispatch files by ``file_type`` to their loader; unknown types get no sections."""
     def load(files: DataFrame) -> DataFrame:

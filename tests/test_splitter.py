@@ -3,7 +3,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quarry.operators.splitter import frames, pieces, split_text
+from quarry.operators.splitter import chunk_spans, frames, pieces, split_text
 
 GOLDEN = [
     ("x" * 499, [499]),
@@ -80,3 +80,12 @@ def test_equals_reference_implementation(text, params):
     import reference_splitter as ref
     size, overlap = params
     assert split_text(text, size, overlap) == ref.split_text(text, size, overlap)
+
+
+def test_long_text_without_separators_in_closed_form():
+    from quarry.operators.splitter import frames
+    text = "".join(chr(97 + i % 26) for i in range(5003))
+    for size, overlap in ((500, 50), (7, 3), (10, 9), (2, 0)):
+        bounds = list(range(len(text) + 1))
+        assert chunk_spans(text, size, overlap) == frames(bounds, size, overlap)
+    assert len(chunk_spans("x" * 5_000_000)) == 11111
