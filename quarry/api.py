@@ -55,7 +55,7 @@ def retrieve(spark: SparkSession, state: str, questions, k: int = C.TOP_K,
     """Ranked hits for every question against the current collection.
 
     ``embed`` (``DataFrame -> DataFrame`` adding ``vector``) selects dense retrieval;
-    without it the hashed lexical vectors are computed from the stored text.
+    without it the lexical terms stored at ingest are compared.
     """
     q = normalise_queries(_questions(spark, questions))
     return _hits(spark, state, q, k, threshold, embed)

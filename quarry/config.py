@@ -76,6 +76,7 @@ CHUNKS = T.StructType([
 
 POINTS = T.StructType(CHUNKS.fields + [
     T.StructField("vector", T.ArrayType(T.FloatType())),
+    T.StructField("terms", T.ArrayType(T.IntegerType())),      # lexical buckets, hashed once at ingest
 ])
 
 LEDGER = T.StructType([

@@ -24,10 +24,11 @@ from quarry import config as C
 from quarry.operators import ledger as L
 from quarry.operators import versioned as VT
 from quarry.operators.ingest import ingest
+from quarry.operators.lexical import token_dims
 from quarry.sources.files import list_folders, registry, text_loader
 
-# The stored index always has the points schema; ``vector`` stays NULL when no
-# embedder is configured (lexical retrieval works from the text alone).
+# The stored index always has the points schema: ``terms`` are the lexical buckets of the
+# text, hashed once here; ``vector`` stays NULL when no embedder is configured.
 POINT_COLS = [f.name for f in C.POINTS.fields]
 INDEX_BUCKETS = 256
 LEDGER_BUCKETS = 64
@@ -37,7 +38,8 @@ def read_state_index(spark: SparkSession, state: str) -> DataFrame:
     return VT.read_current(spark, f"{state}/index", C.POINTS)
 
 
-def _with_vector(points: DataFrame) -> DataFrame:
+def _with_vectors(points: DataFrame) -> DataFrame:
+    points = points.withColumn("terms", token_dims("text"))
     if "vector" in points.columns:
         return points.withColumn("vector", F.col("vector").cast("array<float>"))
     return points.withColumn("vector", F.lit(None).cast("array<float>"))
@@ -95,7 +97,7 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     out["status"].write.mode("errorifexists").parquet(f"{run_dir}/status")
     status = spark.read.parquet(f"{run_dir}/status")
     emptied = status.filter(F.col("status").isin(C.STATUS_SKIPPED_EMPTY, C.STATUS_SKIPPED_NO_CHUNKS)).select("source_file")
-    new_points = _with_vector(out["points"]).select(*POINT_COLS)
+    new_points = _with_vectors(out["points"]).select(*POINT_COLS)
     changes = out["changes"]
     gone = changes.filter(F.col("reason") == "missing").select("file_path")
     gone_files = gone.select(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("source_file"))

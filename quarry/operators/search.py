@@ -18,10 +18,12 @@ def lexical_retrieve(chunks: DataFrame, queries: DataFrame, k: int = TOP_K,
                      method: str = "md5", decimals: int | None = None) -> DataFrame:
     """Hits ``(query_id, rank, score, point_id, source_file, page_number, chunk_index, text)``.
 
-    The query text is embedded with the same function as the chunks (symmetric).
+    The query text is embedded with the same function as the chunks (symmetric).  A stored
+    collection brings its ``terms``, hashed at ingest; only bare chunks are tokenised here.
     """
     q = normalise_queries(queries).select("query_id", token_dims("text", dim, method).alias("vector"))
-    pts = chunks.select("point_id", *HIT_PAYLOAD, token_dims("text", dim, method).alias("vector"))
+    terms = F.col("terms") if "terms" in chunks.columns else token_dims("text", dim, method)
+    pts = chunks.select("point_id", *HIT_PAYLOAD, terms.alias("vector"))
     hits = topk(pts, q, encoding=Encoding("bag", dim), k=k, threshold=threshold,
                 point_key="point_id", payload=HIT_PAYLOAD, decimals=decimals)
     return hits.withColumn("text", F.coalesce(F.col("text"), F.lit("")))

@@ -9,6 +9,7 @@ from quarry.functions.text import basename, extension
 from quarry.operators import ledger as L
 from quarry.operators.chunking import chunk_sections
 from quarry.operators.ingest import document_status, ingest
+from quarry.operators.lexical import token_dims
 from quarry.plans import oracle_sql as O
 from quarry.plans.catalog import (ALL_SECTIONS_SQL, K, LEX_T, _conv_sections, _doc_chunks, _doc_sections,
                                   _prompt_sql, _t, register)
@@ -319,7 +320,7 @@ def q_stream_retrieve(spark, d):
     """Questions arrive as a file stream and are answered against the stored chunk table."""
     from quarry.streaming.incremental import stream_answers
     base = scratch_dir(spark, "retrieve-stream")
-    _doc_chunks(spark, d).write.parquet(base + "/chunks")
+    _doc_chunks(spark, d).withColumn("terms", token_dims("text")).write.parquet(base + "/chunks")
     chunks = spark.read.parquet(base + "/chunks")
     bm = _t(spark, d, "benchmark")
     src = (spark.readStream.schema(bm.schema).option("pathGlobFilter", "benchmark.parquet").parquet(d)

@@ -227,3 +227,17 @@ def test_vectors_that_go_missing_fail_the_file(spark):
     assert row.status == "failed" and row.n_uploaded == row.n_chunks - 1
     assert row.error_message == f"Mismatch in uploaded chunks count. Expected {row.n_chunks}, got {row.n_uploaded}."
     assert out["index"].count() == 0
+
+
+def test_questions_are_answered_from_stored_terms(spark, folders):
+    from quarry.api import ask, retrieve
+    from quarry.operators.lexical import token_dims
+    _write(f"{folders['txt']}/a.txt", b"alpha beta gamma delta")
+    _write(f"{folders['txt']}/b.txt", b"unrelated words only")
+    S.run_scan(spark, {".txt": folders["txt"]}, folders["state"])
+    index = S.read_state_index(spark, folders["state"])
+    assert index.filter(F.col("terms") == token_dims("text")).count() == index.count() == 2
+    hits = retrieve(spark, folders["state"], ["beta gamma"], threshold=0.3)
+    assert [r.source_file for r in hits.collect()] == ["a.txt"]
+    assert "md5" not in index._jdf.queryExecution().optimizedPlan().toString()
+    assert ask(spark, folders["state"], ["beta gamma", " "]).count() == 1
