@@ -1,5 +1,5 @@
 """The point collection as a table: keyed upsert, delete, per-file replace, stats
-(persistent versioned storage lives in ``operators.versioned``).
+(persistent storage lives in ``operators.bucketed``).
 
 All mutations are anti-joins plus unions.  The changed side (new points, deleted
 files) is normally much smaller than the index; Spark's planner broadcasts it only
@@ -65,7 +65,3 @@ def payload(chunks: DataFrame) -> DataFrame:
     """Payload = metadata + text, also as a JSON string."""
     meta = F.struct("source_file", "file_type", "page_number", "chunk_index", "chunk_id", "text_length", "text")
     return chunks.select("point_id", meta.alias("payload"), F.to_json(meta).alias("payload_json"))
-
-
-# Persistent, versioned storage of the collection (rewriting only touched buckets)
-# lives in ``quarry.operators.versioned``; see ``quarry.operators.scan``.

@@ -71,11 +71,13 @@ def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataF
     Old points of a file are replaced when its new chunks succeeded and removed when the
     file has become empty; a file that failed keeps them.  Chunks are counted before
     ``embed``, so vectors that go missing make the file fail.
-    ``materialize(df, name)`` (e.g. write + read back) is applied to the loaded
-    sections and to the produced points, so file bodies are read once and the
+    ``materialize(df, name)`` (e.g. write + read back) is applied to the changes, the loaded
+    sections and the produced chunks and points, so file bodies are read once and the
     chunking is not recomputed for statuses and the index.
     """
     changes = change_detect(listing, ledger)
+    if materialize is not None:
+        changes = materialize(changes, "changes")       # the ledger it reads is replaced later
     todo = files_to_ingest(changes).select("file_path", "mtime")
     files = todo.withColumn("source_file", F.regexp_extract("file_path", r"([^/]+)$", 1)) \
                 .withColumn("file_type", F.regexp_extract("source_file", r"^\.*[^.].*\.([^.]*)$", 1))

@@ -2,15 +2,15 @@
 
 State lives in one folder (on a cluster: under the shared checkpoint folder):
 
-    <state>/index    points, versioned and bucketed by source file
-    <state>/ledger   ledger rows, versioned and bucketed by file path (Parquet is the
-                     primary store; the single-object JSON form is import/export)
+    <state>/index    points, partitioned by a bucket of the source file
+    <state>/ledger   ledger rows, partitioned by a bucket of the file path (Parquet is the
+                     primary store; JSON is import/export)
     <state>/runs/<id> this scan's listing, sections, points and status (each written once)
 
-A scan reads the newest committed versions, computes everything as one batch,
-writes its new points once, then commits the index and the ledger.  Each commit
-rewrites only the buckets of the files it touched.  A crash between the two
-commits makes the next scan redo the same files; per-file replace is idempotent.
+A scan reads the state, computes everything as one batch, writes its new points once,
+then replaces the touched files in the index and after that in the ledger.  Only the
+buckets of these files are rewritten.  A crash before the ledger is replaced makes the
+next scan redo the same files; per-file replace is idempotent.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quarry import config as C
 from quarry.operators import ledger as L
-from quarry.operators import versioned as VT
+from quarry.operators import bucketed as BT
 from quarry.operators.ingest import ingest
 from quarry.operators.lexical import token_dims
 from quarry.sources.files import list_folders, registry, text_loader
@@ -35,7 +35,7 @@ LEDGER_BUCKETS = 64
 
 
 def read_state_index(spark: SparkSession, state: str) -> DataFrame:
-    return VT.read_current(spark, f"{state}/index", C.POINTS)
+    return BT.read_current(spark, f"{state}/index", C.POINTS)
 
 
 def _with_vectors(points: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def _with_vectors(points: DataFrame) -> DataFrame:
 
 
 def read_state_ledger(spark: SparkSession, state: str) -> DataFrame:
-    return VT.read_current(spark, f"{state}/ledger", C.LEDGER)
+    return BT.read_current(spark, f"{state}/ledger", C.LEDGER)
 
 
 def import_ledger(spark: SparkSession, json_path: str, state: str) -> DataFrame:
@@ -55,7 +55,7 @@ def import_ledger(spark: SparkSession, json_path: str, state: str) -> DataFrame:
     Returns the quarantine rows; an unparseable file contributes no ledger rows.
     """
     rows, bad = L.read_ledger_object(spark, json_path)
-    VT.write_version(spark, f"{state}/ledger", C.LEDGER, "file_path", LEDGER_BUCKETS, changed=rows)
+    BT.replace_keys(spark, f"{state}/ledger", C.LEDGER, "file_path", LEDGER_BUCKETS, changed=rows)
     return bad
 
 
@@ -102,7 +102,7 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     gone = changes.filter(F.col("reason") == "missing").select("file_path")
     gone_files = gone.select(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("source_file"))
     # index: successful files are replaced, missing and emptied files are purged
-    VT.write_version(spark, f"{state}/index", C.POINTS, "source_file", index_buckets,
+    BT.replace_keys(spark, f"{state}/index", C.POINTS, "source_file", index_buckets,
                      changed=new_points, removed=gone_files.unionByName(emptied))
     # ledger: one new row per processed path (from the written status), missing paths dropped
     todo = L.files_to_ingest(changes).select("file_path", F.col("mtime").alias("last_modified"))
@@ -111,13 +111,13 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
                 .select("file_path", "last_modified",
                         (now if now is not None else F.current_timestamp()).alias("ingested_at"),
                         "status", "error_message"))
-    VT.write_version(spark, f"{state}/ledger", C.LEDGER, "file_path", ledger_buckets,
+    BT.replace_keys(spark, f"{state}/ledger", C.LEDGER, "file_path", ledger_buckets,
                      changed=rows, removed=gone)
     return {"changes": changes, "status": status, "points": new_points,
             "index": read_state_index(spark, state), "ledger": read_state_ledger(spark, state)}
 
 
 def clear_all(spark: SparkSession, state: str) -> None:
-    """Empty collection and empty ledger as new versions (old versions stay readable)."""
-    VT.write_empty(spark, f"{state}/index")
-    VT.write_empty(spark, f"{state}/ledger")
+    """Empty the collection and the ledger."""
+    BT.clear(spark, f"{state}/index")
+    BT.clear(spark, f"{state}/ledger")

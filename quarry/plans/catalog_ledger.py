@@ -307,11 +307,10 @@ def q_stream_ingest(spark, d):
     """Ledger writes arrive as a file stream; each micro-batch is folded into the ledger."""
     from quarry.streaming.incremental import read_ledger, stream_ledger
     ev = _t(spark, d, "events")
-    src = (spark.readStream.schema(ev.schema).option("pathGlobFilter", "events.parquet")
-           .option("maxFilesPerTrigger", 1).parquet(d))
-
     base = scratch_dir(spark, "ledger-stream")
-    stream_ledger(spark, src, TB.ledger_rows, base + "/table", base + "/_checkpoint")
+    ev.repartition(4, "event_id").write.parquet(base + "/in")          # several files, several micro-batches
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
+    stream_ledger(spark, src, TB.ledger_rows, base + "/table", base + "/_checkpoint", buckets=8)
     return read_ledger(spark, base + "/table")
 
 

@@ -1,7 +1,7 @@
 """Structured Streaming forms of the two loops.
 
 * ``stream_ledger`` (repeated scan): a stream of file-status events is folded
-  into the versioned ledger table in ``foreachBatch`` (last write per path wins;
+  into the bucketed ledger table in ``foreachBatch`` (last write per path wins;
   only the touched buckets are rewritten; a replayed batch gives the same result).
 * ``stream_answers`` (question loop): a stream of questions joined, per
   micro-batch, against the static chunk collection (stream-static similarity
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.config import LEDGER
 from quarry.operators import ledger as L
-from quarry.operators import versioned as VT
+from quarry.operators import bucketed as BT
 from quarry.operators.prompts import build_prompts
 from quarry.operators.search import lexical_retrieve
 from quarry.sources.queries import normalise_queries
@@ -29,17 +29,20 @@ def stream_ledger(spark: SparkSession, source: DataFrame, to_rows: Callable[[Dat
                   ledger_base: str, checkpoint: str, buckets: int = 64) -> None:
     """Run ``source`` (a streaming DataFrame) to completion with ``availableNow``.
 
-    Each micro-batch reads only the current rows of the paths it touches, keeps the
-    last write per path and commits them as a new bucketed version.  Replaying an
-    epoch re-applies the same last-write-wins merge, so the result is unchanged.
+    Each micro-batch reads only the buckets of the paths it touches, keeps the last write
+    per path and replaces these paths.  Replaying an epoch re-applies the same
+    last-write-wins merge, so the result is unchanged.
     """
 
     def fold(batch: DataFrame, epoch_id: int) -> None:
-        rows = to_rows(batch)
-        keys = rows.select("file_path").distinct()
-        current = VT.read_current(spark, ledger_base, LEDGER).join(keys, "file_path", "left_semi")
-        merged = L.upsert_ledger(current, rows)
-        VT.write_version(spark, ledger_base, LEDGER, "file_path", buckets, changed=merged)
+        rows = to_rows(batch).persist()          # read for its buckets, its paths and the merge
+        try:
+            keys = rows.select("file_path").distinct()
+            touched = BT.buckets_of(keys, "file_path", buckets)
+            current = BT.read_current(spark, ledger_base, LEDGER, touched).join(keys, "file_path", "left_semi")
+            BT.replace_keys(spark, ledger_base, LEDGER, "file_path", buckets, changed=L.upsert_ledger(current, rows))
+        finally:
+            rows.unpersist()
 
     q = (source.writeStream.foreachBatch(fold)
          .option("checkpointLocation", checkpoint)
@@ -48,7 +51,7 @@ def stream_ledger(spark: SparkSession, source: DataFrame, to_rows: Callable[[Dat
 
 
 def read_ledger(spark: SparkSession, ledger_base: str) -> DataFrame:
-    return VT.read_current(spark, ledger_base, LEDGER)
+    return BT.read_current(spark, ledger_base, LEDGER)
 
 
 def stream_answers(spark: SparkSession, questions: DataFrame, chunks: DataFrame, sink: str,

@@ -129,20 +129,44 @@ def test_import_single_object_ledger(spark, folders):
     assert rows[0].file_path == "/x/data/texts/a.txt"
 
 
+def _table(spark, base):
+    from quarry import config as C
+    from quarry.operators import bucketed as BT
+    return {r.file_path: r.status for r in BT.read_current(spark, base, C.LEDGER).collect()}
+
+
 def test_only_touched_buckets_are_rewritten(spark, folders):
-    from quarry.operators import versioned as VT
+    from quarry.operators import bucketed as BT
     from quarry import config as C
-    base = folders["state"] + "/vt"
+    base = folders["state"] + "/table"
     schema = C.LEDGER
+    assert _table(spark, base) == {}
     rows = spark.createDataFrame([(f"/f/{i}.txt", None, None, "success", None) for i in range(40)], schema)
-    VT.write_version(spark, base, schema, "file_path", 8, changed=rows)
+    BT.replace_keys(spark, base, schema, "file_path", 8, changed=rows)
+    files = {os.path.join(d, f) for d, _, names in os.walk(base) for f in names if f.endswith(".parquet")}
     one = spark.createDataFrame([("/f/3.txt", None, None, "failed", "x")], schema)
-    v2 = VT.write_version(spark, base, schema, "file_path", 8, changed=one,
-                          removed=spark.createDataFrame([("/f/4.txt",)], "file_path string"))
-    man = VT.manifest(spark, base, v2)
-    assert sum(1 for v in man.values() if v == v2) <= 2      # only the touched buckets
-    got = {r.file_path: r.status for r in VT.read_current(spark, base, schema).collect()}
+    touched = BT.replace_keys(spark, base, schema, "file_path", 8, changed=one,
+                              removed=spark.createDataFrame([("/f/4.txt",)], "file_path string"))
+    assert 1 <= len(touched) <= 2
+    kept = {os.path.join(d, f) for d, _, names in os.walk(base) for f in names if f.endswith(".parquet")} & files
+    assert {int(f.split("bucket=")[1].split("/")[0]) for f in files - kept} == touched    # the others are the same files
+    got = _table(spark, base)
     assert len(got) == 39 and got["/f/3.txt"] == "failed" and "/f/4.txt" not in got
+    # a replace that is run again changes nothing; emptied buckets disappear
+    BT.replace_keys(spark, base, schema, "file_path", 8, changed=one)
+    assert _table(spark, base) == got
+    BT.replace_keys(spark, base, schema, "file_path", 8, removed=rows.select("file_path"))
+    assert _table(spark, base) == {} and not [d for d in os.listdir(base) if d.startswith("bucket=")]
+
+
+def test_a_writer_that_died_before_the_overwrite_leaves_the_table(spark, folders):
+    from quarry.operators import bucketed as BT
+    from quarry import config as C
+    base = folders["state"] + "/crash"
+    rows = spark.createDataFrame([(f"/f/{i}.txt", None, None, "success", None) for i in range(10)], C.LEDGER)
+    BT.replace_keys(spark, base, C.LEDGER, "file_path", 4, changed=rows)
+    rows.limit(1).write.parquet(base + "-work/half-written")
+    assert len(_table(spark, base)) == 10
 
 
 def test_ingest_then_ask(spark, folders):
@@ -189,27 +213,6 @@ def test_pluggable_dense_embedder(spark, folders):
     assert [h.source_file for h in hits] == ["a.txt"] and abs(hits[0].score - 1.0) < 1e-6
 
 
-def test_uncommitted_version_is_invisible_and_overwritten(spark, folders):
-    import os
-    from quarry import config as C
-    from quarry.operators import versioned as VT
-    base = folders["state"] + "/crash"
-    schema = C.LEDGER
-    rows = spark.createDataFrame([(f"/f/{i}.txt", None, None, "success", None) for i in range(10)], schema)
-    assert VT.write_version(spark, base, schema, "file_path", 4, changed=rows) == 1
-    # a writer died after its data files but before its manifest: v=2 has no manifest
-    junk = spark.createDataFrame([("/f/0.txt", None, None, "failed", "half-written")], schema)
-    junk.write.parquet(base + "/v=2/data/bucket=0")
-    assert os.path.isdir(base + "/v=2") and VT.committed(spark, base) == [1]
-    got = {r.file_path: r.status for r in VT.read_current(spark, base, schema).collect()}
-    assert len(got) == 10 and got["/f/0.txt"] == "success"
-    # the next writer reuses v=2, overwrites the debris and commits
-    one = spark.createDataFrame([("/f/1.txt", None, None, "failed", "x")], schema)
-    assert VT.write_version(spark, base, schema, "file_path", 4, changed=one) == 2
-    got = {r.file_path: r.status for r in VT.read_current(spark, base, schema).collect()}
-    assert len(got) == 10 and got["/f/0.txt"] == "success" and got["/f/1.txt"] == "failed"
-
-
 def test_vectors_that_go_missing_fail_the_file(spark):
     from quarry import config as C
     from quarry.operators.ingest import ingest

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry import config as C
 from quarry.operators import ledger as L
-from quarry.operators import versioned as VT
+from quarry.operators import bucketed as BT
 from quarry.sources import tables as TB
 from quarry.streaming.incremental import read_ledger, stream_ledger
 
@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _rows(batch):
-    return TB.ledger_history(batch).unionByName(TB.ledger_updates(batch))
+    return TB.ledger_rows(batch)
 
 
 def _as_set(df):
@@ -37,5 +37,5 @@ def test_stream_ledger_equals_batch_and_is_idempotent(spark):
     current = read_ledger(spark, base + "/table")
     keys = _rows(ev).select("file_path").distinct()
     merged = L.upsert_ledger(current.join(keys, "file_path", "left_semi"), _rows(ev))
-    VT.write_version(spark, base + "/table", C.LEDGER, "file_path", 64, changed=merged)
+    BT.replace_keys(spark, base + "/table", C.LEDGER, "file_path", 64, changed=merged)
     assert _as_set(read_ledger(spark, base + "/table")) == first
