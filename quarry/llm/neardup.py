@@ -8,14 +8,20 @@ of a band become candidates; a candidate pair's similarity is estimated by maxim
 likelihood from the numbers of larger, smaller and equal registers and both set sizes; what
 can reach the threshold is verified on the full sets.
 
-Only links that matter for the result are looked for.  Texts with the same words are one
-class from the start.  In the first round each class is held against the least class of
-its bands (its best one).  After that a band bucket is open while its members lie in
-more than one component, and each round takes some members of the open buckets, those of
-the smallest components first, and holds them against all members of other components,
-with twice as many of them per round as before; a member that met all others leaves its
-bucket.  So a large group of copies costs about one pair per member, and no pair that
-could join two components is left out.
+Only links that can join components are looked for, so no group is paired off:
+
+* Texts with the same words are one class from the start.
+* Every class is held against the least class of each of its band buckets (its hub).
+* A bucket is open while its other members lie in several components.  Open buckets
+  that share members form a blob; its centre is the member with the most company.  Each
+  member x is kept as its difference from the centre, D(x).  Differences compare as sets do:
+  x and y differ in D(x) and D(y) taken together less what both hold, so x and y are
+  linked if and only if 7 |D(x) ^ D(y)| <= |x| + |y|.
+* Members linked to the centre, or in a component that is, form one component.  Any further
+  link has a member x outside it, with D(x) larger than (|x| + |centre|) / 7; it must share
+  more than half of D(y) with y, hence one of the rarest D elements of each (a prefix filter on
+  the differences).  Copies made by own edits share none, so a large group costs little more
+  than its members; what the filter lets through is verified on the differences, exactly.
 
 Defined cases: a document without words (NULL, empty, blank) has no shingles, no links and
 is its own component; fewer words than a shingle make one shingle; rows that repeat an id
@@ -31,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +50,6 @@ REGISTERS, ROWS = 128, 4
 BANDS = REGISTERS // ROWS
 BASE, RATE, TOP = 1.02, 20.0, 2000
 LIKELY = 0.75 - 4 * 0.038  # four standard errors of the estimate below the threshold
-PIVOTS = 8
 BROADCAST_ROWS = 500_000   # 16-byte keys: some tens of MB
 SKETCH = "doc_id bigint, node binary, n_shingles bigint, registers binary"
 
@@ -175,6 +180,76 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFram
     return full.filter(linked("t_a", "t_b")).select("a", "b")
 
 
+def open_members(others: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (hubs left out: they met all others) of the buckets that hold several components."""
+    labelled = others.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    mixed = (labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"),
+                                            F.min("node").alias("head")).filter("x <> y").drop("x", "y"))
+    return labelled.join(mixed, "bucket")
+
+
+@F.pandas_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("nc", T.LongType()),
+                            T.StructField("d", T.ArrayType(T.LongType()))]))
+def difference(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """Set sizes of a text and its centre's, and the shingles that only one of them has."""
+    last, centre = None, None
+    for texts in batches:
+        out = []
+        for t, c in zip(*texts):
+            if c != last:
+                last, centre = c, shingles(word_list(c))
+            own = shingles(word_list(t))
+            out.append((len(own), len(centre), np.setxor1d(own, centre, assume_unique=True).view(np.int64)))
+        yield pd.DataFrame(out, columns=["n", "nc", "d"])
+
+
+def further_links(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that, with those found so far, join all members of open buckets that belong together."""
+    blobs = components(open_, "head", "node").withColumnRenamed("component", "blob")
+    company = open_.groupBy("node", "component").agg(F.sum("size").alias("company")).join(blobs, "node")
+    company = materialise(company, "blobs")
+    centres = company.groupBy("blob").agg(F.max(F.struct("company", "node")).alias("c")).select("blob", F.col("c.node").alias("centre"))
+    centres = centres.join(texts.withColumnsRenamed({"node": "centre", "text": "centre_text"}), "centre")
+    rows = (company.join(texts, "node").join(centres, "blob")
+            .select("blob", "node", "centre", "component", difference("text", "centre_text").alias("v"))
+            .select("blob", "node", "centre", "component", "v.n", "v.nc", "v.d", F.size("v.d").alias("w")))
+    rows = materialise(rows, "differences")
+    to_centre = rows.filter("7 * w <= n + nc and node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    near = rows.groupBy("blob", "component").agg(F.max(F.expr("7 * w <= n + nc")).alias("near"))
+    some = near.groupBy("blob").agg(F.min("near").alias("all")).filter(~F.col("all")).select("blob")
+    left = (rows.join(near, ["blob", "component"]).join(some, "blob").withColumn("outside", ~F.col("near"))
+            .withColumn("component", F.when(F.col("outside"), F.col("component"))))     # NULL: the centre's component
+
+    tokens = left.select("blob", "node", F.explode("d").alias("token"))
+    common = tokens.groupBy("blob", "token").agg(F.count("*").alias("df")).filter("df > 1")
+    rare_first = tokens.join(common, ["blob", "token"]).groupBy("blob", "node").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("df", "token"))), lambda x: x["token"]).alias("t"))
+    # elements no one else has come first and match nothing; `own` of a prefix are those
+    info = (left.drop("d", "centre", "near").join(rare_first, ["blob", "node"]).withColumn("shared", F.size("t"))
+            .withColumn("own", F.col("w") - F.col("shared"))
+            .withColumn("index", F.expr("w - greatest(0, floor((7 * w + nc - n) / 14)) - own"))
+            .withColumn("probe", F.expr("w - greatest(1, ceil((3 * w - n) / 3)) + 1 - own")))
+    info = materialise(info, "prefixes")
+    what = ("node", "component", "n", "w", "shared")
+
+    def side(length, names):
+        cut = info.select("blob", *[F.col(c).alias(names + c) for c in what], "outside",
+                          F.explode(F.slice("t", 1, F.greatest(F.col(length), F.lit(0)).cast("int"))).alias("token"))
+        return cut
+
+    probe = side("probe", "x_").filter("outside").drop("outside")
+    index = side("index", "y_").drop("outside")
+    met = probe.join(index, ["blob", "token"]).filter(
+        "x_node <> y_node and not (x_component <=> y_component) and 100 * least(x_n, y_n) >= 75 * greatest(x_n, y_n) "
+        "and 7 * (x_w + y_w) - (x_n + y_n) <= 14 * least(x_shared, y_shared)")
+    pairs = met.select("blob", F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+    for x in ("a", "b"):
+        pairs = pairs.join(rows.select("blob", F.col("node").alias(x), F.col("d").alias(f"d_{x}"), F.col("n").alias(f"n_{x}")), ["blob", x])
+    both = F.size(F.array_intersect("d_a", "d_b"))
+    found = pairs.filter(7 * (F.size("d_a") + F.size("d_b") - 2 * both) <= F.col("n_a") + F.col("n_b")).select("a", "b")
+    return to_centre.union(found)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id, kept."""
     rows = materialise(sketch(docs), "sketches")
@@ -187,39 +262,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = bands.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("c")).filter("c > 1").drop("c")
     members = materialise(bands.join(shared, "bucket"), "members")
 
-    first = members.filter("node <> hub").groupBy("node").agg(F.min("hub").alias("hub"))
-    pairs = materialise(first.select(F.col("hub").alias("a"), F.col("node").alias("b")), "pairs")
+    others = members.filter("node <> hub")
+    pairs = materialise(others.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     labels = None
     if not pairs.isEmpty():
         nodes = members.select("node").distinct().join(classes.select("node", "first_id"), "node")
         texts = materialise(class_texts(docs, nodes), "texts")
         links = materialise(verified(pairs, classes, texts), "linked")
-        tried = pairs
-        open_ = members.select("bucket", "node")
-        pivots = PIVOTS
-        while True:
-            labels = materialise(components(links), "labels")
-            open_ = open_.join(labels, "node", "left").select(
-                "bucket", "node", F.coalesce("component", "node").alias("component"))
-            mixed = (open_.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                     .filter("x <> y").select("bucket"))
-            open_ = materialise(open_.join(mixed, "bucket"), "open")
-            sizes = open_.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-            order = Window.partitionBy("bucket").orderBy("size", "node")
-            turn = (open_.join(sizes, ["bucket", "component"]).withColumn("k", F.row_number().over(order))
-                    .filter(F.col("k") <= pivots).select("bucket", "node", "component"))
-            turn = materialise(turn, "pivots")
-            met = turn.select("bucket", F.col("node").alias("p"), F.col("component").alias("pc")).join(open_, "bucket").filter(
-                F.col("pc") != F.col("component"))
-            pairs = met.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct()
-            pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-            if turn.isEmpty():
-                break
-            if not pairs.isEmpty():
-                links = materialise(links.union(verified(pairs, classes, texts)), "linked")
-                tried = tried.union(pairs)
-            open_ = open_.select("bucket", "node").join(turn.select("bucket", "node"), ["bucket", "node"], "left_anti")
-            pivots *= 2
+        labels = components(links)
+        open_ = materialise(open_members(others, labels), "open")
+        if not open_.isEmpty():
+            more = materialise(further_links(open_, texts), "further")
+            if not more.isEmpty():
+                labels = components(links.union(more))
 
     named = classes.select("node", "first_id", "copies")
     if labels is None:
