@@ -14,7 +14,8 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NAMES = ["chunk_sections", "lexical_topk", "build_prompts", "vector_topk", "ivf_topk",
-         "replace_files", "change_detect", "ledger_upsert", "document_status"]
+         "replace_files", "change_detect", "ledger_upsert", "document_status",
+         "scan_sections", "ledger_durations", "filter_by_payload"]
 
 
 def summarize(plan: str) -> str:
