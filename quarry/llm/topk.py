@@ -29,8 +29,8 @@ from quarry.llm.common import materialise
 SCALE = 256
 BLOCK = 8192
 GROUP = 4096
-LEVELS = 8
-ROUNDS = 8                 # proofs tried on the way through the segments
+LEVELS = 12
+ROUNDS = 6                 # proofs tried on the way through the segments
 PARTIAL = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -49,11 +49,13 @@ class ImpactIndex:
     def __init__(self, x: np.ndarray, levels: int = LEVELS):
         self.x = x
         n, dims = x.shape
-        self.order = np.argsort(x, axis=0, kind="stable").astype(np.int32)
+        self.order = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)      # a row of postings for each dimension
+        self.most_x = int(np.abs(x).max(initial=0))
+        self.floats = x.astype(np.float64)                                             # for exact products below 2 ** 53
         self.low, self.high = x.min(0), x.max(0)
         dim, start, end, least, most = [], [], [], [], []
         for d in range(dims):
-            v = x[self.order[:, d], d]
+            v = x[self.order[d], d]
             span = int(self.high[d] - self.low[d]) + 1
             level = (v - self.low[d]) * min(levels, span) // span
             cut = np.concatenate(([0], np.flatnonzero(np.diff(level)) + 1, [n]))
@@ -87,7 +89,7 @@ class ImpactIndex:
         for part in np.array_split(use, ROUNDS):
             for s in part:
                 if least[s]:
-                    acc[self.order[self.start[s]:self.end[s], self.dim[s]]] += least[s]
+                    acc[self.order[self.dim[s], self.start[s]:self.end[s]]] += least[s]
             np.maximum.at(width, self.dim[part], (most - least)[part])
             done += len(part)
             unread[:] = 0
@@ -100,6 +102,8 @@ class ImpactIndex:
             if len(cand) <= small:
                 break
         cand = cand[~own[cand]]
+        if self.most_x * int(w.sum()) < 1 << 53:
+            return cand, (self.floats[cand] @ q.astype(np.float64)).astype(np.int64)
         return cand, self.x[cand] @ q
 
 
