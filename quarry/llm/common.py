@@ -12,6 +12,8 @@ from quarry.session import scratch_dir
 #: Rows per Arrow batch for the operators that hand whole texts to Python: with
 #: texts of up to a few hundred KB a batch stays in the tens of MB.
 TEXT_BATCH_ROWS = 256
+#: Rows per columnar batch of a Parquet scan; the default of 4,096 whole texts is tens of MB a task.
+SCAN_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
-    """Bound the Arrow batches of this session (a runtime setting, read when a plan starts)."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bound the rows that a scan or an Arrow batch of this session holds at once (runtime
+    settings, read when a plan starts)."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows),
+                       ("spark.sql.parquet.columnarReaderBatchSize", SCAN_ROWS)):
+        if int(spark.conf.get(name)) > most:
+            spark.conf.set(name, str(most))
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

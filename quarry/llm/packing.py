@@ -33,6 +33,7 @@ CAPACITY = 2048
 END_ID = 0
 GROUP_ROWS = 20_000
 FIT_ROUNDS = 60
+CACHE_PIECES = 150_000     # some 25 MB a worker: packing follows other stages in the same workers
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -198,7 +199,7 @@ def document_pieces(docs: DataFrame, path: str | None = None, capacity: int = CA
     wide = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, "words")
+        enc = encoder(path, "words", CACHE_PIECES)
         for batch in batches:
             ids, piece, crc, length, raw = [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
