@@ -3,12 +3,14 @@
 A text is its words joined by single spaces.  A gear hash rolls over the bytes (its window
 is ``GEAR_BYTES``); where the hash at the end of a word is the least among its neighbours
 within ``RADIUS`` words, a chunk ends there.  Cuts depend on nearby bytes only, so the
-same passage is cut alike wherever it stands, whatever was inserted before it.  Each chunk
-has a 64-bit digest; a chunk is a repeat if its digest's first document (the least
-doc_id) is another one.  Runs of repeated chunks of at least ``MIN_WORDS`` words are
-removed.  A passage of n repeated words is covered but for a few words at either end, so
-with ``MIN_WORDS`` well below 50 passages of over 50 words are found, while the short lines
-that many clean documents share (licences, greetings) stay.
+same passage is cut alike wherever it stands, whatever was inserted before it.  A group
+is consecutive chunks of at least ``MIN_WORDS`` words in all that would have fewer without
+its first or without its last chunk.  Each group has a 64-bit digest; a group is a repeat
+if its digest's first document (the least doc_id) is another one: one earlier document
+holds all its words in this order, side by side.  What repeated groups cover is removed.
+A passage of n repeated words is covered but for a few words at either end, so with
+``MIN_WORDS`` well below 50 passages of over 50 words are found, while the short lines
+that many clean documents share (licences, greetings) stay, whatever they stand beside.
 
 Every digest's first document comes from a grouping that combines before it shuffles, and
 repeats are found by a join that splits a hot digest; nothing collects a digest's documents.
@@ -36,7 +38,7 @@ from quarry.llm.common import materialise
 GEAR_BYTES = 8
 RADIUS = 2
 MAX_WORDS = 32
-MIN_WORDS = 28
+MIN_WORDS = 28            # at most 255 - MAX_WORDS: a group's words are stored in 8 bits
 NO_ID = (1 << 63) - 1
 BROADCAST_ROWS = 200_000   # rows of at most some hundred bytes
 
@@ -86,16 +88,33 @@ def chunks(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, at - start, digest
 
 
+def groups(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, number of words and digest of each group of chunks."""
+    import xxhash
+    start, size, digest = chunks(text)
+    m = len(start)
+    at = np.append(start, size.sum())
+    first = np.arange(m)
+    last = np.searchsorted(at, start + min_words)                 # the shortest from each chunk on ...
+    back = np.searchsorted(at, at[1:] - min_words, "right") - 1   # ... and up to each chunk
+    more = (back >= 0) & (last[back] != first + 1)
+    i = np.concatenate((first[last <= m], back[more]))
+    j = np.concatenate((last[last <= m], first[more] + 1))
+    raw = digest.tobytes()
+    whole = [xxhash.xxh3_64_intdigest(raw[8 * a:8 * b]) for a, b in zip(i.tolist(), j.tolist())]
+    return at[i], at[j] - at[i], np.array(whole, np.uint64).view(np.int64)
+
+
 def mark(text: Column) -> Column:
     """Tells rows that repeat a doc_id apart."""
     return F.coalesce(F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFF)), F.lit(0)).cast("bigint")
 
 
-def chunk_rows(docs: DataFrame) -> DataFrame:
-    """``(digest, doc, place)`` of every chunk; place holds first word, number of words and mark."""
+def group_rows(docs: DataFrame, min_words: int) -> DataFrame:
+    """``(digest, doc, place)`` of every group; place holds first word, number of words and mark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [chunks(t) for t in batch.column(1).to_pylist()]
+            found = [groups(t, min_words) for t in batch.column(1).to_pylist()]
             n = [len(f[0]) for f in found]
             doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n)
             tag = np.repeat(batch.column(2).to_numpy(zero_copy_only=False), n)
@@ -110,18 +129,20 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``(doc, mark, spans)``: word ranges [start, end) that an earlier document holds too."""
-    rows = chunk_rows(docs)
+    if min_words > 255 - MAX_WORDS:
+        raise ValueError(f"min_words is {min_words}, above {255 - MAX_WORDS}")
+    rows = group_rows(docs, min_words)
     first = (rows.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
              .filter("first < last").select("digest", "first"))
     found = rows.join(first, "digest").filter("first < doc").select(
         "doc", F.col("place").bitwiseAND(F.lit(0xFFFFFF)).alias("mark"), F.shiftright("place", 32).alias("start"),
         F.shiftright("place", 24).bitwiseAND(F.lit(0xFF)).alias("n"))
-    in_doc = Window.partitionBy("doc", "mark").orderBy("start")
-    runs = (found.withColumn("end", F.col("start") + F.col("n")).dropDuplicates(["doc", "mark", "start"])
-            .withColumn("new", F.coalesce((F.lag("end").over(in_doc) < F.col("start")).cast("int"), F.lit(1)))
-            .withColumn("run", F.sum("new").over(in_doc))
-            .groupBy("doc", "mark", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-            .filter(F.col("end") - F.col("start") >= min_words))
+    in_doc = Window.partitionBy("doc", "mark").orderBy("start", "n")
+    reached = F.max("end").over(in_doc.rowsBetween(Window.unboundedPreceding, -1))
+    runs = (found.withColumn("end", F.col("start") + F.col("n"))
+            .withColumn("new", F.coalesce((reached < F.col("start")).cast("int"), F.lit(1)))
+            .withColumn("run", F.sum("new").over(in_doc.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy("doc", "mark", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")))
     return runs.groupBy("doc", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 

@@ -179,6 +179,61 @@ def test_substring_brute_force(spark, monkeypatch):
     assert S.substring_dedup(docs(spark, [])).count() == 0
 
 
+def repeated_words(rows, n):
+    """By row the words that lie in a window of n words which one earlier document holds as it stands."""
+    first, out = {}, []
+    windows = lambda t: (lambda w: [tuple(w[i:i + n]) for i in range(len(w) - n + 1)])((t or "").split())
+    for doc_id, text in rows:
+        for w in windows(text):
+            first[w] = min(first.get(w, S.NO_ID), doc_id)
+    for doc_id, text in rows:
+        out.append({i + k for i, w in enumerate(windows(text)) if first[w] < doc_id for k in range(n)})
+    return out
+
+
+def removed_words(df):
+    return {r.doc_id: {i for s in r.removed_spans or () for i in range(s.start, s.end)} for r in df.collect()}
+
+
+def test_substring_needs_one_earlier_document(spark):
+    rng = random.Random(31)
+    text = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    patched, line, passage = text(300), text(24), text(60)
+    start, size, _ = S.chunks(patched)
+    words = patched.split()
+    rows = [(i, f"{text(20)} {' '.join(words[max(0, a - 6):a + n + 6])} {text(20)}") for i, (a, n) in enumerate(zip(start, size))]
+    rows += [(400, f"{text(50)} {line} {words[0]} {text(50)}"), (401, f"{text(50)} {passage} {text(50)}")]
+    rows += [(500, patched), (501, f"{text(30)} {line} {patched}"), (502, f"{patched[:400]} {passage} {text(40)}")]
+    assert sum(d in {x for _, t in rows[:-5] for x in S.chunks(t)[2].tolist()} for d in S.chunks(patched)[2].tolist()) > 0.9 * len(size)
+    got = removed_words(S.substring_dedup(docs(spark, rows)))
+    assert not got[500]                                     # every chunk is known, but from another document each
+    true = dict(zip((i for i, _ in rows), repeated_words(rows, S.MIN_WORDS)))
+    assert all(got[i] <= true[i] for i in got)
+    assert len(true[502]) - len(got[502]) <= 23 and len(got[501]) >= 270
+
+
+def test_substring_cuts_true_windows_only(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    got = removed_words(S.substring_dedup(docs(spark, rows)))
+    true = repeated_words(rows, S.MIN_WORDS)
+    assert all(got[i] <= t for (i, _), t in zip(rows, true))
+    assert all(got[i] for (i, _), t in zip(rows, repeated_words(rows, 51)) if t)
+
+
+def test_groups_are_the_shortest_either_way():
+    rng = random.Random(8)
+    for n in (0, 1, 27, 28, 29, 500):
+        text = " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+        start, size, _ = S.chunks(text)
+        at = [*start.tolist(), n]
+        want = {(at[i], at[j] - at[i]) for i in range(len(start)) for j in range(i + 1, len(at))
+                if at[j] - at[i] >= 28 and (at[j - 1] - at[i] < 28 or at[j] - at[i + 1] < 28)}
+        a, k, d = S.groups(text, 28)
+        assert set(zip(a.tolist(), k.tolist())) == want and len(a) == len(want) == len(d)
+    with pytest.raises(ValueError):
+        S.repeated_spans(None, 256)
+
+
 def test_cuts_resist_insertions():
     rng = random.Random(6)
     words = [f"w{rng.randrange(900)}" for _ in range(400)]
