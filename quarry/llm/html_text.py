@@ -53,7 +53,8 @@ SCOPE = {"table", "td", "th", "caption", "html", "body"}      # an end tag insid
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>""")
 _ATTR = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_GAP = r"(?:\s|/\*.*?\*/)*"                                     # white space and comments of CSS
+_HIDING = re.compile(rf"(?:^|;){_GAP}(?:display{_GAP}:{_GAP}none|visibility{_GAP}:{_GAP}(?:hidden|collapse))(?![\w-])", re.I | re.S)
 _TOLD = re.compile(r"hidden|style|type|start|value|open|span", re.I)
 _BLANK = " \t\n\r\f"
 

@@ -188,6 +188,17 @@ def test_html_cases(page, text):
     assert H.page_text(page) == text
 
 
+@pytest.mark.parametrize("style, seen", [
+    ("backface-visibility: hidden", True), ("-webkit-backface-visibility:hidden", True), ("color:red; backface-visibility : hidden;", True),
+    ("--display: none", True), ("visibility: hidden", False), ("color:red;VISIBILITY:collapse", False), (" display : none !important", False),
+    ("backface-visibility:hidden;display:none", False), ("/* a */ display:/* b */none", False), ("color:red;;\nvisibility:hidden;", False),
+])
+def test_html_hides_by_whole_property_names(style, seen):
+    assert H.page_text(f'<p>a</p><div style="{style}"><p>b</p></div>') == ("a\n\nb" if seen else "a")
+    assert H.page_text(f'<body style="{style}">b</body>') == ("b" if seen else "")
+    assert H.page_text(f'<html style="{style}"><body>b</body></html>') == ("b" if seen else "")
+
+
 def test_html_hostile_pages_end():
     for page in ("<div>" * 20000 + "x", "<a " * 20000, "<table><tr><td>" * 60 + "x", "<ul><li>" * 3000 + "x", "<p><b>" * 5000 + "x",
                  "<td rowspan=99999 colspan=9999>a", "<script>" + "x" * 100000, '<a href="' * 3000 + ">x"):
