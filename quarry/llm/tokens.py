@@ -5,8 +5,8 @@ of its pieces in turn, as long as the cuts fall where the library cuts too.  Tex
 their words, so each Python worker keeps the ids of the pieces it has met (a bounded
 number, first come first kept) and asks the library only for new ones: a new piece of
 Latin letters and closing punctuation goes straight to the library's merge model, any
-other through its whole chain.  A text with an unusual white space sequence goes to the
-library whole.
+other through its whole chain.  A text with an unusual white space sequence, or with the
+string of an added token, which the library gives the token's id, goes to the library whole.
 """
 
 from __future__ import annotations
@@ -51,8 +51,11 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
-        self.encode = {"words": self._words, "spaces": self._spaces, "whole": self.whole}[cut]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content for t in added]
+        if any(t.normalized for t in added):             # sought in the normalised text, which pieces do not show
+            cut = "whole"
+        self._cut = {"words": self._words, "spaces": self._spaces, "whole": self.whole}[cut]
         self.model = self.tokenizer.model
         self._lower = cut == "words"
         self._tails: dict[str, list[int]] = {"": []}
@@ -74,6 +77,12 @@ class Encoder:
 
         self._get = Cache().__getitem__
 
+    def encode(self, text: str) -> bytes:
+        for token in self._added:
+            if token in text:
+                return self.whole(text)
+        return self._cut(text)
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 

@@ -77,6 +77,16 @@ def test_cached_pieces_give_the_librarys_ids(spark, path, cut):
         assert enc.encode(t) == enc.whole(t) == small.encode(t)
 
 
+@pytest.mark.parametrize("path, cut", [(WORD, "words"), (BYTE, "spaces")])
+def test_ids_are_those_of_the_file_as_it_is(path, cut):
+    from tokenizers import Tokenizer
+    enc, plain = Encoder(path, cut), Tokenizer.from_file(path)
+    texts = ODD + [f"{a}{t}{b}" for t in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "< |endoftext|>")
+                   for a in ("", "some words ", "x", "\n") for b in ("", " and more", "y", "\n\nz", t)]
+    for t in texts:
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
 # --- packing ----------------------------------------------------------------------
 
 @pytest.mark.parametrize("n, mean", [(0, 5), (1, 5), (40, 6), (4000, 6), (30000, 4)])
