@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import sql as S
+from quarry.llm.bpe import decode_documents, encode_documents
 from quarry.llm.common import bound_batches, table
 from quarry.llm.decontaminate import decontaminate
 from quarry.llm.html_text import extract_text
@@ -105,3 +106,12 @@ def op10_decontaminate(spark, d):
     return decontaminate(docs, table(spark, d, "benchmark")).select(
         "doc_id", *[F.col(f"contamination.{c}").alias(c)
                     for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
+
+
+@register("op12_bpe")
+def op12_bpe(spark, d):
+    """The token ids of every document, and the text they decode to."""
+    coded = decode_documents(encode_documents(table(spark, d, "documents").select("doc_id", "text")))
+    ids = F.col("token_ids")
+    return coded.select("doc_id", (F.length(ids) / 4).cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded_text").cast("binary"), 256).alias("decoded_sha256"))
