@@ -20,6 +20,7 @@ from quarry.llm.sharding import shard_documents
 from quarry.llm.substring import substring_dedup
 from quarry.llm.topk import top_k
 from quarry.llm.urls import filter_urls
+from quarry.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +116,13 @@ def op12_bpe(spark, d):
     ids = F.col("token_ids")
     return coded.select("doc_id", (F.length(ids) / 4).cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded_text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@register("op13_whitening")
+def op13_whitening(spark, d):
+    """Every vector on the first four whitened components."""
+    white = whiten(table(spark, d, "embeddings"), components=4)
+    cells = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "cell")
+    return white.select("vec_id", "n", "deviation", "identity_error", cells).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("cell.whitened").alias("whitened"),
+        F.col("cell.explained").alias("explained"), "identity_error")
