@@ -11,6 +11,7 @@ from quarry.llm import sql as S
 from quarry.llm.bpe import decode_documents, encode_documents
 from quarry.llm.common import bound_batches, table
 from quarry.llm.decontaminate import decontaminate
+from quarry.llm.hardneg import hard_negatives
 from quarry.llm.html_text import extract_text
 from quarry.llm.neardup import near_duplicates
 from quarry.llm.packing import pack_documents
@@ -109,6 +110,13 @@ def op10_decontaminate(spark, d):
                     for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
 
 
+@register("op11_hard_negatives", S.HARD_NEGATIVES)
+def op11_hard_negatives(spark, d):
+    """Up to three hard negatives for each positive of every fiftieth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0, relabel=label)
+
+
 @register("op12_bpe")
 def op12_bpe(spark, d):
     """The token ids of every document, and the text they decode to."""

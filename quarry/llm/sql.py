@@ -52,3 +52,19 @@ comp AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
   doc_id = coalesce(component_id, doc_id) AS kept
 FROM doc LEFT JOIN seqs ON doc.w = seqs.w LEFT JOIN n ON n.id = seqs.id LEFT JOIN comp ON comp.id = seqs.id"""
+
+
+HARD_NEGATIVES = """
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.rid, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.rid <> c.rid),
+pos AS (SELECT * FROM (SELECT rid, anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS place FROM s WHERE same) WHERE place <= 5),
+neg AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.rid, p.place ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM pos p JOIN s ON s.rid = p.rid AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3"""
