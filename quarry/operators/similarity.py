@@ -12,8 +12,9 @@ exact global top-k ordered by ``(score DESC, point key ASC)``.
 Two vector encodings share the scorer:
 
 * ``dense``: ``array<float>`` of fixed width, L2-normalised in float64;
-* ``bag``:   ``array<int>`` of hashed token buckets (a sparse count vector);
-  score = ``dot / sqrt(|q|^2 |p|^2)`` on exact integer counts.
+* ``bag``:   ``array<int>`` of hashed token buckets (a sparse count vector); points are
+  ordered by ``dot^2 / |p|^2`` (exact integers and one correctly rounded division, so equal
+  cosines give equal keys), and the cosine ``sqrt(dot^2 / |p|^2 / |q|^2)`` is reported.
 
 With IVF, the rows of each list are scored only against the queries that probe
 that list.
@@ -90,16 +91,20 @@ def _matrix(enc: Encoding, col) -> tuple[np.ndarray, np.ndarray]:
     return _dense_matrix(col, enc.dim) if enc.kind == "dense" else _bag_matrix(col, enc.dim)
 
 
-def _scores(enc: Encoding, pm: np.ndarray, qm: np.ndarray, qnorm2: np.ndarray) -> np.ndarray:
+def _keys(enc: Encoding, pm: np.ndarray, qm: np.ndarray) -> np.ndarray:
+    """What points are ordered by within a query: cosines (dense), or ``dot^2 / |p|^2`` (bag)."""
     if enc.kind == "dense":
         return pm @ qm.T
-    # integer counts: exact products in float32, the division in float64
+    # integer counts: exact products in float32 (and their squares in float64), then one division
     dotp = (pm @ qm.T).astype(np.float64)
     pnorm2 = (pm.astype(np.float64) ** 2).sum(axis=1)
-    denom = np.sqrt(pnorm2[:, None] * qnorm2[None, :])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        s = np.where(denom > 0, dotp / denom, 0.0)
-    return s
+    return dotp * dotp / np.where(pnorm2 > 0, pnorm2, 1.0)[:, None]
+
+
+def _cosines(enc: Encoding, keys: np.ndarray, qnorm2: np.ndarray) -> np.ndarray:
+    if enc.kind == "dense":
+        return keys
+    return np.sqrt(keys / np.where(qnorm2 > 0, qnorm2, 1.0))
 
 
 def _local_topk(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +139,7 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
             threshold: float, decimals: int | None, exclude_self: bool, list_col: str | None):
     """Per partition: score every batch slice against the broadcast query block and
     keep the exact top-``k`` per query across all slices of the partition."""
-    names = ["query_id", "score", point_key, *payload]
+    names = ["query_id", "_key", "score", point_key, *payload]
     rows_per_block = max(1, _POINT_BLOCK_BYTES // (enc.dim * 8))
 
     def score_slice(batch: pa.RecordBatch, q_ids, qm, qnorm2, probes) -> pa.Table | None:
@@ -149,7 +154,7 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
         else:
             # IVF: rows of one list only meet the queries that probe that list
             groups = [(np.flatnonzero(lists == lst), np.flatnonzero(probes[:, lst])) for lst in np.unique(lists)]
-        out_rows, out_q, out_s = [], [], []
+        out_rows, out_q, out_k, out_s = [], [], [], []
         for rsel, qsel in groups:
             if len(qsel) == 0 or (rsel is not None and len(rsel) == 0):
                 continue
@@ -158,26 +163,32 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
             step = max(1, _SCORE_BLOCK_BYTES // max(1, pm_g.shape[0] * 8))
             for q0 in range(0, len(qsel), step):
                 qi_blk = qsel[q0:q0 + step]
-                s = _scores(enc, pm_g, qm[qi_blk], qnorm2[qi_blk])
-                s[~valid_g, :] = -np.inf
+                keys_g = _keys(enc, pm_g, qm[qi_blk])
+                s = _cosines(enc, keys_g, qnorm2[qi_blk][None, :])
+                out = ~(s >= threshold)
+                out[~valid_g, :] = True
                 if exclude_self:
                     rk = raw_keys if rsel is None else raw_keys[rsel]
-                    s[rk[:, None] == q_ids[None, qi_blk]] = -np.inf
-                ranked = np.round(s, decimals) if decimals is not None else s.copy()
-                ranked[~(s >= threshold)] = -np.inf
+                    out |= rk[:, None] == q_ids[None, qi_blk]
+                if decimals is not None:
+                    s = np.round(s, decimals)
+                # dense scores differ in the last bits from one engine to the next: reports order them as rounded
+                ranked = s.copy() if enc.kind == "dense" else keys_g
+                ranked[out] = -np.inf
                 r, c = _local_topk(ranked, k)
                 out_rows.append(r if rsel is None else rsel[r])
                 out_q.append(qi_blk[c])
-                out_s.append(ranked[r, c])
+                out_k.append(ranked[r, c])
+                out_s.append(s[r, c])
         rows = np.concatenate(out_rows) if out_rows else np.zeros(0, dtype=np.int64)
         if len(rows) == 0:
             return None
-        qi, sc = np.concatenate(out_q), np.concatenate(out_s)
-        keep = _exact_topk(qi, sc, korder[rows], k)
-        rows, qi, sc = rows[keep], qi[keep], sc[keep]
+        qi, rank, sc = np.concatenate(out_q), np.concatenate(out_k), np.concatenate(out_s)
+        keep = _exact_topk(qi, rank, korder[rows], k)
+        rows, qi, rank, sc = rows[keep], qi[keep], rank[keep], sc[keep]
         taken = batch.select([point_key, *payload]).take(pa.array(rows, type=pa.int64()))
         return pa.Table.from_arrays(
-            [pa.array(q_ids[qi], type=pa.int64()), pa.array(sc, type=pa.float64())]
+            [pa.array(q_ids[qi], type=pa.int64()), pa.array(rank, type=pa.float64()), pa.array(sc, type=pa.float64())]
             + [taken.column(i) for i in range(taken.num_columns)], names=names)
 
     def run(batches):
@@ -204,7 +215,7 @@ def _scorer(enc: Encoding, point_key: str, vec: str, payload: list[str], bc, k:
 
 
 def _prune(tbl: pa.Table, point_key: str, k: int) -> pa.Table:
-    keep = _exact_topk(tbl.column("query_id").to_numpy(), tbl.column("score").to_numpy(),
+    keep = _exact_topk(tbl.column("query_id").to_numpy(), tbl.column("_key").to_numpy(),
                        _key_order(tbl.column(point_key).combine_chunks()), k)
     return tbl.take(pa.array(keep, type=pa.int64()))
 
@@ -248,13 +259,15 @@ def topk(points: DataFrame, queries: DataFrame, *, encoding: Encoding, k: int =
     """Top-``k`` points per query with ``score >= threshold``.
 
     Returns ``(query_id, rank, score, <point_key>, *payload)``.  Points are ranked on full
-    precision; ``decimals`` rounds scores first (for reports that another engine must repeat).
+    precision, equal scores by point key; ``decimals`` rounds the reported score, and dense
+    scores before they are ranked (for reports that another engine must repeat).
     """
     payload = [c for c in (payload or []) if c != point_key]
     spark = points.sparkSession
     key_field = points.schema[point_key]
     out_schema = T.StructType(
-        [T.StructField("query_id", T.LongType()), T.StructField("score", T.DoubleType()), key_field]
+        [T.StructField("query_id", T.LongType()), T.StructField("_key", T.DoubleType()),
+         T.StructField("score", T.DoubleType()), key_field]
         + [points.schema[c] for c in payload])
     scan_cols = [point_key, vec, *payload] + ([list_col] if list_col else [])
     pts = points.select(*dict.fromkeys(scan_cols))
@@ -272,7 +285,7 @@ def topk(points: DataFrame, queries: DataFrame, *, encoding: Encoding, k: int =
         cands = cands.unionByName(p)
     # a task hands on k candidates per query at most, and the window's group limit cuts
     # them again before the shuffle
-    order = [F.desc("score"), F.asc(point_key)]
+    order = [F.desc("_key"), F.asc(point_key)]
     w = Window.partitionBy("query_id").orderBy(*order)
     return (cands.withColumn("rank", F.row_number().over(w).cast("bigint"))
                  .filter(F.col("rank") <= k)

@@ -129,11 +129,11 @@ vec_q AS (SELECT query_id, dim, count(*) AS tf FROM tok_q GROUP BY query_id, dim
 norm_q AS (SELECT query_id, sum(tf * tf) AS n2 FROM vec_q GROUP BY query_id),
 dots AS (SELECT q.query_id, c.point_id, sum(q.tf * c.tf) AS dot
          FROM vec_q q JOIN vec_c c ON q.dim = c.dim GROUP BY q.query_id, c.point_id),
-scored AS (SELECT d.query_id, d.point_id,
-                  CAST(d.dot AS DOUBLE) / sqrt(CAST(nq.n2 * nc.n2 AS DOUBLE)) AS s
-           FROM dots d JOIN norm_q nq ON nq.query_id = d.query_id JOIN norm_c nc ON nc.point_id = d.point_id),
+keyed AS (SELECT d.query_id, d.point_id, nq.n2 AS q2, CAST(d.dot * d.dot AS DOUBLE) / CAST(nc.n2 AS DOUBLE) AS key
+          FROM dots d JOIN norm_q nq ON nq.query_id = d.query_id JOIN norm_c nc ON nc.point_id = d.point_id),
+scored AS (SELECT query_id, point_id, key, sqrt(key / CAST(q2 AS DOUBLE)) AS s FROM keyed),
 ranked AS (SELECT query_id, point_id, round(s, {C.SCORE_DECIMALS}) AS score,
-                  row_number() OVER (PARTITION BY query_id ORDER BY round(s, {C.SCORE_DECIMALS}) DESC, point_id ASC) AS rnk
+                  row_number() OVER (PARTITION BY query_id ORDER BY key DESC, point_id ASC) AS rnk
            FROM scored WHERE s >= {t}),
 hits AS (SELECT r.query_id, r.rnk::BIGINT AS rank, r.score, r.point_id, c.source_file, c.page_number,
                 c.chunk_index, coalesce(c.text, '') AS text

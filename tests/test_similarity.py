@@ -84,3 +84,23 @@ def test_lexical_xxhash_option_is_consistent(spark):
     for method in ("md5", "xxhash64"):
         hits = lexical_retrieve(chunks, q, k=1, threshold=0.1, method=method).collect()
         assert [h.source_file for h in hits] == ["a.txt"]
+
+
+def _one_word_chunks(spark):
+    """Texts that repeat one word 1 to 60 times all have the same cosine."""
+    from decimal import Decimal
+    rows = [(Decimal((7 * n) % 61), "a.txt", None, n, "the " * n) for n in range(1, 61)]
+    rows += [(Decimal(100 + n), "b.txt", None, n, "the " * n + "cat") for n in range(1, 9)]
+    return spark.createDataFrame(
+        rows, "point_id decimal(20,0), source_file string, page_number bigint, chunk_index bigint, text string")
+
+
+def test_equal_cosines_go_by_point_id(spark):
+    from quarry.operators.search import lexical_retrieve
+    q = spark.createDataFrame([(0, "the cat the dog the bird"), (1, "the")], "query_id bigint, text string")
+    for decimals in (None, 6):
+        hits = lexical_retrieve(_one_word_chunks(spark).repartition(7), q, k=80, threshold=0.1, decimals=decimals).collect()
+        alike = [int(h.point_id) for h in sorted(hits, key=lambda h: h["rank"]) if h.query_id == 1 and h.source_file == "a.txt"]
+        assert alike == list(range(1, 61))
+        mixed = [int(h.point_id) for h in sorted(hits, key=lambda h: h["rank"]) if h.query_id == 0 and h.source_file == "a.txt"]
+        assert mixed == list(range(1, 61))
