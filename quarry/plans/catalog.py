@@ -18,9 +18,9 @@ from quarry.functions.text import basename, extension, preview
 from quarry.operators import index as IX
 from quarry.operators.ann import ivf_topk, mean_vectors
 from quarry.operators.chunking import chunk_fixed, chunk_sections, chunks_per_file, split_pieces
-from quarry.operators.lexical import lexical_vectors
+from quarry.operators.lexical import lexical_vectors, token_dims
 from quarry.operators.prompts import build_prompts
-from quarry.operators.search import dense_retrieve, lexical_retrieve
+from quarry.operators.search import HIT_PAYLOAD, dense_retrieve, lexical_retrieve
 from quarry.plans import oracle_sql as O
 from quarry.sources import tables as TB
 from quarry.sources.queries import normalise_queries
@@ -490,6 +490,19 @@ def q_lexical_topk(spark, d):
     return lexical_retrieve(_doc_chunks(spark, d), _queries(spark, d), k=K, threshold=LEX_T, decimals=C.SCORE_DECIMALS)
 
 
+@register("posting_topk", sql=DOC_CHUNKS + _lexical_hits_ctes(C.SCORE_THRESHOLD) + "\nSELECT * FROM hits", ids=("point_id",))
+def q_posting_topk(spark, d):
+    """The same question table at the production threshold, over a stored collection with posting lists."""
+    from quarry.operators import postings as PL
+    from quarry.session import scratch_dir
+    base = scratch_dir(spark, "lists")
+    _doc_chunks(spark, d).withColumn("terms", token_dims("text")).write.parquet(base + "/chunks")
+    chunks = spark.read.parquet(base + "/chunks")
+    PL.append(chunks, base)
+    return PL.posting_topk(base, chunks, normalise_queries(_queries(spark, d)), k=K, threshold=C.SCORE_THRESHOLD,
+                           payload=HIT_PAYLOAD, decimals=C.SCORE_DECIMALS)
+
+
 @register("hit_preview", sql=DOC_CHUNKS + _lexical_hits_ctes() + """
 SELECT h.query_id, h.rank, h.point_id, substring(q.text, 1, 50) AS query_preview,
        substring(h.text, 1, 100) AS text_preview, length(h.text)::BIGINT AS text_length
