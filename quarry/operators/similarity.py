@@ -235,16 +235,18 @@ def _block_data(tbl: pa.Table, enc: Encoding, query_key: str, qvec: str,
     return out
 
 
-def _query_tables(queries: DataFrame, enc: Encoding, query_key: str, max_bytes: int) -> list[pa.Table]:
-    """Collect the query side in blocks whose dense form fits ``max_bytes``.
+def _query_tables(queries: DataFrame, enc: Encoding, query_key: str, max_bytes: int, split: bool) -> list[pa.Table] | None:
+    """The query side in one table, if its dense form fits ``max_bytes`` (one bounded job).
 
-    One bounded job (``limit(max_rows + 1)``) covers the common case; only a query
-    set above the bound is counted and split by a hash of the query key.
+    A larger side is counted and split by a hash of the query key, or (``split`` False) gives
+    None: it is met in stored blocks on the executors.
     """
     max_rows = max(1, max_bytes // (enc.dim * 8))
     first = queries.limit(max_rows + 1).toArrow()
     if first.num_rows <= max_rows:
         return [first]
+    if not split:
+        return None
     n_blocks = 2 * math.ceil(queries.count() / max_rows)
     blk = F.pmod(F.xxhash64(F.col(query_key)), F.lit(n_blocks))
     return [queries.filter(blk == b).toArrow() for b in range(n_blocks)]
@@ -273,7 +275,12 @@ def topk(points: DataFrame, queries: DataFrame, *, encoding: Encoding, k: int =
     pts = points.select(*dict.fromkeys(scan_cols))
     parts = []
     q = queries.select(*[c for c in [query_key, qvec, probe_col] if c])
-    for tbl in _query_tables(q, encoding, query_key, max_query_bytes):
+    tables = _query_tables(q, encoding, query_key, max_query_bytes, split=encoding.kind != "dense" or probe_col is not None)
+    if tables is None:
+        from quarry.operators.ivf import search_blocks
+        return search_blocks(points, queries, encoding.dim, k, threshold, point_key, vec, query_key, qvec, payload,
+                             exclude_self, decimals, rows=max(1, min(1024, max_query_bytes // (encoding.dim * 8))))
+    for tbl in tables:
         if tbl.num_rows == 0 and parts:
             continue
         data = _block_data(tbl, encoding, query_key, qvec, probe_col, n_lists)

@@ -34,6 +34,7 @@ DENSE_T = C.DENSE_TEST_THRESHOLD
 DENSE_DIM = 64            # width of the driver's embeddings table
 ALT_SIZE, ALT_OVERLAP = 300, 30   # second chunking used as the "new version" of documents
 IVF_NPROBE = 3
+TRAINED_LISTS, TRAINED_PROBES = 16, (4, 12)      # the driver's vectors have no clusters: 0.9 takes most lists
 
 
 def report_types(df: DataFrame) -> DataFrame:
@@ -469,6 +470,45 @@ def q_ivf_topk(spark, d):
                     threshold=DENSE_T, payload=["label"], exclude_self=True, decimals=C.SCORE_DECIMALS)
 
 
+@register("ivf_lists_topk", sql="{ORACLE_PLACEHOLDER_IVF}")
+def q_ivf_lists_topk(spark, d):
+    """The rows of ``ivf_topk`` from stored lists, of which only the probed ones are read."""
+    from quarry.operators import ivf
+    from quarry.session import scratch_dir
+    pts, base = _dense_points(spark, d), scratch_dir(spark, "ivf")
+    cents = mean_vectors(pts, "label").select(F.col("label").cast("bigint").alias("list_id"), "vector")
+    ivf.write_lists(pts, cents, base, DENSE_DIM, decimals=C.SCORE_DECIMALS)
+    return ivf.search_lists(spark, base, _dense_queries(spark, d), DENSE_DIM, IVF_NPROBE, K, DENSE_T, payload=["label"],
+                            exclude_self=True, decimals=C.SCORE_DECIMALS)
+
+
+@register("vector_blocks_topk", sql="{ORACLE_PLACEHOLDER_EXACT}")
+def q_vector_blocks_topk(spark, d):
+    """The rows of ``vector_topk`` by stored blocks of questions that meet blocks of points on the executors."""
+    from quarry.operators import ivf
+    return ivf.search_blocks(_dense_points(spark, d), _dense_queries(spark, d), DENSE_DIM, K, DENSE_T, payload=["label"],
+                             exclude_self=True, decimals=C.SCORE_DECIMALS)
+
+
+@register("ivf_trained")
+def q_ivf_trained(spark, d):
+    """Lists from the vectors alone (k-means): hits found of the exact ones, by the number of lists probed."""
+    from quarry.operators import ivf
+    from quarry.session import scratch_dir
+    pts, qs, base = _dense_points(spark, d), _dense_queries(spark, d), scratch_dir(spark, "ivf")
+    ivf.write_lists(pts, ivf.train_centroids(pts, TRAINED_LISTS, DENSE_DIM), base, DENSE_DIM)
+    exact = q_vector_topk(spark, d).select("query_id", "point_id")
+    out = None
+    for nprobe in TRAINED_PROBES:
+        hits = ivf.search_lists(spark, base, qs, DENSE_DIM, nprobe, K, DENSE_T, exclude_self=True, decimals=C.SCORE_DECIMALS)
+        found = exact.join(hits.select("query_id", "point_id", F.lit(1).alias("hit")), ["query_id", "point_id"], "left")
+        row = found.agg(F.count("*").alias("n_exact"), F.count("hit").alias("n_found")).select(
+            F.lit(TRAINED_LISTS).cast("bigint").alias("lists"), F.lit(nprobe).cast("bigint").alias("probed"), "n_exact", "n_found",
+            F.round(F.col("n_found") / F.col("n_exact"), 6).alias("recall"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register("ivf_recall", sql=f"""
 WITH exact AS ({{ORACLE_PLACEHOLDER_EXACT}}),
 approx AS ({{ORACLE_PLACEHOLDER_IVF}})
@@ -632,6 +672,8 @@ def q_filter_by_file(spark, d):
 # ledger, status, ingest and stream queries register themselves on import
 from quarry.plans import catalog_ledger  # noqa: E402,F401
 
+ORACLE["vector_blocks_topk"] = ORACLE["vector_topk"]
+ORACLE["ivf_lists_topk"] = ORACLE["ivf_topk"]
 ORACLE["ivf_recall"] = (ORACLE["ivf_recall"]
                         .replace("{ORACLE_PLACEHOLDER_EXACT}", ORACLE["vector_topk"])
                         .replace("{ORACLE_PLACEHOLDER_IVF}", ORACLE["ivf_topk"]))
