@@ -23,9 +23,14 @@ def check_dim(points: DataFrame, dim: int, vec: str = "vector") -> DataFrame:
         vec, F.when(bad, F.raise_error(F.lit(f"vector width differs from {dim}"))).otherwise(F.col(vec)))
 
 
+def _last(new: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """One row per key.  What ``order`` leaves open is decided by the rows' own values, so a retried task picks alike."""
+    return last_per_key(new, [key], [*(order or []), *[c for c in new.columns if c != key and c not in (order or [])]])
+
+
 def upsert(index: DataFrame, new: DataFrame, key: str = "point_id", order: list[str] | None = None) -> DataFrame:
-    """Insert or overwrite by ``key``; within ``new`` the last row by ``order`` wins."""
-    fresh = last_per_key(new, [key], order) if order else new.dropDuplicates([key])
+    """Insert or overwrite by ``key``; within ``new`` the last row by ``order`` (and then by all its columns) wins."""
+    fresh = _last(new, key, order)
     kept = index.join(fresh.select(key), key, "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True).select(*index.columns)
 
@@ -42,7 +47,7 @@ def replace_files(index: DataFrame, new: DataFrame, col: str = "source_file", ke
     """
     touched = new.select(col).distinct()
     kept = index.join(touched, col, "left_anti")
-    return kept.unionByName(new.dropDuplicates([key]), allowMissingColumns=True).select(*index.columns)
+    return kept.unionByName(_last(new, key), allowMissingColumns=True).select(*index.columns)
 
 
 def filter_by_file(index: DataFrame, name: str, col: str = "source_file") -> DataFrame:

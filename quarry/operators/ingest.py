@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry import config as C
@@ -19,6 +19,31 @@ from quarry.operators.index import delete_by_file, replace_files
 from quarry.operators.ledger import change_detect, files_to_ingest, upsert_ledger, LEDGER_COLS
 
 
+def _fingerprint():
+    """Metrics that two tables share if they hold as many rows of each file (but for chance of 2 ** -40)."""
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("source_file"), F.lit(1 << 40)).cast("decimal(38,0)")).alias("files")]
+
+
+def stored_with_metrics(df: DataFrame, store: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, dict]:
+    """``df`` as ``store`` writes it, and its fingerprint, taken while it is written (no second pass)."""
+    seen = Observation()
+    stored = store(df.observe(seen, *_fingerprint()))
+    return stored, seen.get
+
+
+def upload_status(files: DataFrame, sections: DataFrame, chunks: DataFrame, points: DataFrame,
+                  store: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Write produced chunks and uploaded points once each; ``(stored points, document_status)``.
+
+    Both writes are observed.  Equal fingerprints mean that nothing was lost, and no table is
+    counted again; otherwise (points lost, or a metric counted twice by a retried stage) the
+    points are counted per file.  ``points`` is derived from ``chunks`` by a function of it.
+    """
+    chunks, made = stored_with_metrics(chunks, lambda df: store(df, "chunks"))
+    points, written = stored_with_metrics(points, lambda df: store(df, "points"))
+    return points, document_status(files, sections, chunks, None if made == written else points)
+
+
 def document_status(files: DataFrame, sections: DataFrame, chunks: DataFrame,
                     uploaded: DataFrame | None = None) -> DataFrame:
     """``(source_file, file_type, n_sections, n_chunks, n_uploaded, status, error_message)``.
@@ -89,15 +114,18 @@ def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataF
                    if "read_error" in sections.columns else None)
     good_sections = sections.filter(F.col("read_error").isNull()) if read_errors is not None else sections
     chunks = chunk_sections(good_sections.filter(F.col("file_type").isin(*C.FILE_TYPES)), size, overlap)
+    made = written = None
     if materialize is not None:
-        chunks = materialize(chunks, "chunks")
+        chunks, made = stored_with_metrics(chunks, lambda df: materialize(df, "chunks"))
     points = chunks
     if embed:
         points = embed(chunks)
         if materialize is not None:
-            points = materialize(points, "points")
+            points, written = stored_with_metrics(points, lambda df: materialize(df, "points"))
     f_err = files.join(read_errors, "source_file", "left") if read_errors is not None else files
-    status = document_status(f_err, good_sections, chunks, None if points is chunks else points)
+    # what the writes observed tells whether points were lost; only then are they counted per file
+    whole = points is chunks or (written is not None and written == made)
+    status = document_status(f_err, good_sections, chunks, None if whole else points)
     ok_files = status.filter(F.col("status") == C.STATUS_SUCCESS).select("source_file")
     new_points = points.join(ok_files, "source_file", "left_semi")
     # a file that was read and turned out empty holds no text any more: its old points go too

@@ -5,7 +5,9 @@ State lives in one folder (on a cluster: under the shared checkpoint folder):
     <state>/index    points, partitioned by a bucket of the source file
     <state>/ledger   ledger rows, partitioned by a bucket of the file path (Parquet is the
                      primary store; JSON is import/export)
-    <state>/runs/<id> this scan's listing, sections, points and status (each written once)
+    <state>/runs/<id> this scan's listing, sections, points and status (each written once);
+                     the listing, changes, status and points stay until the next scan or
+                     ``clear_all``, the rest goes when the ledger is written
 
 A scan reads the state, computes everything as one batch, writes its new points once,
 then replaces the touched files in the index and after that in the ledger.  Only the
@@ -80,6 +82,7 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     The numbers of buckets are properties of the state's tables: choose them when the state is
     created (so that a bucket holds about a file of Parquet) and keep them.
     """
+    BT.clear(spark, f"{state}/runs")                       # of scans before this one
     run_dir = f"{state}/runs/{uuid.uuid4().hex[:12]}"
 
     def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -113,11 +116,12 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
                         "status", "error_message"))
     BT.replace_keys(spark, f"{state}/ledger", C.LEDGER, "file_path", ledger_buckets,
                      changed=rows, removed=gone)
+    BT.clear(spark, f"{run_dir}/sections")
     return {"changes": changes, "status": status, "points": new_points,
             "index": read_state_index(spark, state), "ledger": read_state_ledger(spark, state)}
 
 
 def clear_all(spark: SparkSession, state: str) -> None:
     """Empty the collection and the ledger."""
-    BT.clear(spark, f"{state}/index")
-    BT.clear(spark, f"{state}/ledger")
+    for part in ("index", "ledger", "runs"):
+        BT.clear(spark, f"{state}/{part}")

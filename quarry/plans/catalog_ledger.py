@@ -207,6 +207,37 @@ def q_document_status(spark, d):
     return document_status(files, sections, chunks)
 
 
+@register("upload_mismatch", sql="WITH RECURSIVE " + O.chunk_ctes(O.document_sections()) + f""",
+c AS (SELECT source_file, count(*)::BIGINT AS n, count(*) FILTER (WHERE NOT (text_length % 5 = 0 AND chunk_index % 2 = 1))::BIGINT AS kept
+      FROM chunks GROUP BY source_file)
+SELECT 'doc_' || doc_id || '.txt' AS source_file, coalesce(n, 0)::BIGINT AS n_chunks, coalesce(kept, 0)::BIGINT AS n_uploaded,
+       CASE WHEN n IS NULL THEN 'skipped_empty' WHEN n = kept THEN 'success' ELSE 'failed' END AS status,
+       CASE WHEN n IS NULL THEN '{C.MSG_EMPTY}' WHEN n <> kept
+            THEN 'Mismatch in uploaded chunks count. Expected ' || n || ', got ' || kept || '.' END AS error_message
+FROM documents LEFT JOIN c ON c.source_file = 'doc_' || doc_id || '.txt'""")
+def q_upload_mismatch(spark, d):
+    """An upload that loses points: the observed writes differ, and the files concerned fail with both counts."""
+    from quarry.operators.ingest import upload_status
+    base = scratch_dir(spark, "upload")
+
+    def store(df, name):
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+
+    sections = _doc_sections(spark, d)
+    chunks = chunk_sections(sections)
+    lost = (F.col("text_length") % 5 == 0) & (F.col("chunk_index") % 2 == 1)
+    _points, status = upload_status(sections.select("source_file", "file_type"), sections, chunks, chunks.filter(~lost), store)
+    return status.select("source_file", "n_chunks", "n_uploaded", "status", "error_message")
+
+
+@register("number_sections", sql="""SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text)::BIGINT AS section_no,
+       count(*) OVER (PARTITION BY conv_id)::BIGINT AS n_sections FROM conversations""")
+def q_number_sections(spark, d):
+    """Sections numbered by ranges and prefix counts: a file of any size is numbered by many tasks."""
+    return TB.number_sections(_t(spark, d, "conversations").select("conv_id", "turn", "text"), "conv_id", ["turn", "text"])
+
+
 def _doc_loader(documents):
     def load(files):
         doc_id = F.regexp_extract("file_path", r"user_(\d+)\.txt$", 1).cast("bigint")
@@ -314,6 +345,46 @@ def q_stream_ingest(spark, d):
     return read_ledger(spark, base + "/table")
 
 
+# Versions that arrive one after another in ``stream_replace``: every document, then some blank, grown or unreadable.
+_VERSIONS = f"""SELECT doc_id, CASE WHEN doc_id % {_BLANK} = 0 THEN '  ' WHEN doc_id % {_GROWN} = 0 THEN text || '{_MORE}' ELSE text END AS text,
+  doc_id % {_GONE} = 0 AND doc_id % {_BLANK} <> 0 AND doc_id % {_GROWN} <> 0 AS broken FROM documents"""
+
+
+@register("stream_replace", sql="WITH RECURSIVE v AS (" + _VERSIONS + "),\n" + O.chunk_ctes(
+    """SELECT 'doc_' || doc_id || '.txt' AS source_file, 'txt' AS file_type, 1::BIGINT AS section_no, 1::BIGINT AS n_sections, text FROM v""") + f""",
+c AS (SELECT source_file, count(*)::BIGINT AS n, sum(text_length)::BIGINT AS total FROM chunks GROUP BY source_file)
+SELECT 'doc_' || doc_id || '.txt' AS source_file,
+       CASE WHEN broken THEN 'failed' WHEN v.text IS NULL OR NOT {O.has_text('v.text')} THEN 'skipped_empty' ELSE 'success' END AS status,
+       CASE WHEN broken THEN 'unreadable' WHEN v.text IS NULL OR NOT {O.has_text('v.text')} THEN '{C.MSG_EMPTY}' END AS error_message,
+       coalesce(c.n, 0)::BIGINT AS n_points, coalesce(c.total, 0)::BIGINT AS total_length
+FROM v LEFT JOIN c ON c.source_file = 'doc_' || doc_id || '.txt'""")
+def q_stream_replace(spark, d):
+    """File versions arrive as a stream: points and ledger after all micro-batches.  A file that
+    cannot be read any more keeps its old points and is marked failed."""
+    from quarry.operators.scan import read_state_index, read_state_ledger
+    from quarry.streaming.incremental import stream_files
+    base = scratch_dir(spark, "file-stream")
+    docs = _t(spark, d, "documents")
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_path")
+    blank, grown, broken = (F.col("doc_id") % m == 0 for m in (_BLANK, _GROWN, _GONE))
+    first = docs.select(name, F.lit("2024-01-01").cast("timestamp").alias("mtime"), "text", F.lit(None).cast("string").alias("read_error"))
+    text = F.when(blank, F.lit("  ")).when(grown, F.concat("text", F.lit(_MORE)))
+    later = docs.filter(blank | grown | broken).select(
+        name, F.lit("2024-01-02").cast("timestamp").alias("mtime"), text.alias("text"),
+        F.when(broken & ~blank & ~grown, F.lit("unreadable")).alias("read_error"))
+    schema = first.schema
+    for part in (first, later, first.filter(F.length("file_path") % 2 == 0)):            # the last: old versions come late
+        part.write.mode("append").parquet(base + "/in")
+        src = spark.readStream.schema(schema).parquet(base + "/in")
+        stream_files(spark, src, base + "/state", base + "/_checkpoint", index_buckets=8, ledger_buckets=4)
+    points = read_state_index(spark, base + "/state").groupBy("source_file").agg(
+        F.count("*").alias("n_points"), F.sum("text_length").alias("total_length"))
+    return (read_state_ledger(spark, base + "/state").select(F.col("file_path").alias("source_file"), "status", "error_message")
+            .join(points, "source_file", "left")
+            .select("source_file", "status", "error_message", F.coalesce("n_points", F.lit(0)).cast("bigint").alias("n_points"),
+                    F.coalesce("total_length", F.lit(0)).cast("bigint").alias("total_length")))
+
+
 @register("stream_retrieve", sql=_prompt_sql())
 def q_stream_retrieve(spark, d):
     """Questions arrive as a file stream and are answered against the stored chunk table."""

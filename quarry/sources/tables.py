@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.config import STATUS_FAILED, STATUS_SKIPPED_EMPTY, STATUS_SUCCESS, MSG_EMPTY
+from quarry.session import scratch_dir
 
 # Cut-off between ledger history and later activity in the events table.
 HISTORY_CUTOFF = "2024-01-20 00:00:00"
@@ -49,6 +50,31 @@ def document_sections(documents: DataFrame) -> DataFrame:
         F.col("text"))
 
 
+def number_sections(rows: DataFrame, file: str, order: list[str], parts: int | None = None) -> DataFrame:
+    """``rows`` with ``section_no`` (1.. within ``file`` by ``order``) and ``n_sections``, for files of any size.
+
+    Rows are ranged by (file, order) and stored, so a file of most rows is sorted by many tasks; a
+    row's number is its place in its range plus the rows of the file in the ranges before.  Only
+    the counts by file and range (files + ranges rows) go through a window.  Rows that are equal
+    in ``order`` are numbered in any order.
+    """
+    spark = rows.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_dir(spark, "numbered")
+    at = F.monotonically_increasing_id()
+    (rows.repartitionByRange(parts, file, *order).sortWithinPartitions(file, *order)
+     .withColumns({"_part": F.shiftright(at, 33).cast("int"), "_at": at.bitwiseAND(F.lit((1 << 33) - 1))}).write.parquet(path))
+    stored = spark.read.parquet(path)
+    counts = stored.groupBy(file, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    by_file = Window.partitionBy(file)
+    before = F.sum("_n").over(by_file.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(F.col(file).alias("_file"), F.col("_part").alias("_p"), "_first", F.coalesce(before, F.lit(0)).alias("_before"),
+                            F.sum("_n").over(by_file).alias("n_sections"))
+    same = (F.col(file).eqNullSafe(F.col("_file"))) & (F.col("_part") == F.col("_p"))
+    return stored.join(offsets, same).select(
+        *rows.columns, (F.col("_at") - F.col("_first") + F.col("_before") + 1).cast("bigint").alias("section_no"), F.col("n_sections").cast("bigint"))
+
+
 def conversation_sections(conversations: DataFrame) -> DataFrame:
     """Turns become pages of ``conv_<id>.pdf``: numbered 1.. by turn, counted per file.
 

@@ -3,12 +3,14 @@
 * ``stream_ledger`` (repeated scan): a stream of file-status events is folded
   into the bucketed ledger table in ``foreachBatch`` (last write per path wins;
   only the touched buckets are rewritten; a replayed batch gives the same result).
+* ``stream_files`` (re-scan as a service): a stream of file versions, from a landing zone or
+  from ``sources.changed_files``, is deduplicated, chunked and folded into index and ledger.
 * ``stream_answers`` (question loop): a stream of questions joined, per
   micro-batch, against the static chunk collection (stream-static similarity
   join through the block scorer), producing prompt rows appended to a sink.
 
-The built-in file source only suits append-only landing zones (an overwritten
-path is not re-delivered), which is what both streams read.
+The built-in file source only suits append-only landing zones (an overwritten path is not
+re-delivered); ``sources.changed_files`` sees overwritten files.
 """
 
 from __future__ import annotations
@@ -16,12 +18,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.config import LEDGER
+from quarry.config import LEDGER, POINTS, STATUS_SKIPPED_EMPTY, STATUS_SKIPPED_NO_CHUNKS
+from quarry.functions.text import basename
 from quarry.operators import ledger as L
 from quarry.operators import bucketed as BT
+from quarry.operators.common import last_per_key
 from quarry.operators.prompts import build_prompts
 from quarry.operators.search import lexical_retrieve
+from quarry.session import scratch_dir
 from quarry.sources.queries import normalise_queries
 
 
@@ -54,6 +60,62 @@ def read_ledger(spark: SparkSession, ledger_base: str) -> DataFrame:
     return BT.read_current(spark, ledger_base, LEDGER)
 
 
+def _fold_files(spark: SparkSession, batch: DataFrame, state: str, index_buckets: int, ledger_buckets: int) -> None:
+    """One micro-batch of file versions ``(file_path, mtime, text[, read_error])`` into index and ledger.
+
+    Last version per path; versions older than the ledger's are dropped, and of the ledger's own
+    only a failed one is tried again, so a replayed or late batch changes nothing.  The points go in before the ledger rows, and both
+    replace by key: a crash in between makes the replay redo the same files.
+    """
+    from quarry.operators.ingest import ingest
+    from quarry.operators.scan import POINT_COLS, _with_vectors, read_state_index
+
+    run = scratch_dir(spark, "stream-files")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{run}/{name}")
+        return spark.read.parquet(f"{run}/{name}")
+
+    error = F.col("read_error") if "read_error" in batch.columns else F.lit(None).cast("string")
+    versions = stored(last_per_key(batch.select("file_path", "mtime", "text", error.alias("read_error")).filter("file_path is not null"),
+                                   ["file_path"], ["mtime", "text"]), "versions")
+    paths = versions.select("file_path")
+    known = (BT.read_current(spark, f"{state}/ledger", LEDGER, BT.buckets_of(paths, "file_path", ledger_buckets))
+             .join(paths, "file_path", "left_semi"))
+    ledger = stored(known, "ledger")
+    late = ledger.select("file_path", "last_modified").join(versions.select("file_path", "mtime"), "file_path").filter("mtime < last_modified")
+    versions = versions.join(late.select("file_path"), "file_path", "left_anti")
+    ledger = ledger.join(late.select("file_path"), "file_path", "left_anti")
+
+    def load(files: DataFrame) -> DataFrame:
+        return files.join(versions.drop("mtime"), "file_path").select(
+            "source_file", "file_path", "file_type", "mtime", F.lit(1).cast("bigint").alias("section_no"),
+            F.lit(1).cast("bigint").alias("n_sections"), "text", "read_error")
+
+    out = ingest(versions.select("file_path", "mtime"), ledger, load, spark.createDataFrame([], POINTS), materialize=stored)
+    status = stored(out["status"], "status")
+    emptied = status.filter(F.col("status").isin(STATUS_SKIPPED_EMPTY, STATUS_SKIPPED_NO_CHUNKS)).select("source_file")
+    BT.replace_keys(spark, f"{state}/index", POINTS, "source_file", index_buckets,
+                    changed=_with_vectors(out["points"]).select(*POINT_COLS), removed=emptied)
+    todo = L.files_to_ingest(out["changes"]).select("file_path", F.col("mtime").alias("last_modified"))
+    rows = (todo.withColumn("source_file", basename("file_path")).join(status.select("source_file", "status", "error_message"), "source_file", "left")
+            .select("file_path", "last_modified", F.current_timestamp().alias("ingested_at"), "status", "error_message"))
+    BT.replace_keys(spark, f"{state}/ledger", LEDGER, "file_path", ledger_buckets, changed=rows)
+    BT.clear(spark, run)
+
+
+def stream_files(spark: SparkSession, versions: DataFrame, state: str, checkpoint: str,
+                 index_buckets: int = 64, ledger_buckets: int = 64) -> None:
+    """Fold a stream of file versions ``(file_path, mtime, text[, read_error])`` into the state that
+    ``operators.scan`` and ``api.ask`` read: dedupe, chunk, replace the files' points, upsert the ledger."""
+
+    def fold(batch: DataFrame, epoch_id: int) -> None:
+        _fold_files(spark, batch, state, index_buckets, ledger_buckets)
+
+    q = (versions.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def stream_answers(spark: SparkSession, questions: DataFrame, chunks: DataFrame, sink: str,
                    checkpoint: str, k: int, threshold: float) -> None:
     """Prompts for every question of the stream, written to ``sink/epoch=<id>`` (Parquet)."""

@@ -60,3 +60,69 @@ def test_stream_answers_equal_batch_ties_included_and_replay(spark):
     # the same questions from the start: every epoch's folder is written again, nothing doubles
     stream_answers(spark, src, chunks, base + "/out", base + "/ckpt2", 5, 0.1)
     assert sorted(map(str, spark.read.parquet(base + "/out").drop("epoch").collect())) == got
+
+
+VERSIONS = "file_path string, mtime timestamp, text string, read_error string"
+
+
+def _state(spark, state):
+    from quarry.operators.scan import read_state_index, read_state_ledger
+    points = sorted((r.source_file, r.chunk_index, r.text) for r in read_state_index(spark, state).collect())
+    ledger = sorted((r.file_path, str(r.last_modified), r.status) for r in read_state_ledger(spark, state).collect())
+    return points, ledger
+
+
+def test_stream_files_replaces_and_a_replay_changes_nothing(spark):
+    import datetime as dt
+    from quarry.api import retrieve
+    from quarry.streaming.incremental import _fold_files, stream_files
+    base = tempfile.mkdtemp(prefix="quarry-files-")
+    day = lambda n: dt.datetime(2024, 1, n)
+    batches = [
+        [("a.txt", day(1), "alpha " * 200, None), ("b.txt", day(1), "beta", None), ("c.txt", day(1), " ", None), ("b.txt", day(2), "beta two", None)],
+        [("a.txt", day(3), "short now", None), ("b.txt", day(3), None, "unreadable"), ("d.txt", day(1), None, None)],
+        [("a.txt", day(2), "late version", None), ("c.txt", day(4), "gamma", None), ("b.txt", day(3), "beta three", None)],
+    ]
+    schema = spark.createDataFrame([], VERSIONS).schema
+    for rows in batches:
+        spark.createDataFrame(rows, VERSIONS).coalesce(1).write.mode("append").parquet(base + "/in")
+        stream_files(spark, spark.readStream.schema(schema).parquet(base + "/in"), base + "/state", base + "/ckpt", 4, 4)
+    points, ledger = _state(spark, base + "/state")
+    assert [(f, t) for f, _, t in points] == [("a.txt", "short now"), ("b.txt", "beta three"), ("c.txt", "gamma")]
+    assert [(f, s) for f, _, s in ledger] == [("a.txt", "success"), ("b.txt", "success"), ("c.txt", "success"), ("d.txt", "skipped_empty")]
+    for rows in batches[1:]:                        # an epoch that is run again after a crash
+        _fold_files(spark, spark.createDataFrame(rows, VERSIONS), base + "/state", 4, 4)
+    assert _state(spark, base + "/state") == (points, ledger)
+    hits = retrieve(spark, base + "/state", ["gamma"], threshold=0.5).collect()
+    assert [h.source_file for h in hits] == ["c.txt"]
+
+
+def test_changed_files_source_sees_overwritten_files(spark):
+    import os
+    from quarry.sources.changed_files import ChangedFiles, text_events
+    from quarry.streaming.incremental import stream_files
+    spark.dataSource.register(ChangedFiles)
+    base = tempfile.mkdtemp(prefix="quarry-changed-")
+    folder = base + "/texts"
+    os.makedirs(folder)
+
+    def put(name, data, at):
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(data)
+        os.utime(f"{folder}/{name}", (at, at))
+
+    def scan():
+        src = text_events(spark.readStream.format("changed_files").option("folder", folder).option("suffix", ".txt").load())
+        stream_files(spark, src, base + "/state", base + "/ckpt", 4, 4)
+        return {(f, t) for f, _, t in _state(spark, base + "/state")[0]}
+
+    put("a.txt", b"one\r\ntwo", 1_000_000)
+    put("b.txt", b"bee", 1_000_000)
+    put("x.md", b"not listed", 1_000_000)
+    assert scan() == {("a.txt", "one\ntwo"), ("b.txt", "bee")}
+    put("a.txt", b"three", 1_000_500)
+    put("c.txt", b"same tick as the first scan's newest", 1_000_000)
+    assert scan() == {("a.txt", "three"), ("b.txt", "bee"), ("c.txt", "same tick as the first scan's newest")}
+    put("b.txt", b"\xff\xfe", 1_000_900)
+    assert scan() == {("a.txt", "three"), ("b.txt", "bee"), ("c.txt", "same tick as the first scan's newest")}     # unreadable: old points stay
+    assert {s for f, _, s in _state(spark, base + "/state")[1] if f.endswith("b.txt")} == {"failed"}
