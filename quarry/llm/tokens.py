@@ -2,20 +2,24 @@
 
 The library splits a text into words before it merges, so the ids of a text are those
 of its pieces in turn, as long as the cuts fall where the library cuts too.  Texts repeat
-their words, so each Python worker keeps the ids of the pieces it has met (a bounded
-number, first come first kept) and asks the library only for new ones: a new piece of
-Latin letters and closing punctuation goes straight to the library's merge model, any
-other through its whole chain.  A text with an unusual white space sequence, or with the
+their words, so each Python worker keeps the ids of the pieces it has met lately (a bounded
+number, frequent ones stay) and asks the library only for new ones: a new piece of Latin
+letters and closing punctuation is looked up without its punctuation and case, and goes
+straight to the library's merge model if that is new too; any other goes through the
+library's whole chain.  A text with an unusual white space sequence, or with the
 string of an added token, which the library gives the token's id, goes to the library whole.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
+from quarry.llm.bpe import LITTLE, Kept
+
 CACHE_PIECES = 500_000     # some 80 MB a worker
 CLOSING = ".,;:!?"
 LATIN_END = "\u0250"      # letters below it are single, composed and keep their case pairs
@@ -58,24 +62,19 @@ class Encoder:
         self._cut = {"words": self._words, "spaces": self._spaces, "whole": self.whole}[cut]
         self.model = self.tokenizer.model
         self._lower = cut == "words"
-        self._tails: dict[str, list[int]] = {"": []}
-        piece_ids = self._piece
-
-        class Cache(dict):
-            def __missing__(self, piece):
-                if cut == "spaces":
-                    # after the first word a piece stands for a space, or a line break of its own, and a word
-                    body = piece[1:] if piece[:1] == "\n" else piece
-                    if not body or body[0].isspace():
-                        raise _Unusual
-                    ids = piece_ids("\n", body) if piece[0] == "\n" else piece_ids(" ", body)
-                else:
-                    ids = piece_ids("", piece)
-                if len(self) < cache:
-                    self[piece] = ids
-                return ids
-
-        self._get = Cache().__getitem__
+        self._tails: dict[str, bytes] = {}
+        self._cores = Kept(self._core, cache).__getitem__
+
+        def new(piece: str) -> bytes:
+            if cut != "spaces":
+                return self._piece("", piece)
+            # after the first word a piece stands for a space, or a line break of its own, and a word
+            body = piece[1:] if piece[:1] == "\n" else piece
+            if not body or body[0].isspace():
+                raise _Unusual
+            return self._piece("\n" if piece[0] == "\n" else " ", body)
+
+        self._get = Kept(new, cache).__getitem__
 
     def encode(self, text: str) -> bytes:
         for token in self._added:
@@ -91,19 +90,21 @@ class Encoder:
         tail = body[len(word):]
         if self._lower:
             word = word.lower()
-        if not word.isalpha() or max(word) >= LATIN_END:
+        if not word.isalpha() or not (word.isascii() or max(word) < LATIN_END):
             return self.whole(lead + body)
-        ids = []
         if lead == "\n":
-            ids += self._merged("\n")
-            lead = ""
-        ids += self._merged(lead + word)
+            core = self._cores(lead) + self._cores(word)
+        else:
+            core = self._cores(lead + word)
+        if not tail:
+            return core
         if tail not in self._tails:
-            self._tails[tail] = self._merged(tail)
-        return np.array(ids + self._tails[tail], "<u4").tobytes()
+            self._tails[tail] = self._core(tail)
+        return core + self._tails[tail]
 
-    def _merged(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
+    def _core(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
+        return array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
 
     def _words(self, text: str) -> bytes:
         # str.split() also cuts at four control characters that the library takes for text
