@@ -30,13 +30,13 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN marked USING (rid) LEFT JOIN listed USING (rid)"""
 
 TOP_K = """
-WITH v AS (SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * x::DOUBLE))) AS v FROM embeddings
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.rid <> c.rid)
 SELECT query_id, rank, vec_id, score FROM (SELECT query_id, vec_id, score,
-  row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 5"""
+  row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 5"""
 
 NEAR_DUPLICATES = f"""
 WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all({_fold('text')}, '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -12,8 +12,8 @@ small candidate set stays below its k-th best accumulator, or when all segments
 read.  The candidates are then rescored exactly, so results are exact, ties included.
 
 Defined cases: vectors that are NULL or hold NULL or non-finite components, and rows
-without an id, take no part; rows that repeat an id count once, with the smallest of their
-vectors; components missing at the end of a shorter vector count as zero; a query with
+without an id, take no part; rows that repeat an id are rows of their own, as queries and as
+candidates ("other rows" are all but the query's own row); components missing at the end of a shorter vector count as zero; a query with
 fewer than k candidates returns them all.  Scores are exact while they fit 64 bits.
 """
 
@@ -29,9 +29,10 @@ from quarry.llm.common import materialise
 SCALE = 256
 BLOCK = 8192
 GROUP = 4096
-LEVELS = 12
+LEVELS = 64                # of 12, whole segments are so wide that most rows would need rescoring
+FEW = 64                   # rescoring a 64th of a block costs less than reading on
 ROUNDS = 6                 # proofs tried on the way through the segments
-PARTIAL = "query_id bigint, vec_id bigint, score bigint"
+PARTIAL = "rid bigint, query_id bigint, vec_id bigint, score bigint"
 
 
 def quantised(vec: Column, scale: int = SCALE) -> Column:
@@ -50,6 +51,7 @@ class ImpactIndex:
         self.x = x
         n, dims = x.shape
         self.order = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)      # a row of postings for each dimension
+        self.flat = self.order.ravel()
         self.most_x = int(np.abs(x).max(initial=0))
         self.floats = x.astype(np.float64)                                             # for exact products below 2 ** 53
         self.low, self.high = x.min(0), x.max(0)
@@ -68,6 +70,18 @@ class ImpactIndex:
         self.dim, self.start, self.end = np.array(dim), np.array(start), np.array(end)
         self.least, self.most = np.array(least), np.array(most)       # values at the ends of a segment
 
+    def _accumulate(self, acc: np.ndarray, segments: np.ndarray, least: np.ndarray) -> None:
+        """Add each segment's lowest impact to its postings' accumulators."""
+        if not len(segments):
+            return
+        at, sizes = self.dim[segments] * len(acc) + self.start[segments], (self.end - self.start)[segments]
+        if int(least[segments].sum()) < 1 << 53:              # sums are exact in float64
+            postings = np.concatenate([self.flat[a:a + m] for a, m in zip(at.tolist(), sizes.tolist())])
+            acc += np.bincount(postings, np.repeat(least[segments].astype(np.float64), sizes), minlength=len(acc)).astype(np.int64)
+        else:
+            for a, m, s in zip(at, sizes, segments):
+                acc[self.flat[a:a + m]] += least[s]
+
     def search(self, q: np.ndarray, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(rows, exact scores)`` of all possible members of the top k; rows flagged in ``own`` take no part."""
         n, dims = self.x.shape
@@ -82,14 +96,12 @@ class ImpactIndex:
         unread = np.zeros(dims, np.int64)                       # the best impact not yet read, by dimension
         np.maximum.at(unread, self.dim[use], most[use])
         width = np.zeros(dims, np.int64)                        # the widest segment read, by dimension
-        small = max(8 * k, n // 8)
+        small = max(8 * k, n // FEW)
         free = n - int(own.sum())
         cand = np.arange(n)
         done = 0
         for part in np.array_split(use, ROUNDS):
-            for s in part:
-                if least[s]:
-                    acc[self.order[self.dim[s], self.start[s]:self.end[s]]] += least[s]
+            self._accumulate(acc, part[least[part] > 0], least)
             np.maximum.at(width, self.dim[part], (most - least)[part])
             done += len(part)
             unread[:] = 0
@@ -116,40 +128,40 @@ def matrix(vectors: pd.Series, dims: int) -> np.ndarray:
 
 def block_search(block: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     if not len(block) or not len(queries):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        return pd.DataFrame({"rid": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
     dims = max(map(len, [*block["v"], *queries["v"]]))
-    ids = block["vec_id"].to_numpy(np.int64)
+    ids, rids = block["vec_id"].to_numpy(np.int64), block["rid"].to_numpy(np.int64)
     index = ImpactIndex(matrix(block["v"], dims))
     out = []
-    for qid, q in zip(queries["vec_id"], matrix(queries["v"], dims)):
-        rows, scores = index.search(q, k, ids == qid)
+    for rid, qid, q in zip(queries["rid"], queries["vec_id"], matrix(queries["v"], dims)):
+        rows, scores = index.search(q, k, rids == rid)
         best = np.lexsort((ids[rows], -scores))[:k]
-        out.append((np.full(len(best), qid, np.int64), ids[rows[best]], scores[best]))
-    return pd.DataFrame({c: np.concatenate(p) for c, p in zip(("query_id", "vec_id", "score"), zip(*out))})
+        out.append((np.full(len(best), rid, np.int64), np.full(len(best), qid, np.int64), ids[rows[best]], scores[best]))
+    return pd.DataFrame({c: np.concatenate(p) for c, p in zip(("rid", "query_id", "vec_id", "score"), zip(*out))})
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """The ``k`` best other rows for every row where ``is_query``: query_id, rank, vec_id, score."""
     rows = (vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding"))
             .filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-            .groupBy("vec_id").agg(F.min(quantised(F.col("embedding"))).alias("v")))
+            .select(F.monotonically_increasing_id().alias("rid"), "vec_id", quantised(F.col("embedding")).alias("v")))
     rows = materialise(rows, "vectors")
     total, asked = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     blocks, groups = max(1, -(-total // block)), max(1, -(-asked // group))
-    h = F.xxhash64("vec_id")
+    h = F.xxhash64("rid")
 
     def numbers(n):
         return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
 
     index = rows.select(F.pmod(h, F.lit(blocks)).alias("b"),
-                        F.explode(numbers(groups)).alias("g"), "vec_id", "v")
+                        F.explode(numbers(groups)).alias("g"), "rid", "vec_id", "v")
     queries = rows.filter(is_query).select(F.explode(numbers(blocks)).alias("b"),
-                                           F.pmod(h, F.lit(groups)).alias("g"), "vec_id", "v")
+                                           F.pmod(h, F.lit(groups)).alias("g"), "rid", "vec_id", "v")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return block_search(left, right, k)
 
     found = index.groupBy("b", "g").cogroup(queries.groupBy("b", "g")).applyInPandas(search, PARTIAL)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    order = Window.partitionBy("rid").orderBy(F.desc("score"), F.asc("vec_id"))
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
