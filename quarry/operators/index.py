@@ -25,7 +25,8 @@ def check_dim(points: DataFrame, dim: int, vec: str = "vector") -> DataFrame:
 
 def _last(new: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """One row per key.  What ``order`` leaves open is decided by the rows' own values, so a retried task picks alike."""
-    return last_per_key(new, [key], [*(order or []), *[c for c in new.columns if c != key and c not in (order or [])]])
+    ordered = [f.name for f in new.schema.fields if "map<" not in f.dataType.simpleString()]      # maps have no order
+    return last_per_key(new, [key], [*(order or []), *[c for c in ordered if c != key and c not in (order or [])]])
 
 
 def upsert(index: DataFrame, new: DataFrame, key: str = "point_id", order: list[str] | None = None) -> DataFrame:

@@ -73,6 +73,14 @@ def test_upsert_idempotent_and_replace_no_surplus(spark):
     assert sorted((r.point_id, r.text) for r in rep.collect()) == [(1, "x2"), (3, "z")]
 
 
+def test_rows_that_repeat_a_key_are_decided_by_their_values(spark):
+    old = spark.createDataFrame([(1, "a", "x", {"k": 1})], "point_id bigint, source_file string, text string, m map<string,int>")
+    new = spark.createDataFrame([(2, "b", t, {"k": 2}) for t in "qzpm"], old.schema)
+    for parts in (1, 3, 4):
+        for out in (upsert(old, new.repartition(parts)), replace_files(old, new.repartition(parts))):
+            assert sorted((r.point_id, r.text) for r in out.collect()) == [(1, "x"), (2, "z")]
+
+
 def test_lexical_xxhash_option_is_consistent(spark):
     from decimal import Decimal
     from quarry.operators.search import lexical_retrieve
