@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import basename, extension, normalise_newlines
 
+MTIME_SPANS = 32           # spans of modification times in one scan's filter
+
 
 def list_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     """``(file_path, source_file, file_type, mtime, length)`` for ``folder/*<suffix>``."""
@@ -45,12 +48,12 @@ def list_folders(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
 
 
 def read_text_files(spark: SparkSession, paths: list[str] | str, recursive: bool = False,
-                    suffix: str | None = None, min_mtime=None) -> DataFrame:
+                    suffix: str | None = None, min_mtime=None, spans: list[tuple] | None = None) -> DataFrame:
     """Whole-file text sections ``(file_path, source_file, file_type, mtime, section_no,
     n_sections, text, read_error)``.
 
-    ``min_mtime`` is pushed into the ``binaryFile`` reader, which then skips the
-    bodies of older files entirely.
+    ``min_mtime`` and ``spans`` (``(first, last)`` modification times, None for no end) are pushed into the
+    ``binaryFile`` reader, which then skips the bodies of all other files entirely.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if suffix:
@@ -58,6 +61,10 @@ def read_text_files(spark: SparkSession, paths: list[str] | str, recursive: bool
     raw = reader.load(paths)
     if min_mtime is not None:
         raw = raw.filter(F.col("modificationTime") >= F.lit(min_mtime))
+    if spans is not None:
+        at = F.col("modificationTime")
+        within = [at >= F.lit(lo) if hi is None else (at >= F.lit(lo)) & (at <= F.lit(hi)) for lo, hi in spans]
+        raw = raw.filter(reduce(lambda a, b: a | b, within, F.lit(False)))
     decoded = F.col("content").cast("string")
     valid = F.is_valid_utf8(decoded)
     name = basename("path")
@@ -69,19 +76,32 @@ def read_text_files(spark: SparkSession, paths: list[str] | str, recursive: bool
         F.when(~valid, F.lit("'utf-8' codec can't decode the file")).alias("read_error"))
 
 
+def mtime_spans(days: list[tuple], most: int = MTIME_SPANS) -> list[tuple]:
+    """At most ``most`` spans that cover the given ones, joined over the smallest gaps; the last has
+    no end, so a file that is written again after the listing is still read."""
+    spans = sorted(days)
+    while len(spans) > most:
+        gap = [b[0] - a[1] for a, b in zip(spans, spans[1:])]
+        i = gap.index(min(gap))
+        spans[i:i + 2] = [(spans[i][0], max(spans[i][1], spans[i + 1][1]))]
+    return [*spans[:-1], (spans[-1][0], None)] if spans else []
+
+
 def text_loader(spark: SparkSession, folders: list[str] | str, suffix: str = ".txt") -> Callable[[DataFrame], DataFrame]:
     """Loader for text files of ``folders`` named by a files DataFrame.
 
-    No path list goes through the driver: the folders are scanned with the oldest
-    wanted mtime pushed into the reader (older bodies are never read) and the wanted
-    files are kept by a semi-join on the path.
+    No path list goes through the driver: the folders are scanned with the spans of
+    modification times of the wanted files pushed into the reader (bodies outside are never
+    read, so one old file that fails on every scan costs its own day) and the wanted files
+    are kept by a semi-join on the path.
     """
     def load(files: DataFrame) -> DataFrame:
-        lo = files.agg(F.min("mtime")).first()[0]
-        if lo is None:
+        days = files.filter(F.col("mtime").isNotNull()).groupBy(F.to_date("mtime")).agg(F.min("mtime").alias("lo"), F.max("mtime").alias("hi"))
+        spans = mtime_spans([(r.lo, r.hi) for r in days.collect()])                 # a row a day
+        if not spans:
             from quarry.config import SECTIONS
             return spark.createDataFrame([], SECTIONS).withColumn("read_error", F.lit(None).cast("string"))
-        df = read_text_files(spark, folders, suffix=suffix, min_mtime=lo)
+        df = read_text_files(spark, folders, suffix=suffix, spans=spans)
         return df.join(files.select("file_path"), "file_path", "left_semi")
     return load
 
