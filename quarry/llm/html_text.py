@@ -7,12 +7,18 @@ tables, list markers with indentation, preformatted text as it stands, and table
 aligned in columns.  All visible text is kept: navigation and footers too.
 
 Not shown: the head, scripts, styles, templates, fallback content, ``hidden`` elements,
-``display:none``, ``visibility:hidden``, hidden inputs, closed dialogs and what a closed
-``details`` holds beside its summary.
-
-Defined cases: NULL or empty pages give an empty text; a tag that never ends is text; tags
-that are closed without having been opened are ignored; nesting may be of any depth
-(tables more than ``TABLE_DEPTH`` deep are laid out as plain blocks).
+``display:none``, hidden inputs, closed dialogs and what a closed ``details`` holds beside
+its summary.  ``visibility`` is inherited: text below ``visibility:hidden`` is left out, but
+not that of a descendant with ``visibility:visible``.  A drop-down shows its chosen option
+(the last ``selected`` one, else the first that is not disabled), a list box all of them with
+their groups' labels; inputs show their ``value`` (not those for passwords, files, ticks and
+the like).
+
+Defined cases: NULL or empty pages give an empty text; an empty table stays empty; pages of
+any length are read whole, equal pages give equal texts; a column named as the result is
+replaced, others stay; a tag that never ends is text; tags that are closed without having
+been opened are ignored; nesting may be of any depth (tables more than ``TABLE_DEPTH`` deep
+are laid out as plain blocks).
 """
 
 from __future__ import annotations
@@ -34,8 +40,7 @@ COLUMN = 40               # columns are aligned up to this width; longer cells r
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title iframe noembed noframes noscript xmp".split())
 HEAD_ONLY = set("base link meta script style title noscript template".split())
-UNSEEN = set("head script style template noscript iframe noembed noframes title datalist audio video canvas object "
-             "optgroup select".split())
+UNSEEN = set("head script style template noscript iframe noembed noframes title datalist audio video canvas object".split())
 PARAGRAPH = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset menu dir".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 BLOCK = PARAGRAPH | set("address article aside body center dd details dialog div dt figcaption footer form header hgroup "
@@ -53,9 +58,10 @@ SCOPE = {"table", "td", "th", "caption", "html", "body"}      # an end tag insid
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)>""")
 _ATTR = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_GAP = r"(?:\s|/\*.*?\*/)*"                                     # white space and comments of CSS
-_HIDING = re.compile(rf"(?:^|;){_GAP}(?:display{_GAP}:{_GAP}none|visibility{_GAP}:{_GAP}(?:hidden|collapse))(?![\w-])", re.I | re.S)
-_TOLD = re.compile(r"hidden|style|type|start|value|open|span", re.I)
+_SKIPPED = re.compile(r"""/\*.*?(?:\*/|$)|"[^"]*"|'[^']*'""", re.S)     # comments and strings of CSS
+_VISIBILITY = {"visible": True, "initial": True, "hidden": False, "collapse": False}
+_VALUE_UNSEEN = set("hidden password checkbox radio file range color image".split())
+_TOLD = re.compile(r"hidden|style|type|start|value|open|span|select|multiple|size|label|disabled", re.I)
 _BLANK = " \t\n\r\f"
 
 
@@ -147,7 +153,9 @@ def build(page: str) -> Node:
                     close_to({"head"}, set())
                     in_head = False
                 if _hidden(value, attrs):
-                    root.attrs = attrs
+                    attrs["hidden"] = ""
+                style = f"{root.attrs.get('style', '')};{attrs.get('style', '')}"
+                root.attrs = {**root.attrs, **attrs, "style": style}
                 continue
             if value == "head":
                 in_head = True
@@ -183,9 +191,66 @@ def build(page: str) -> Node:
     return root
 
 
+def declared(style: str, name: str) -> str:
+    """The value that a style attribute gives a property: the last one, an ``!important`` one before others."""
+    found, strong = "", False
+    for part in _SKIPPED.sub(" ", style).lower().split(";"):
+        key, _, value = part.partition(":")
+        value, mark, _ = value.partition("!")
+        value = value.strip()
+        if key.strip() == name and value and (mark or not strong) and (name != "visibility" or value in _VISIBILITY):
+            found, strong = value, bool(mark)
+    return found
+
+
 def _hidden(tag: str, attrs: dict) -> bool:
     return ("hidden" in attrs or tag in UNSEEN or (tag == "input" and attrs.get("type", "").lower() == "hidden")
-            or (tag == "dialog" and "open" not in attrs) or bool(_HIDING.search(attrs.get("style", ""))))
+            or (tag == "dialog" and "open" not in attrs)
+            or ("style" in attrs and declared(attrs["style"], "display") == "none"))
+
+
+def drop_invisible(root: Node) -> None:
+    """Take away the strings whose inherited ``visibility`` hides them."""
+    work = [(root, True)]
+    while work:
+        node, shown = work.pop()
+        if "style" in node.attrs:
+            shown = _VISIBILITY.get(declared(node.attrs["style"], "visibility"), shown)
+        if not shown:
+            node.children = [c for c in node.children if not isinstance(c, str)]
+            node.attrs.pop("value", None)
+            node.attrs.pop("label", None)
+        work.extend((c, shown) for c in node.children if not isinstance(c, str))
+
+
+def shown_options(select: Node) -> list:
+    """What a browser shows of a ``select``: the chosen option in the line, or all in a list box."""
+    def text(option):
+        label = option.attrs.get("label")
+        return [html.escape(label)] if label else option.children
+
+    def block(children):
+        node = Node("option", {})
+        node.children = children
+        return node
+    options, rows, work = [], [], [(c, False) for c in reversed(select.children)]
+    while work:
+        c, off = work.pop()
+        if isinstance(c, str):
+            continue
+        off = off or "disabled" in c.attrs
+        if c.tag == "option":
+            options.append((c, off))
+            if not _hidden(c.tag, c.attrs):
+                rows.append(block(text(c)))
+        elif not _hidden(c.tag, c.attrs):
+            if c.tag == "optgroup" and c.attrs.get("label"):
+                rows.append(block([html.escape(c.attrs["label"])]))
+            work.extend((x, off) for x in reversed(c.children))
+    if "multiple" in select.attrs or _number(select.attrs, "size", 1) > 1:
+        return rows
+    chosen = ([c for c, _ in options if "selected" in c.attrs][-1:] or [c for c, off in options if not off][:1])
+    return [" ", *text(chosen[0]), " "] if chosen else []
 
 
 class Lines:
@@ -284,6 +349,12 @@ def layout(root: Node, depth: int = 0) -> list[str]:
                 out.gap = 1
         elif tag == "hr":
             out.paragraph()
+        elif tag == "select":
+            for c in reversed(shown_options(node)):
+                work.append(("node", c, None))
+        elif tag == "input":
+            if node.attrs.get("value") and node.attrs.get("type", "").lower() not in _VALUE_UNSEEN:
+                out.text(f" {node.attrs['value']} ")
         elif tag == "table" and depth < TABLE_DEPTH:
             out.paragraph()
             for row in table_lines(node, depth + 1):
@@ -393,6 +464,8 @@ def page_text(page: str | None) -> str:
     root = build(page)
     if _hidden("body", root.attrs):
         return ""
+    if "visibility" in page.lower():
+        drop_invisible(root)
     return "\n".join(layout(root)).replace("\xa0", " ").strip("\n")
 
 

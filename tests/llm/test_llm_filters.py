@@ -183,6 +183,16 @@ def test_decontamination_spans_point_into_the_original(spark):
     ("<table><tr><td rowspan=2>x<td>a<tr><td>b</table>", "x  a\n   b"), ("<table><caption>cap</caption><tr><td>a<br>b<td>c</table>", "cap\na  c\nb"),
     ("<dl><dt>t<dd>d<dt>u</dl>", "t\n  d\nu"), ("<h1>a</h1>b<hr>c", "a\n\nb\n\nc"), ("<li>loose", "- loose"),
     ("<input type=hidden value=x><textarea><b>raw</textarea>", "<b>raw"), ("<body hidden>x</body>", ""), ("<p>a</p>" * 2, "a\n\na"),
+    ('<div style="visibility:hidden">no<span style="visibility:visible">yes</span><b>no</b></div>', "yes"),
+    ("<body style='visibility:collapse'>no<p style='visibility:initial'>y<i style='visibility:inherit'>es</i></body>", "yes"),
+    ("<html hidden><body>no", ""), ("<html style='display:none'><body style='display:block'>no", ""),
+    ("<p style='display:none;display:block'>y<p style='display:none!important;display:block'>no", "y"),
+    ("""<p style='background:url("a;display:none;")'>y""", "y"),
+    ("a<select><option>no<option selected>x &amp;amp; y<option>no</select>b", "a x &amp; y b"), ("<select></select>a", "a"),
+    ("<select><option disabled>no<optgroup disabled label=no><option>no</optgroup><option>yes</select>", "yes"),
+    ("<select multiple><optgroup label='G &lt; H'><option>x<option label=L>no<option hidden>no</select>", "G < H\nx\nL"),
+    ("<select size=3><option>x<option>y</select>", "x\ny"), ("<datalist><option>no</datalist>a", "a"),
+    ("a<input type=submit value='Go on'>b<input type=Password value=no><input type=checkbox value=no><input value=t>", "a Go on b t"),
 ])
 def test_html_cases(page, text):
     assert H.page_text(page) == text
@@ -216,6 +226,23 @@ def test_html_keeps_every_visible_word(spark):
         assert set(re.findall(r"\w+", " ".join(words))) <= seen | {""}
 
 
+def test_html_emits_no_hidden_word(spark):
+    """Every page with passages that a browser hides put in between its words: the text stays as it was."""
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").select("html").collect() if r.html]
+    hidden = ["<i hidden>zqx</i>", "<i style='display : none'>zqx<b style='visibility:visible'>zqx</b></i>", "<script>zqx</script>",
+              "<i style='visibility:hidden'>zqx<u>zqx</u></i>", "<template><i>zqx</i></template>", "<!-- zqx -->", "<input type=hidden value=zqx>"]
+    changed = 0
+    for n, page in enumerate(pages):
+        raw = [m.span() for m in re.finditer(r"(?is)<(script|style|textarea|title)\b.*?</\1|<!--.*?-->", page)]
+        at = [m.end() for m in re.finditer(r"</?(?:p|div|li|b|i|a|span)>", page) if not any(a < m.end() <= b for a, b in raw)]
+        body = page
+        for k, i in enumerate(reversed(at)):
+            body = body[:i] + hidden[(n + k) % len(hidden)] + body[i:]
+        changed += body != page
+        assert H.page_text(body) == H.page_text(page)
+    assert changed > len(pages) / 2
+
+
 def test_html_nulls_and_empty_table(spark):
     df = spark.createDataFrame([(1, None), (None, "<p>x"), (1, None)], "page_id long, html string")
     assert sorted(r.text for r in H.extract_text(df).collect()) == ["", "", "x"]
