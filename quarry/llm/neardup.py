@@ -20,13 +20,16 @@ Only links that can join components are looked for, so no group is paired off:
 * Members linked to the centre, or in a component that is, form one component.  Any further
   link has a member x outside it, with D(x) larger than (|x| + |centre|) / 7; it must share
   more than half of D(y) with y, hence one of the rarest D elements of each (a prefix filter on
-  the differences).  Copies made by own edits share none, so a large group costs little more
-  than its members; what the filter lets through is verified on the differences, exactly.
+  the differences).  Elements that only one component holds can link nothing and come first
+  in every difference, so neither copies made by own edits nor a second family with words of
+  its own meet each other; what the filter lets through is verified on the differences, exactly.
 
 Defined cases: a document without words (NULL, empty, blank) has no shingles, no links and
-is its own component; fewer words than a shingle make one shingle; rows that repeat an id
-are told apart by their words; a row without an id can link others but names no component
-(its ``component_id`` is NULL if no row of its component has an id).
+is its own component; fewer words than a shingle make one shingle; texts of any length are
+read whole; rows that repeat an id are told apart by their words; a row without an id can
+link others but names no component (its ``component_id`` is NULL if no row of its component
+has an id, and then its ``kept`` is true: id and component_id are equally missing); an empty
+table gives an empty result; further columns of the table, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -157,9 +160,7 @@ def linked(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series
 
 def class_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """One text for each class in ``nodes`` (node, first_id)."""
-    @F.pandas_udf("binary")
-    def node_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([hashlib.blake2b(b" ".join(w), digest_size=16).digest() if (w := word_list(t)) else None for t in texts])
+    node_of = F.pandas_udf(words_digest, "binary")
     side = nodes.select("node", F.col("first_id"))
     side = F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
     found = _texts(docs).join(side, F.col("doc_id").eqNullSafe(F.col("first_id")))
@@ -203,6 +204,18 @@ def difference(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Da
         yield pd.DataFrame(out, columns=["n", "nc", "d"])
 
 
+def mixed_tokens(tokens: DataFrame) -> DataFrame:
+    """Elements of differences that members of several components hold, with the number of members."""
+    own = F.xxhash64("component")                       # as numbers, for hash aggregation; NULL is the centre's component
+    return (tokens.groupBy("blob", "token").agg(F.count("*").alias("df"), F.min(own).alias("x"), F.max(own).alias("y"))
+            .filter("x <> y").drop("x", "y"))
+
+
+def meetings(probe: DataFrame, index: DataFrame) -> DataFrame:
+    """Members that hold an element of the other's prefix."""
+    return probe.join(index, ["blob", "token"])
+
+
 def further_links(open_: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that, with those found so far, join all members of open buckets that belong together."""
     blobs = components(open_, "head", "node").withColumnRenamed("component", "blob")
@@ -220,11 +233,11 @@ def further_links(open_: DataFrame, texts: DataFrame) -> DataFrame:
     left = (rows.join(near, ["blob", "component"]).join(some, "blob").withColumn("outside", ~F.col("near"))
             .withColumn("component", F.when(F.col("outside"), F.col("component"))))     # NULL: the centre's component
 
-    tokens = left.select("blob", "node", F.explode("d").alias("token"))
-    common = tokens.groupBy("blob", "token").agg(F.count("*").alias("df")).filter("df > 1")
-    rare_first = tokens.join(common, ["blob", "token"]).groupBy("blob", "node").agg(
+    tokens = left.select("blob", "node", "component", F.explode("d").alias("token"))
+    common = mixed_tokens(tokens)
+    rare_first = tokens.drop("component").join(common, ["blob", "token"]).groupBy("blob", "node").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("df", "token"))), lambda x: x["token"]).alias("t"))
-    # elements no one else has come first and match nothing; `own` of a prefix are those
+    # elements that no other component has come first and match nothing; `own` of a prefix are those
     info = (left.drop("d", "centre", "near").join(rare_first, ["blob", "node"]).withColumn("shared", F.size("t"))
             .withColumn("own", F.col("w") - F.col("shared"))
             .withColumn("index", F.expr("w - greatest(0, floor((7 * w + nc - n) / 14)) - own"))
@@ -239,7 +252,7 @@ def further_links(open_: DataFrame, texts: DataFrame) -> DataFrame:
 
     probe = side("probe", "x_").filter("outside").drop("outside")
     index = side("index", "y_").drop("outside")
-    met = probe.join(index, ["blob", "token"]).filter(
+    met = meetings(probe, index).filter(
         "x_node <> y_node and not (x_component <=> y_component) and 100 * least(x_n, y_n) >= 75 * greatest(x_n, y_n) "
         "and 7 * (x_w + y_w) - (x_n + y_n) <= 14 * least(x_shared, y_shared)")
     pairs = met.select("blob", F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
@@ -250,8 +263,10 @@ def further_links(open_: DataFrame, texts: DataFrame) -> DataFrame:
     return to_centre.union(found)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row for each document: doc_id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, detail: bool = False) -> DataFrame:
+    """One row for each document: doc_id, n_shingles, component_id, kept; with ``detail`` also
+    ``node`` (the digest of its words, NULL without words) and ``component`` (the least node of its
+    component), which tell rows apart that share or lack an id."""
     rows = materialise(sketch(docs), "sketches")
     classes = materialise(rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.min("n_shingles").alias("n"),
@@ -278,13 +293,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     named = classes.select("node", "first_id", "copies")
     if labels is None:
-        named = named.withColumn("least_id", F.col("first_id"))
+        named = named.withColumn("least_id", F.col("first_id")).withColumn("component", F.lit(None).cast("binary"))
     else:
         least = (labels.join(named, "node").groupBy("component").agg(F.min("first_id").alias("least_id")))
         named = (named.join(labels, "node", "left").join(least, "component", "left")
                  .withColumn("least_id", F.coalesce("least_id", "first_id")))
     # classes of one row outside any component need no look-up
-    named = named.filter((F.col("copies") > 1) | ~F.col("least_id").eqNullSafe(F.col("first_id"))).select("node", "least_id")
+    named = named.filter((F.col("copies") > 1) | F.col("component").isNotNull()).select("node", "least_id", "component")
     return (rows.select("doc_id", "node", "n_shingles").join(named, "node", "left")
-            .select("doc_id", "n_shingles", F.coalesce("least_id", "doc_id").alias("component_id"))
+            .select("doc_id", "n_shingles", F.coalesce("least_id", "doc_id").alias("component_id"),
+                    *([F.col("node"), F.coalesce("component", "node").alias("component")] if detail else []))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def words_digest(texts: pd.Series) -> pd.Series:
+    """The ``node`` of texts."""
+    return pd.Series([hashlib.blake2b(b" ".join(w), digest_size=16).digest() if (w := word_list(t)) else None for t in texts],
+                     dtype=object)

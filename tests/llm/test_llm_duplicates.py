@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from llm_cases import brute_components, brute_hits, docs
+from quarry.llm import components as C
 from quarry.llm import neardup as N
 from quarry.llm import quality as Q
 from quarry.llm import substring as S
@@ -34,7 +35,7 @@ def test_query_matches_its_sql(spark, name):
 
 # --- components -------------------------------------------------------------------
 
-def test_components_of_paths_stars_and_cycles(spark):
+def test_components_of_paths_stars_and_cycles(spark, monkeypatch):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(700, 701), (701, 702), (702, 700), (9, 9)]
     edges += [(800 + rng.randrange(40), 800 + rng.randrange(40)) for _ in range(30)]
@@ -52,6 +53,10 @@ def test_components_of_paths_stars_and_cycles(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {n: find(n) for n in root if sum(find(m) == find(n) for m in root) > 1}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    for hub, most in ((3, 1000), (3, 0)):               # hubs by broadcast, and beyond its bound
+        monkeypatch.setattr(C, "HUB", hub)
+        monkeypatch.setattr(C, "BROADCAST_ROWS", most)
+        assert {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()} == got
 
 
 # --- near duplicates -----------------------------------------------------------------
@@ -91,6 +96,37 @@ def test_near_duplicates_brute_force(spark, monkeypatch):
     assert sorted(tuple(r) for r in alone) == [(1, 1, 1, True), (2, 0, 2, True)]
 
 
+def two_families(members):
+    """Two families that share two thirds of their words; every member has an edit of its own."""
+    rng = random.Random(5)
+    text = lambda n: [f"w{rng.randrange(10 ** 7)}" for _ in range(n)]
+    both, own = text(200), [text(100), text(100)]
+    rows = []
+    for i in range(members):
+        for f in range(2):
+            t = both + own[f]
+            for k in rng.sample(range(300), 2):
+                t[k] = f"e{rng.randrange(10 ** 7)}"
+            rows.append((2 * i + f, " ".join(t)))
+    return rows
+
+
+def test_two_families_do_not_meet_each_other(spark, monkeypatch):
+    met, meetings = [], N.meetings
+
+    def counted(probe, index):
+        out = meetings(probe, index)
+        met.append(out.count())
+        return out
+    monkeypatch.setattr(N, "meetings", counted)
+    for members in (20, 40):
+        rows = two_families(members)
+        comp, _ = brute_components(rows)
+        assert {(r.doc_id, r.component_id) for r in N.near_duplicates(docs(spark, rows)).collect()} == {(r[0], c) for r, c in zip(rows, comp)}
+        assert len(set(comp)) == 2
+    assert len(met) == 2 and met[0] <= 20 and met[1] <= 40      # linear at most
+
+
 def test_estimate_follows_similarity_and_registers_merge():
     rng = np.random.default_rng(4)
     a, b, true = [], [], []
@@ -122,25 +158,31 @@ def test_bands_find_pairs_at_the_threshold():
 # --- substring dedup ------------------------------------------------------------------
 
 def brute_spans(rows, min_words):
-    """Spans by the definition: runs of chunks whose digest an earlier document has."""
-    first, out = {}, []
+    """Spans by the definition, from the words alone: of consecutive chunks those runs of at least ``min_words`` words,
+    each the shortest from its first or up to its last chunk, that an earlier document holds as a run of chunks too."""
+    first, found, out = {}, [], []
     for doc_id, text in rows:
-        for d in S.chunks(text)[2].tolist():
-            key = S.NO_ID if doc_id is None else doc_id
-            first[d] = min(first.get(d, key), key)
-    for doc_id, text in rows:
-        start, size, digest = S.chunks(text)
-        key, runs = S.NO_ID if doc_id is None else doc_id, []
-        for a, n, d in zip(start.tolist(), size.tolist(), digest.tolist()):
-            if first[d] < key:
-                if runs and runs[-1][1] == a:
-                    runs[-1][1] = a + n
-                else:
-                    runs.append([a, a + n])
-        runs = [(a, b) for a, b in runs if b - a >= min_words]
-        words = (text or "").split()
-        left = [w for i, w in enumerate(words) if not any(a <= i < b for a, b in runs)]
-        out.append((doc_id, tuple(runs), None if text is None else " ".join(left)))
+        words, (start, _, _) = (text or "").split(), S.chunks(text)
+        at, runs = [*start.tolist(), len(words)], []
+        for i in range(len(start)):
+            for j in range(i + 1, len(at)):
+                if at[j] - at[i] >= min_words:
+                    runs.append((at[i], at[j]))
+                    break
+        for j in range(1, len(at)):
+            i = max((i for i in range(max(0, j - min_words), j) if at[j] - at[i] >= min_words), default=None)
+            if i is not None:
+                runs.append((at[i], at[j]))
+        key = S.NO_ID if doc_id is None else doc_id
+        found.append((doc_id, text, words, key, runs))
+        for a, b in runs:
+            w = tuple(words[a:b])
+            first[w] = min(first.get(w, key), key)
+    for doc_id, text, words, key, runs in found:
+        gone = {i for a, b in runs if first[tuple(words[a:b])] < key for i in range(a, b)}
+        edges = sorted(i for i in gone if i - 1 not in gone), sorted(i + 1 for i in gone if i + 1 not in gone)
+        left = [w for i, w in enumerate(words) if i not in gone]
+        out.append((doc_id, tuple(zip(*edges)), None if text is None else " ".join(left)))
     return out
 
 
@@ -285,7 +327,14 @@ def test_pipeline_stages_keep_columns_and_stand_edges(spark):
         assert stage(spark, docs(spark, []), SF).count() == 0
     near = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, frame, SF)
     ids = Counter(r.doc_id for r in near.collect())
-    assert ids[100] == 3 and ids[101] == 0 and ids[400] == ids[401] == ids[402] == 1
+    comp, _ = brute_components(rows)
+    comp = [c if c is not None else ("", t) for c, (_, t) in zip(comp, rows)]
+    worded = {c for c, (_, t) in zip(comp, rows) if (t or "").split()}
+    assert sum(1 for r in near.collect() if (r.text or "").split()) == len(worded) + 1  # one row of each component; id 100 names two
+    assert ids[100] == 2 and ids[101] == 0 and ids[400] == ids[401] == ids[402] == 1 and ids[None] == 1
+    repeated = [(1, "a b"), (1, "A  B"), (1, "a b"), (1, None), (1, None), (None, "a b"), (None, "c"), (None, "c"), (2, "d"), (None, "")]
+    left = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs(spark, repeated), SF)
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter([(1, "A  B"), (1, None), (1, None), (None, "c"), (2, "d"), (None, "")])
     sub = dict(corpus_pipeline.STAGES)["substrings"](spark, frame, SF).filter(F.col("text").isNotNull())
     assert sub.filter("n_chars <> length(text)").count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, frame, SF).count() >= len(rows)
