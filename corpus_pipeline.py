@@ -5,16 +5,17 @@ DataFrame that is written as Parquet and read again as the next one's ``docs``.
 the last return the columns of ``documents``.
 
 1. ``quality``: documents that the classifier (fitted on ``labels``) rejects go.
-2. ``near_duplicates``: of each group of near copies the document with the least id stays.
+2. ``near_duplicates``: of each group of near copies one row stays, that with the least id.
 3. ``substrings``: passages that an earlier document holds are cut; ``n_chars`` follows the
    text, and documents of which nothing is left go.
 4. ``decontamination``: documents that hold benchmark passages go.
 5. ``packing``: the pieces of what is left, in sequences of 2048 tokens.
 
-Defined cases: rows without a doc_id stay in stage 2 unless all of them are copies of rows
-with one; rows that repeat a doc_id stay if one of them does; NULL and empty texts are
-judged by the classifier like any other and are no duplicates; an empty table passes
-through all stages.  Columns beyond those of ``documents`` are dropped.
+Defined cases: of near copies that share a doc_id, or all lack one, the row with the least
+digest of its words stays, of rows with equal words the one with the least text, lang,
+source and n_chars; a row without a doc_id comes after those with one.  NULL and empty
+texts are judged by the classifier like any other and are no duplicates; an empty table
+passes through all stages.  Columns beyond those of ``documents`` are dropped.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import bound_batches, materialise, table
 from quarry.llm.decontaminate import decontaminate
-from quarry.llm.neardup import near_duplicates
+from quarry.llm.neardup import near_duplicates, words_digest
 from quarry.llm.packing import pack_documents
 from quarry.llm.quality import score_text, train
 from quarry.llm.substring import substring_dedup
@@ -49,13 +50,36 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(score(F.col("text")) >= 0.5)
 
 
+def _small(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def _same_id(other: str):
+    return F.col("doc_id").cast("bigint").eqNullSafe(F.col(other))
+
+
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _docs(spark, docs)
-    gone = (near_duplicates(docs).groupBy(F.col("doc_id").alias("gone")).agg(F.max("kept").alias("kept"))
-            .filter(~F.col("kept")).select("gone"))
-    gone = materialise(gone, "copies")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return docs.join(side, F.col("doc_id").cast("bigint").eqNullSafe(F.col("gone")), "left_anti")
+    rows = materialise(near_duplicates(docs, detail=True), "copies")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
+    best = rows.filter(F.col("node").isNotNull()).groupBy("component").agg(F.min(order).alias("best"), F.count("*").alias("size"))
+    groups = best.filter("size > 1").select("component", F.col("best.doc_id").alias("keep_id"), F.col("best.node").alias("keep_node"))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("node") == F.col("keep_node"))
+    # ids of one row are decided by the id; rows that share or lack an id by id and words
+    ids = rows.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    shared = materialise(ids.filter("rows > 1 or doc_id is null").select(F.col("doc_id").alias("gone")), "shared_ids")
+    gone = rows.join(groups, "component").filter(~stays).select(F.col("doc_id").alias("gone")).distinct()
+    gone = materialise(gone.union(shared).distinct(), "gone")
+    single = docs.join(_small(gone), _same_id("gone"), "left_anti")
+    if shared.isEmpty():
+        return single
+    digested = docs.join(_small(shared), _same_id("gone"), "left_semi").withColumn("node", F.pandas_udf(words_digest, "binary")("text"))
+    wordless = digested.filter("node is null").select(*COLUMNS)
+    # of rows with the same id and words one is taken, by a grouping that combines first
+    one = digested.filter("node is not null").groupBy("doc_id", "node").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r"))
+    copies = rows.join(groups, "component").filter(~stays).select(F.col("doc_id").alias("gone"), F.col("node").alias("gone_node")).distinct()
+    one = one.join(copies, _same_id("gone") & (F.col("node") == F.col("gone_node")), "left_anti")
+    return single.union(wordless).union(one.select("doc_id", "r.text", "r.lang", "r.source", "r.n_chars").select(*COLUMNS))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
