@@ -1,15 +1,21 @@
 """URL filter: rules by host and path, and gradient-boosted trees on lexical features for the rest.
 
 Everything runs in the JVM: features are built-in functions, the trees are Spark's own
-``GBTClassifier``.  Rules label the URLs they fit; about ``TRAIN_ROWS`` labelled URLs
-(chosen by a hash) train the trees, which judge the URLs no rule fits.  Suffix statistics
-(share of blocked URLs by the host's last label, smoothed) come from one half of the
-sample and the trees from the other, so that no URL's own label is among its features;
-the statistics have at most as many rows as the sample and may be broadcast.
+``GBTClassifier``.  Rules label the URLs they fit; about ``TRAIN_ROWS`` labelled URLs, half
+of them of either verdict as far as there are so many (chosen by a hash, weighted back to
+their numbers), train the trees, which judge the URLs no rule fits.  Suffix statistics
+(share of blocked URLs by the host's last label, smoothed, and how common the label is) are
+counted over all labelled URLs in two halves: a training URL has those of the other half, so
+that its own label is not among its features, and a judged one those of both.  Labelled hosts
+end as the rules' do, so there are at most as many suffixes as rules and the statistics may
+be broadcast.
 
 Defined cases: a NULL URL, or one without ``://``, has an empty host and path and is judged
 by the trees; an unseen suffix has the overall share; with labels of one class only (or
-none) the trees are left out and the verdict is that class (or ``allow``).
+none) the trees are left out and the verdict is that class (or ``allow``); a chance of just
+one half allows; URLs of any length are read whole; rows that repeat are judged alike, each
+on its own; an empty table gives an empty result; further columns, whatever their names,
+are not read.
 """
 
 from __future__ import annotations
@@ -94,11 +100,24 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
     return out.withColumns({k: v.cast("double") for k, v in own.items()}).withColumn("suffix", F.substring_index("host", ".", -1))
 
 
-def with_suffixes(df: DataFrame, stats: DataFrame, prior: float) -> DataFrame:
-    return (df.join(F.broadcast(stats), "suffix", "left")
-            .withColumn("f_suffix_share", (F.coalesce(F.col("s_blocked"), F.lit(0.0)) + SMOOTHING * prior)
-                        / (F.coalesce(F.col("s_seen"), F.lit(0.0)) + SMOOTHING))
-            .withColumn("f_suffix_count", F.log1p(F.coalesce(F.col("s_seen"), F.lit(0.0)))))
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """Blocked and labelled URLs by suffix, in either half of the table."""
+    def of(half, what):
+        return F.sum(F.when(F.col("half") == half, what).otherwise(0.0))
+    return labelled.groupBy("suffix").agg(of(0, F.col("y")).alias("b0"), of(0, F.lit(1.0)).alias("n0"),
+                                          of(1, F.col("y")).alias("b1"), of(1, F.lit(1.0)).alias("n1"))
+
+
+def with_suffixes(df: DataFrame, counts: DataFrame, totals: tuple[float, float], prior: float, learning: bool = False) -> DataFrame:
+    """``df`` with the suffix features; URLs to learn from see the half they are not in.  ``totals``: labelled URLs by half."""
+    def pick(name):
+        parts_ = [F.coalesce(F.col(f"{name}{i}"), F.lit(0.0)) if name else F.lit(totals[i]) for i in (0, 1)]
+        return F.when(F.col("half") == 0, parts_[1]).otherwise(parts_[0]) if learning else parts_[0] + parts_[1]
+    blocked, seen, total = pick("b"), pick("n"), pick("")
+    return (df.join(F.broadcast(counts), "suffix", "left")
+            .withColumn("f_suffix_share", (blocked + SMOOTHING * prior) / (seen + SMOOTHING))
+            .withColumn("f_suffix_count", F.log1p(1e6 * seen / F.greatest(total, F.lit(1.0))))
+            .drop("b0", "n0", "b1", "n1"))
 
 
 def filter_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules=RULES, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -106,27 +125,26 @@ def filter_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules=
     df = lexical(pages.select(F.col(key), F.col(url)), url)
     rule, by_rule = match_rules(F.col("host"), F.col("path"), rules)
     df = df.withColumn("rule", rule).withColumn("by_rule", by_rule)
-    labelled = df.filter(F.col("by_rule").isNotNull())
     draw = F.pmod(F.xxhash64(F.col(key), F.col(url)), F.lit(SPLIT))
-    total = labelled.count()
-    share = min(SPLIT, rows * SPLIT // max(1, total))
-    sample = materialise(labelled.withColumn("draw", draw).filter(F.col("draw") < share)
-                         .withColumn("y", (F.col("by_rule") == "block").cast("double")), "urls")
-    half = F.pmod(F.col("draw"), F.lit(2))
-    seen = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
-    prior = seen.get(1.0, 0) / max(1, sum(seen.values()))
-    stats = (sample.filter(half == 0).groupBy("suffix")
-             .agg(F.sum("y").alias("s_blocked"), F.count("*").cast("double").alias("s_seen")))
-    learn = with_suffixes(sample.filter(half == 1), stats, prior)
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="f_vector")
-    kinds = sample.filter(half == 1).select("y").distinct().count()
-    if kinds == 2:
-        trees = GBTClassifier(featuresCol="f_vector", labelCol="y", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1)
-        model = trees.fit(assembler.transform(learn).select("f_vector", "y"))
-        judged = model.transform(assembler.transform(with_suffixes(df, stats, prior)))
+    labelled = (df.filter(F.col("by_rule").isNotNull()).withColumn("draw", draw).withColumn("half", F.col("draw") % 2)
+                .withColumn("y", (F.col("by_rule") == "block").cast("double")))
+    counts = materialise(suffix_counts(labelled), "suffixes")
+    sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("b0", "n0", "b1", "n1")]).first()
+    totals, blocked = (sums["n0"], sums["n1"]), sums["b0"] + sums["b1"]
+    of_class = {1.0: blocked, 0.0: sum(totals) - blocked}
+    prior = blocked / max(1.0, sum(totals))
+    if min(of_class.values()) > 0:
+        share = {y: min(SPLIT, int(rows / 2 * SPLIT / n)) for y, n in of_class.items()}
+        drawn = F.when(F.col("y") == 1.0, F.lit(share[1.0])).otherwise(F.lit(share[0.0]))
+        sample = labelled.filter(F.col("draw") < drawn).withColumn("weight", F.lit(float(SPLIT)) / drawn)
+        learn = with_suffixes(sample, counts, totals, prior, learning=True)
+        assembler = VectorAssembler(inputCols=FEATURES, outputCol="f_vector")
+        learn = materialise(learn.select(*FEATURES, "y", "weight"), "urls")
+        trees = GBTClassifier(featuresCol="f_vector", labelCol="y", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1)
+        model = trees.fit(assembler.transform(learn).select("f_vector", "y", "weight"))
+        judged = model.transform(assembler.transform(with_suffixes(df, counts, totals, prior)))
         judged = judged.withColumn("block_chance", F.element_at(vector_to_array(F.col("probability")), 2))
     else:
         judged = df.withColumn("block_chance", F.lit(1.0 if prior > 0.5 else 0.0))
     by_trees = F.when(F.col("block_chance") > 0.5, "block").otherwise("allow")
     return judged.select(key, "host", "path", "rule", F.coalesce("by_rule", by_trees).alias("verdict"), "block_chance")
-

@@ -65,6 +65,32 @@ def test_urls_without_two_classes(spark, urls):
     assert len(got) == len(urls) and all(r.verdict in ("allow", "block") for r in got)
 
 
+def test_url_suffix_statistics_cover_all_labels(spark):
+    rows = [(i, f"http://h{i}.example.net/{'en' if i % 3 else 'xx'}/{i}") for i in range(900)]
+    rows += [(5000 + i, f"http://h{i}.org/fr/{i}") for i in range(300)]
+    df = U.lexical(spark.createDataFrame(rows, "page_id long, url string"))
+    _, by_rule = U.match_rules(F.col("host"), F.col("path"))
+    labelled = df.withColumn("y", (by_rule == "block").cast("double")).withColumn("half", F.pmod(F.hash("url"), F.lit(2)))
+    counts = U.suffix_counts(labelled)
+    got = {r.suffix: (r.b0 + r.b1, r.n0 + r.n1) for r in counts.collect()}
+    assert got == {"net": (300.0, 900.0), "org": (0.0, 300.0)}
+    half = {(r.suffix, r.half): (r.b, r.n) for r in labelled.groupBy("suffix", "half").agg(F.sum("y").alias("b"), F.count("*").alias("n")).collect()}
+    totals = tuple(float(sum(n for (_, h), (_, n) in half.items() if h == i)) for i in (0, 1))
+    seen = U.with_suffixes(labelled, counts, totals, 0.25, learning=True).select("suffix", "half", "f_suffix_share").distinct().collect()
+    for r in seen:                                          # a URL to learn from sees the other half only
+        b, n = half[r.suffix, 1 - r.half]
+        assert abs(r.f_suffix_share - (b + 5.0) / (n + 20.0)) < 1e-12
+    assert len(seen) == 4
+
+
+def test_url_rare_class_is_learnt(spark):
+    """Three blocked URLs among thousands: a draw over all classes together would miss them."""
+    rows = [(i, f"http://h{i}.org/fr/{i}") for i in range(4000)] + [(9000 + i, f"http://a{i}.net/x/{i}") for i in range(3)]
+    rows += [(9100, "http://b.com/x/1"), (9101, None)]
+    got = U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rows=100)
+    assert got.select("block_chance").distinct().count() > 1 and got.count() == len(rows)
+
+
 def test_url_features(spark):
     r = U.lexical(spark.createDataFrame([("https://a.b-c.org/x/yy/?p=1&q=%20#z",)], "url string")).first()
     assert (r.f_params, r.f_equals, r.f_depth, r.f_labels, r.f_secure, r.f_fragment, r.f_longest) == (2, 2, 3, 2, 1, 1, 2)
