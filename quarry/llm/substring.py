@@ -5,8 +5,8 @@ is ``GEAR_BYTES``); where the hash at the end of a word is the least among its n
 within ``RADIUS`` words, a chunk ends there.  Cuts depend on nearby bytes only, so the
 same passage is cut alike wherever it stands, whatever was inserted before it.  A group
 is consecutive chunks of at least ``MIN_WORDS`` words in all that would have fewer without
-its first or without its last chunk.  Each group has a 64-bit digest; a group is a repeat
-if its digest's first document (the least doc_id) is another one: one earlier document
+its first or without its last chunk.  Each group has a 128-bit digest of its words, so that chance
+equality is out of the question at any number of groups; a group is a repeat if its digest's first document (the least doc_id) is another one: one earlier document
 holds all its words in this order, side by side.  What repeated groups cover is removed.
 A passage of n repeated words is covered but for a few words at either end, so with
 ``MIN_WORDS`` well below 50 passages of over 50 words are found, while the short lines
@@ -15,7 +15,8 @@ that many clean documents share (licences, greetings) stay, whatever they stand
 Every digest's first document comes from a grouping that combines before it shuffles, and
 repeats are found by a join that splits a hot digest; nothing collects a digest's documents.
 
-Defined cases: NULL and blank texts have no chunks and stay as they are; what repeats only
+Defined cases: an empty table gives an empty result; texts of any length are read whole; columns
+named as the two that are added are replaced, others stay; NULL and blank texts have no chunks and stay as they are; what repeats only
 within one document stays; rows that repeat a doc_id never make each other repeats; rows
 without a doc_id are last in the order and never repeats of each other.  White space between words
 that stay is kept as it was.
@@ -73,25 +74,29 @@ def cuts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, ends
 
 
-def chunks(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, number of words and digest of each chunk."""
-    import xxhash
+def _bounds(text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The joined words; first word, number of words, first byte and end byte of each chunk."""
     words = text.split() if text else []
     if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (b"", *[np.zeros(0, np.int64)] * 4)
     data = " ".join(words).encode("utf-8", "surrogatepass")
     at, ends = cuts(data)
-    start = np.concatenate(([0], at[:-1]))
-    stop = ends[at - 1].tolist()
-    begin = [0] + [x + 1 for x in stop[:-1]]
-    digest = np.array([xxhash.xxh3_64_intdigest(data[i:j]) for i, j in zip(begin, stop)], np.uint64).view(np.int64)
-    return start, at - start, digest
+    start, stop = np.concatenate(([0], at[:-1])), ends[at - 1]
+    return data, start, at - start, np.concatenate(([0], stop[:-1] + 1)), stop
+
+
+def chunks(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, number of words and digest of each chunk."""
+    import xxhash
+    data, start, size, begin, stop = _bounds(text)
+    digest = [xxhash.xxh3_64_intdigest(data[i:j]) for i, j in zip(begin.tolist(), stop.tolist())]
+    return start, size, np.array(digest, np.uint64).view(np.int64)
 
 
 def groups(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, number of words and digest of each group of chunks."""
+    """First word, number of words and digest (two numbers a row, of the words themselves) of each group of chunks."""
     import xxhash
-    start, size, digest = chunks(text)
+    data, start, size, begin, stop = _bounds(text)
     m = len(start)
     at = np.append(start, size.sum())
     first = np.arange(m)
@@ -100,9 +105,8 @@ def groups(text: str | None, min_words: int) -> tuple[np.ndarray, np.ndarray, np
     more = (back >= 0) & (last[back] != first + 1)
     i = np.concatenate((first[last <= m], back[more]))
     j = np.concatenate((last[last <= m], first[more] + 1))
-    raw = digest.tobytes()
-    whole = [xxhash.xxh3_64_intdigest(raw[8 * a:8 * b]) for a, b in zip(i.tolist(), j.tolist())]
-    return at[i], at[j] - at[i], np.array(whole, np.uint64).view(np.int64)
+    whole = b"".join([xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(begin[i].tolist(), stop[j - 1].tolist())])
+    return at[i], at[j] - at[i], np.frombuffer(whole, np.int64).reshape(-1, 2)
 
 
 def mark(text: Column) -> Column:
@@ -111,20 +115,22 @@ def mark(text: Column) -> Column:
 
 
 def group_rows(docs: DataFrame, min_words: int) -> DataFrame:
-    """``(digest, doc, place)`` of every group; place holds first word, number of words and mark."""
+    """``(digest, more, doc, place)`` of every group; digest and more are the two halves of its digest, place holds first word, number of words and mark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [groups(t, min_words) for t in batch.column(1).to_pylist()]
             n = [len(f[0]) for f in found]
             doc = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n)
             tag = np.repeat(batch.column(2).to_numpy(zero_copy_only=False), n)
-            start, size, digest = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in range(3))
-            yield pa.RecordBatch.from_arrays([pa.array(digest, pa.int64()), pa.array(doc, pa.int64()),
-                                              pa.array((start << 32) | (size << 24) | tag, pa.int64())], ["digest", "doc", "place"])
+            start, size = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in range(2))
+            digest = np.concatenate([f[2] for f in found] or [np.zeros((0, 2), np.int64)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digest[:, 0], pa.int64()), pa.array(digest[:, 1], pa.int64()), pa.array(doc, pa.int64()),
+                 pa.array((start << 32) | (size << 24) | tag, pa.int64())], ["digest", "more", "doc", "place"])
 
     text = F.col("text").cast("string")
     return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), text.alias("text"),
-                       mark(text).alias("mark")).mapInArrow(run, "digest bigint, doc bigint, place bigint")
+                       mark(text).alias("mark")).mapInArrow(run, "digest bigint, more bigint, doc bigint, place bigint")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -132,9 +138,9 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     if min_words > 255 - MAX_WORDS:
         raise ValueError(f"min_words is {min_words}, above {255 - MAX_WORDS}")
     rows = group_rows(docs, min_words)
-    first = (rows.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-             .filter("first < last").select("digest", "first"))
-    found = rows.join(first, "digest").filter("first < doc").select(
+    first = (rows.groupBy("digest", "more").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+             .filter("first < last").select("digest", "more", "first"))
+    found = rows.join(first, ["digest", "more"]).filter("first < doc").select(
         "doc", F.col("place").bitwiseAND(F.lit(0xFFFFFF)).alias("mark"), F.shiftright("place", 32).alias("start"),
         F.shiftright("place", 24).bitwiseAND(F.lit(0xFF)).alias("n"))
     in_doc = Window.partitionBy("doc", "mark").orderBy("start", "n")

@@ -271,7 +271,12 @@ def test_groups_are_the_shortest_either_way():
         want = {(at[i], at[j] - at[i]) for i in range(len(start)) for j in range(i + 1, len(at))
                 if at[j] - at[i] >= 28 and (at[j - 1] - at[i] < 28 or at[j] - at[i + 1] < 28)}
         a, k, d = S.groups(text, 28)
-        assert set(zip(a.tolist(), k.tolist())) == want and len(a) == len(want) == len(d)
+        assert set(zip(a.tolist(), k.tolist())) == want and len(a) == len(want) == len(d) and d.shape[1] == 2
+        words = text.split()
+        same = {}
+        for i, n_, x in zip(a.tolist(), k.tolist(), map(tuple, d.tolist())):
+            same.setdefault(x, set()).add(tuple(words[i:i + n_]))
+        assert all(len(x) == 1 for x in same.values())      # the digest is that of the words
     with pytest.raises(ValueError):
         S.repeated_spans(None, 256)
 
