@@ -1,17 +1,20 @@
 """Stored posting lists in impact levels, searched exactly without reading all of them.
 
-``<base>/postings`` holds one row for each word bucket of a chunk, ``(dim, level, weight, pid)``
-partitioned by ``part`` (``PART_DIMS`` dims each) and sorted by dim and level, so that folders
-and then row groups are skipped: the weight ``tf / |p|`` of the bucket in its
-chunk, cut into quarter octaves, heaviest first.  ``<base>/directory`` holds for each
-``(dim, level)`` the number of postings and their greatest weight, ``dim x LEVELS`` rows at
-most however many chunks there are.
+``<base>/postings`` holds one row for each block of up to ``BLOCK_CHUNKS`` chunks: their ids
+(``pids``) and, in a column ``p<n>`` for every ``PART_DIMS`` dims, the block's lists of these dims.  A
+list holds ``(row in the block, weight)`` by level: the weight ``tf / |p|`` of the bucket in its
+chunk, cut into quarter octaves, heaviest first.  Only the columns of asked dims are read, and of
+a list only its levels up to the cut.  ``<base>/directory`` holds for each ``(dim, level)`` the
+number of postings and their greatest weight, ``dim x LEVELS`` rows at most however many chunks
+there are.
 
 A question adds up, over the lists of its own dims, the products of weights: an upper bound
 of the cosine of every chunk it meets.  Let c_d be the greatest weight that is not read in
 dim d.  A chunk's unread part is a vector with entries u_d <= c_d and at most unit length,
 so it adds at most the greatest ``q . u`` over these (:func:`most_unread`); reading whole
-lists leaves nothing.  Levels are read, cheapest gain first, until the rest is below ``REST``
+lists leaves nothing.  A block holds all postings of its chunks, so a task adds them up where
+they lie and hands on only the chunks whose bound reaches the threshold; neither postings nor
+partial sums are shuffled.  Levels are read, cheapest gain first, until the rest is below ``REST``
 times the threshold; a question for which that takes more than ``PAYS`` of its lists reads
 them whole (chunks with many words of like weight leave little to skip).
 
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.config import LEXICAL_DIM, SCORE_THRESHOLD, TOP_K
+from quarry.operators import blocks as B
 from quarry.operators.lexical import token_dims
 from quarry.session import scratch_dir
 
@@ -42,7 +46,10 @@ AHEAD = 4                  # times k chunks are scored for a first k-th best
 SLACK = 1e-9               # of rounding in weights and bounds
 HALF = 1 << 63
 PART_DIMS = 16
-POSTINGS = "dim int, level int, weight double, pid bigint, part int"
+BLOCK_CHUNKS = 4096        # rows of a block are numbered in 16 bits
+QUESTION_ROWS = 512        # questions of a block that meets the blocks of chunks
+ROW_GROUP = 16 << 20
+DIRECTORY = "dim int, level int, n bigint, top double"
 
 
 def pid_of(point_id: Column) -> Column:
@@ -62,47 +69,99 @@ def bag_norm2(terms: Column) -> Column:
     return F.aggregate(F.array_sort(terms), start, step, lambda acc: acc["total"])
 
 
-def postings_of(chunks: DataFrame) -> DataFrame:
-    """``(dim, level, weight, pid)`` of chunks ``(point_id, terms)``, batch by batch."""
+def _cells(bags: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``row, dim, level, weight`` of every bucket of the bags."""
+    sizes = np.diff(bags.offsets.to_numpy())
+    row = np.repeat(np.arange(len(bags)), np.where(bags.is_valid().to_numpy(zero_copy_only=False), sizes, 0))
+    term = bags.flatten().to_numpy()
+    width = int(term.max(initial=0)) + 1
+    cell, tf = np.unique(row * width + term, return_counts=True)
+    row, dim = np.divmod(cell, width)
+    weight = tf / np.sqrt(np.bincount(row, tf * tf, minlength=len(bags)))[row]
+    level = np.clip(np.floor(-4 * np.log2(weight) + SLACK), 0, LEVELS - 1).astype(np.int64)
+    return row, dim, level, weight
+
+
+def levels_of(chunks: DataFrame) -> DataFrame:
+    """``(dim, level, n, top)`` of chunks ``(point_id, terms)``: one part of the directory."""
+
+    def run(batches):
+        for batch in batches:
+            _, dim, level, weight = _cells(batch.column(0))
+            cell, at, n = np.unique(dim * LEVELS + level, return_inverse=True, return_counts=True)
+            top = np.zeros(len(cell))
+            np.maximum.at(top, at, weight)
+            yield pa.RecordBatch.from_arrays([pa.array((cell // LEVELS).astype(np.int32)), pa.array((cell % LEVELS).astype(np.int32)),
+                                              pa.array(n.astype(np.int64)), pa.array(top)], names=["dim", "level", "n", "top"])
+
+    some = chunks.select("terms").mapInArrow(run, "dim int, level int, n bigint, top double")
+    return some.groupBy("dim", "level").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+
+
+def _dump_lists(bags: pa.Array, parts: int) -> list[bytes | None]:
+    """The lists of a block by part: numbers by dim and level, then rows, then weights (rounded up)."""
+    row, dim, level, weight = _cells(bags)
+    cell = dim * LEVELS + level
+    order = np.argsort(cell, kind="stable")
+    n = np.bincount(cell, minlength=parts * PART_DIMS * LEVELS).astype("<u4").reshape(parts, -1)
+    ends = np.cumsum(n.sum(1, dtype=np.int64))
+    row, low = row[order].astype("<u2"), weight[order].astype("<f4")
+    low = np.where(low < weight[order], np.nextafter(low, np.float32(2)), low).astype("<f4")
+    return [n[p].tobytes() + row[a:b].tobytes() + low[a:b].tobytes() if b > a else None for p, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends))]
+
+
+class Lists:
+    """The lists of a block in one part."""
+
+    def __init__(self, data):
+        self.upto = np.concatenate(([0], np.cumsum(np.frombuffer(data, "<u4", PART_DIMS * LEVELS), dtype=np.int64)))
+        head, total = 4 * PART_DIMS * LEVELS, int(self.upto[-1])
+        self.row = np.frombuffer(data, "<u2", total, head)
+        self.weight = np.frombuffer(data, "<f4", total, head + 2 * total)
+
+    def first(self, dim: int, cut: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and weights of a dim's levels below ``cut``."""
+        a, b = self.upto[dim % PART_DIMS * LEVELS], self.upto[dim % PART_DIMS * LEVELS + cut]
+        return self.row[a:b], self.weight[a:b].astype(np.float64)
+
+
+def blocks_of(chunks: DataFrame, parts: int) -> DataFrame:
+    """Chunks ``(point_id, terms)`` as rows ``(pids, p0, p1, ...)``, cut where they lie."""
+    names = [f"p{p}" for p in range(parts)]
+
+    def close(held):
+        block = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        lists = _dump_lists(block.column(1), parts)
+        return pa.RecordBatch.from_arrays([pa.array([block.column(0).to_numpy().astype("<i8").tobytes()], pa.binary()),
+                                           *[pa.array([x], pa.binary()) for x in lists]], names=["pids", *names])
 
     def run(batches):
+        held, count = [], 0
         for batch in batches:
-            pid, bags = batch.column(0).to_numpy(), batch.column(1)
-            sizes = np.diff(bags.offsets.to_numpy())
-            row = np.repeat(np.arange(len(pid)), np.where(bags.is_valid().to_numpy(zero_copy_only=False), sizes, 0))
-            term = bags.flatten().to_numpy()
-            width = int(term.max(initial=0)) + 1
-            cell, tf = np.unique(row * width + term, return_counts=True)
-            row, dim = np.divmod(cell, width)
-            weight = tf / np.sqrt(np.bincount(row, tf * tf, minlength=len(pid)))[row]
-            level = np.clip(np.floor(-4 * np.log2(weight) + SLACK), 0, LEVELS - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(dim.astype(np.int32)), pa.array(level.astype(np.int32)),
-                                              pa.array(weight), pa.array(pid[row])], names=["dim", "level", "weight", "pid"])
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, BLOCK_CHUNKS - count)
+                held.append(part)
+                at, count = at + part.num_rows, count + part.num_rows
+                if count == BLOCK_CHUNKS:
+                    yield close(held)
+                    held, count = [], 0
+        if held:
+            yield close(held)
 
-    return chunks.select(pid_of(F.col("point_id")), "terms").mapInArrow(run, "dim int, level int, weight double, pid bigint")
+    return chunks.select(pid_of(F.col("point_id")).alias("pid"), "terms").mapInArrow(run, ", ".join(f"{c} binary" for c in ["pids", *names]))
 
 
 def append(chunks: DataFrame, base: str) -> None:
-    """Add the postings of chunks and their part of the directory.
+    """Add the postings of chunks and their part of the directory, in two passes over the terms.
 
-    The range over (dim, level, id) splits a bucket that most chunks hold over several tasks.
     The directory part is written first: entries without postings only loosen a bound.
     """
     spark = chunks.sparkSession
-    work = scratch_dir(spark, "postings")
-    postings_of(chunks).write.parquet(work)
-    new = spark.read.parquet(work)
-    new.groupBy("dim", "level").agg(F.count("*").alias("n"), F.max("weight").alias("top")).write.mode("append").parquet(f"{base}/directory")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (new.withColumn("part", F.floor(F.col("dim") / PART_DIMS).cast("int"))
-     .repartitionByRange(parts, "dim", "level", "pid").sortWithinPartitions("dim", "level", "pid")
-     .write.mode("append").partitionBy("part").parquet(f"{base}/postings"))
-    drop(spark, work)
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    levels_of(chunks).write.mode("append").parquet(f"{base}/directory")
+    most = spark.read.schema(DIRECTORY).parquet(f"{base}/directory").agg(F.max("dim")).first()[0]
+    parts = 0 if most is None else most // PART_DIMS + 1
+    blocks_of(chunks, parts).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(f"{base}/postings")
 
 
 def exists(spark: SparkSession, base: str) -> bool:
@@ -113,7 +172,7 @@ def exists(spark: SparkSession, base: str) -> bool:
 def read_directory(spark: SparkSession, base: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and greatest weights by (dim, level): at most ``dim x LEVELS`` rows."""
     n, top = np.zeros((dim, LEVELS), np.int64), np.zeros((dim, LEVELS))
-    rows = spark.read.schema("dim int, level int, n bigint, top double").parquet(f"{base}/directory")
+    rows = spark.read.schema(DIRECTORY).parquet(f"{base}/directory")
     for r in rows.groupBy("dim", "level").agg(F.sum("n").alias("n"), F.max("top").alias("top")).collect():
         n[r.dim, r.level], top[r.dim, r.level] = r.n, r.top
     return n, top
@@ -175,16 +234,40 @@ def plan(terms: Column, n: np.ndarray, top: np.ndarray, threshold: float, pays:
 
 
 def _bounds(spark: SparkSession, base: str, asked: DataFrame, threshold: float) -> DataFrame:
-    """``(query_id, pid, bound)`` of all chunks met whose cosine may reach the threshold."""
-    cuts = asked.select("query_id", "plan.rest", F.explode("plan.lists").alias("c")).select("query_id", "rest", "c.*")
-    deepest = {r.dim: r.cut for r in cuts.groupBy("dim").agg(F.max("cut").alias("cut")).collect()}      # at most one row a dim
-    # folders, then row groups
-    wanted = (F.col("part").isin(sorted({d // PART_DIMS for d in deepest})) & F.col("dim").isin(sorted(deepest))
-              & (F.col("level") < max(deepest.values(), default=0)))
-    lists = spark.read.schema(POSTINGS).parquet(f"{base}/postings").filter(wanted).select("dim", "level", F.col("weight").alias("w"), "pid")
-    return (lists.join(cuts, "dim").filter(F.col("level") < F.col("cut")).groupBy("query_id", "pid")
-            .agg((F.sum(F.col("w") * F.col("weight")) + F.max("rest")).alias("bound"))
-            .filter(F.col("bound") >= threshold - SLACK))
+    """``(query_id, pid, bound)`` of all chunks met whose cosine may reach the threshold.
+
+    Blocks of questions meet the blocks of chunks on the executors; of these only the asked parts are read.
+    """
+    plans = asked.select("query_id", "plan.rest", "plan.lists")
+    parts = sorted(r.p for r in plans.select(F.explode("lists.dim").alias("d"))                # dims / PART_DIMS at most
+                   .select(F.floor(F.col("d") / PART_DIMS).cast("int").alias("p")).distinct().collect())
+    questions = B.pack(plans, QUESTION_ROWS, plans.count())
+    lists = spark.read.schema(", ".join(f"{c} binary" for c in ["pids", *(f"p{p}" for p in parts)])).parquet(f"{base}/postings")
+    pairs = lists.crossJoin(questions.select(F.col("block").alias("q_block"), F.col("data").alias("q_data")))
+
+    def run(batches):
+        known = B.Last(lambda data: [(r["query_id"], r["rest"], r["lists"]) for r in B.load(data).to_pylist()])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pids = np.frombuffer(batch.column("pids")[i].as_buffer(), "<i8")
+                some = {p: Lists(batch.column(f"p{p}")[i].as_buffer()) for p in parts if batch.column(f"p{p}")[i].is_valid}
+                out_q, out_p, out_b = [], [], []
+                for query, rest, cuts in known.get_block(batch.column("q_block")[i].as_py(), batch.column("q_data")[i].as_buffer()):
+                    bound = np.full(len(pids), rest)
+                    for c in cuts:
+                        if (at := some.get(c["dim"] // PART_DIMS)) is not None:
+                            rows, weight = at.first(c["dim"], c["cut"])
+                            bound[rows] += c["weight"] * weight
+                    near = np.flatnonzero(bound >= threshold - SLACK) if cuts else []
+                    if len(near):
+                        out_q.append(np.full(len(near), query, np.int64))
+                        out_p.append(pids[near])
+                        out_b.append(bound[near])
+                if out_q:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_p, out_b)], names=["query_id", "pid", "bound"])
+
+    # an id that was appended again has a bound in each of its blocks
+    return pairs.mapInArrow(run, "query_id bigint, pid bigint, bound double").groupBy("query_id", "pid").agg(F.max("bound").alias("bound"))
 
 
 def _exact(cands: DataFrame, chunks: DataFrame, asked: DataFrame, k: int, threshold: float) -> DataFrame:

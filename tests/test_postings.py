@@ -85,3 +85,21 @@ def test_empty_collection(spark):
     none = _chunks(spark, 1, 1).limit(0)
     P.append(none, base)
     assert P.posting_topk(base, none, _questions(spark), 3, 0.3, payload=["text"]).count() == 0
+
+
+def test_bounds_are_summed_where_a_block_lies(spark):
+    chunks, q = _chunks(spark, 4, 400).coalesce(2), _questions(spark)
+    base = tempfile.mkdtemp(prefix="quarry-postings-")
+    P.append(chunks, base)
+    assert spark.read.parquet(base + "/postings").count() == 2                    # a row a block, not a row a posting
+    n, top = P.read_directory(spark, base, 384)
+    dense = F.transform(F.sequence(F.lit(0), F.lit(383)), lambda d: F.size(F.filter("terms", lambda x: x == d)))
+    asked = q.select("query_id", token_dims("text").alias("terms")).select(
+        "query_id", dense.alias("dense"), P.plan(F.col("terms"), n, top, 0.4).alias("plan"))
+    bounds = P._bounds(spark, base, asked, 0.4)
+    plan = bounds._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "sum(" not in plan                    # postings and partial sums stay in their task
+    found = {(r.query_id, r.pid): r.bound for r in bounds.collect()}
+    pid = {r.point_id: r.pid for r in chunks.select("point_id", P.pid_of(F.col("point_id")).alias("pid")).collect()}
+    for query, _, score, point in _hits(lexical_retrieve(chunks, q, 400, 0.4)):
+        assert found[query, pid[point]] >= score - 1e-12
