@@ -23,6 +23,14 @@ from pyspark.sql import functions as F
 from quarry.functions.text import basename, extension, normalise_newlines
 
 MTIME_SPANS = 32           # spans of modification times in one scan's filter
+READ_WAVES = 4             # tasks of a folder scan for every shuffle partition or core
+
+
+def _few_tasks(files: DataFrame) -> DataFrame:
+    """A folder scan in tasks whose number does not grow with the files: Spark deals some 32 small files to a
+    task (and one output file), however many there are.  No shuffle; a task streams its files."""
+    spark = files.sparkSession
+    return files.coalesce(READ_WAVES * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
@@ -33,9 +41,9 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
           .load(folder)
           .select("path", "modificationTime", "length"))
     name = basename("path")
-    return df.select(F.col("path").alias("file_path"), name.alias("source_file"),
-                     extension(name).alias("file_type"),
-                     F.col("modificationTime").alias("mtime"), F.col("length"))
+    return _few_tasks(df.select(F.col("path").alias("file_path"), name.alias("source_file"),
+                                extension(name).alias("file_type"),
+                                F.col("modificationTime").alias("mtime"), F.col("length")))
 
 
 def list_folders(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
@@ -68,12 +76,12 @@ def read_text_files(spark: SparkSession, paths: list[str] | str, recursive: bool
     decoded = F.col("content").cast("string")
     valid = F.is_valid_utf8(decoded)
     name = basename("path")
-    return raw.select(
+    return _few_tasks(raw.select(
         F.col("path").alias("file_path"), name.alias("source_file"), extension(name).alias("file_type"),
         F.col("modificationTime").alias("mtime"),
         F.lit(1).cast("bigint").alias("section_no"), F.lit(1).cast("bigint").alias("n_sections"),
         F.when(valid, normalise_newlines(decoded)).alias("text"),
-        F.when(~valid, F.lit("'utf-8' codec can't decode the file")).alias("read_error"))
+        F.when(~valid, F.lit("'utf-8' codec can't decode the file")).alias("read_error")))
 
 
 def mtime_spans(days: list[tuple], most: int = MTIME_SPANS) -> list[tuple]:

@@ -33,3 +33,19 @@ def test_an_old_file_does_not_make_the_scan_read_everything(spark):
         f.write("newer")
     assert {r.text for r in text_loader(spark, folder)(last).collect()} == {"newer"}
     assert text_loader(spark, folder)(files.filter("false")).count() == 0
+
+
+def test_a_scan_of_many_small_files_has_few_tasks(spark, tmp_path):
+    from quarry.sources import files as FS
+    for i in range(150):
+        (tmp_path / f"f{i}.txt").write_text(f"text {i}")
+    was = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))              # as if a task held one file
+    try:
+        most = FS.READ_WAVES * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        read, listed = FS.read_text_files(spark, str(tmp_path), suffix=".txt"), FS.list_files(spark, str(tmp_path), ".txt")
+        assert most < 150
+        assert read.rdd.getNumPartitions() <= most and listed.rdd.getNumPartitions() <= most
+        assert {r.text for r in read.collect()} == {f"text {i}" for i in range(150)} and listed.count() == 150
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", was)
