@@ -112,3 +112,27 @@ def test_equal_cosines_go_by_point_id(spark):
         assert alike == list(range(1, 61))
         mixed = [int(h.point_id) for h in sorted(hits, key=lambda h: h["rank"]) if h.query_id == 0 and h.source_file == "a.txt"]
         assert mixed == list(range(1, 61))
+
+
+def test_many_equal_scores_take_little_memory():
+    """Equal vectors are ranked by key without holding all of their pairs."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    n, nq, dim = 4096, 1500, 64
+    vec = np.random.default_rng(5).normal(size=dim).astype(np.float32)
+    keys = np.random.default_rng(6).permutation(n).astype(np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(keys), pa.array([vec] * n, pa.list_(pa.float32()))], names=["point_id", "vector"])
+    unit = vec.astype(np.float64) / np.linalg.norm(vec.astype(np.float64))
+    block = SimpleNamespace(value={"ids": np.arange(nq, dtype=np.int64), "matrix": np.tile(unit, (nq, 1))})
+    run = SIM._scorer(SIM.Encoding("dense", dim), "point_id", "vector", [], block, 3, 0.2, 6, True, None)
+    tracemalloc.start()
+    hits = pa.Table.from_batches(list(run(iter([batch]))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = {}
+    for query, key in zip(hits.column("query_id").to_pylist(), hits.column("point_id").to_pylist()):
+        found.setdefault(query, []).append(key)
+    assert all(found[query] == [key for key in range(5) if key != query][:3] for query in range(nq))
+    assert peak < 120e6, peak
