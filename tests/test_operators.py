@@ -152,3 +152,17 @@ def test_ledger_entry_missing_field_is_quarantined(spark):
     rows, bad = L.parse_ledger_json(spark.createDataFrame([(doc,)], "value string"))
     assert [r.file_path for r in rows.collect()] == ["/a"]
     assert [r.reason for r in bad.collect()] == ["ledger entry misses a required field"]
+
+
+def test_a_long_bag_is_counted_in_linear_time(spark):
+    import time
+
+    from quarry.operators.lexical import lexical_vectors
+    words = [f"w{i % 12_000}" for i in range(24_000)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, None), (3, "a b a"), (4, "")], "point_id bigint, text string")
+    began = time.time()
+    rows = lexical_vectors(df, dim=1 << 24).collect()
+    assert time.time() - began < 8
+    assert {r.point_id for r in rows} == {1, 3}
+    assert sum(r.tf for r in rows if r.point_id == 1) == 24_000 and {r.norm2 for r in rows if r.point_id == 1} == {sum(r.tf ** 2 for r in rows if r.point_id == 1)}
+    assert sorted(r.tf for r in rows if r.point_id == 3) == [1, 2] and {r.norm2 for r in rows if r.point_id == 3} == {5}
