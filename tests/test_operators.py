@@ -166,3 +166,19 @@ def test_a_long_bag_is_counted_in_linear_time(spark):
     assert {r.point_id for r in rows} == {1, 3}
     assert sum(r.tf for r in rows if r.point_id == 1) == 24_000 and {r.norm2 for r in rows if r.point_id == 1} == {sum(r.tf ** 2 for r in rows if r.point_id == 1)}
     assert sorted(r.tf for r in rows if r.point_id == 3) == [1, 2] and {r.norm2 for r in rows if r.point_id == 3} == {5}
+
+
+def test_a_batch_of_texts_is_not_held_as_strings():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from quarry.operators.chunking import chunk_udf
+    from quarry.operators.splitter import split_text
+    texts = pa.array([("some words " * 500) + str(i) for i in range(3_000)] + [None, ""])
+    tracemalloc.start()
+    out = chunk_udf(500, 50).func(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == len(texts) and out[7].as_py() == split_text(texts[7].as_py(), 500, 50) and out[3000].as_py() == []
+    assert peak < 12e6, peak                            # 16 MB of text
