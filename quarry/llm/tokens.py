@@ -22,6 +22,7 @@ from quarry.llm.bpe import LITTLE, Kept
 
 CACHE_PIECES = 500_000     # some 80 MB a worker
 CLOSING = ".,;:!?"
+MARKS = CLOSING + "#$%&*+-/=@^_~|()[]{}<>\""      # the byte-level pattern takes a run of them after letters for one word
 LATIN_END = "\u0250"      # letters below it are single, composed and keep their case pairs
 
 
@@ -74,7 +75,16 @@ class Encoder:
                 raise _Unusual
             return self._piece("\n" if piece[0] == "\n" else " ", body)
 
-        self._get = Kept(new, cache).__getitem__
+        def spaced(piece: str) -> bytes:
+            # letters behind a space, and a run of marks that the library cuts off as one word
+            word = piece.rstrip(MARKS)
+            if not word.isalpha() or not (word.isascii() or max(word) < LATIN_END):
+                return new(piece)
+            if len(word) == len(piece):
+                return self._core(" " + word)
+            return self._get(word) + self._cores(piece[len(word):])
+
+        self._get = Kept(spaced if cut == "spaces" else new, cache).__getitem__
 
     def encode(self, text: str) -> bytes:
         for token in self._added:
@@ -103,7 +113,11 @@ class Encoder:
         return core + self._tails[tail]
 
     def _core(self, word: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))]
+        if word.isascii():                               # letters and marks, which stand for themselves, behind white space
+            letters = word.replace(" ", _LETTERS[32]).replace("\n", _LETTERS[10])
+        else:
+            letters = word.encode().decode("latin-1").translate(_LETTERS)
+        ids = [t.id for t in self.model.tokenize(letters)]
         return array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
 
     def _words(self, text: str) -> bytes:
@@ -117,7 +131,7 @@ class Encoder:
         if not first:
             return self.whole(text)
         try:
-            return self.whole(first) + b"".join(map(self._get, rest))
+            return self._piece("", first) + b"".join(map(self._get, rest))
         except _Unusual:
             return self.whole(text)
 

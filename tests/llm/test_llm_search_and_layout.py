@@ -96,6 +96,22 @@ def test_ids_are_those_of_the_file_as_it_is(path, cut):
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
 
 
+def test_words_before_marks_do_not_go_through_the_whole_chain(monkeypatch):
+    from quarry.llm import tokens as T
+    enc = Encoder(BYTE, "spaces")
+    words = ["Élan", "größe", "word", "THE", "x"]
+    tails = ["", ".", "$$$", "###", "&&&", ").", '"', "--", "!?", "_/"]
+    texts = [f"{a}{m} {b}{n}\n{a}{n}" for a in words for b in words for m in tails for n in tails]
+    odd = ["it's' x's. y'll, z'", "a1$ b$1 c$d $$ $a 'b'", "don't$ can''t"]
+    want = {t: enc.whole(t) for t in texts + odd}
+    calls, whole = [], T.Encoder.whole
+    monkeypatch.setattr(T.Encoder, "whole", lambda self, text: calls.append(text) or whole(self, text))
+    enc = Encoder(BYTE, "spaces")
+    assert all(enc.encode(t) == want[t] for t in texts)
+    assert all(c.startswith("\n") or c[-1:] in T.MARKS for c in calls) and not [c for c in calls if c.startswith(" ")]
+    assert all(enc.encode(t) == want[t] for t in odd)
+
+
 # --- packing ----------------------------------------------------------------------
 
 @pytest.mark.parametrize("n, mean", [(0, 5), (1, 5), (40, 6), (4000, 6), (30000, 4)])
