@@ -85,6 +85,10 @@ def document_status(files: DataFrame, sections: DataFrame, chunks: DataFrame,
                     n_up.alias("n_uploaded"), status.alias("status"), msg.alias("error_message"))
 
 
+def file_type_of(name):
+    return F.regexp_extract(name, r"^\.*[^.].*\.([^.]*)$", 1)
+
+
 def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataFrame], DataFrame],
            index: DataFrame, embed: Callable[[DataFrame], DataFrame] | None = None,
            now=None, size: int = C.CHUNK_SIZE, overlap: int = C.CHUNK_OVERLAP,
@@ -97,7 +101,7 @@ def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataF
     file has become empty; a file that failed keeps them.  Chunks are counted before
     ``embed``, so vectors that go missing make the file fail.
     ``materialize(df, name)`` (e.g. write + read back) is applied to the changes, the loaded
-    sections and the produced chunks and points, so file bodies are read once and the
+    sections, the produced chunks and points and the status, so file bodies are read once and the
     chunking is not recomputed for statuses and the index.
     """
     changes = change_detect(listing, ledger)
@@ -105,7 +109,7 @@ def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataF
         changes = materialize(changes, "changes")       # the ledger it reads is replaced later
     todo = files_to_ingest(changes).select("file_path", "mtime")
     files = todo.withColumn("source_file", F.regexp_extract("file_path", r"([^/]+)$", 1)) \
-                .withColumn("file_type", F.regexp_extract("source_file", r"^\.*[^.].*\.([^.]*)$", 1))
+                .withColumn("file_type", file_type_of("source_file"))
     sections = load_sections(files)
     if materialize is not None:
         sections = materialize(sections, "sections")
@@ -126,8 +130,13 @@ def ingest(listing: DataFrame, ledger: DataFrame, load_sections: Callable[[DataF
     # what the writes observed tells whether points were lost; only then are they counted per file
     whole = points is chunks or (written is not None and written == made)
     status = document_status(f_err, good_sections, chunks, None if whole else points)
-    ok_files = status.filter(F.col("status") == C.STATUS_SUCCESS).select("source_file")
-    new_points = points.join(ok_files, "source_file", "left_semi")
+    if materialize is not None:
+        status = materialize(status, "status")
+    ok = status.filter(F.col("status") == C.STATUS_SUCCESS)
+    # points are joined with the successful files only if any other file has some
+    all_ok = whole and made is not None and made["n"] == (
+        ok.groupBy("source_file").agg(F.max("n_chunks").alias("n")).agg(F.sum("n")).first()[0] or 0)
+    new_points = points if all_ok else points.join(ok.select("source_file"), "source_file", "left_semi")
     # a file that was read and turned out empty holds no text any more: its old points go too
     empty = status.filter(F.col("status").isin(C.STATUS_SKIPPED_EMPTY, C.STATUS_SKIPPED_NO_CHUNKS)).select("source_file")
     new_index = delete_by_file(replace_files(index, new_points), empty)

@@ -41,12 +41,15 @@ def read_state_index(spark: SparkSession, state: str) -> DataFrame:
 
 
 def _with_vectors(points: DataFrame) -> DataFrame:
-    points = points.withColumn("terms", token_dims("text"))
     if "vector" in points.columns:
         return points.withColumn("vector", F.col("vector").cast("array<float>"))
     return points.withColumn("vector", F.lit(None).cast("array<float>"))
 
 
+def _with_terms(points: DataFrame) -> DataFrame:
+    return points.withColumn("terms", token_dims("text"))
+
+
 def read_state_ledger(spark: SparkSession, state: str) -> DataFrame:
     return BT.read_current(spark, f"{state}/ledger", C.LEDGER)
 
@@ -86,7 +89,7 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     run_dir = f"{state}/runs/{uuid.uuid4().hex[:12]}"
 
     def materialize(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("errorifexists").parquet(f"{run_dir}/{name}")
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(f"{run_dir}/{name}")
         return spark.read.parquet(f"{run_dir}/{name}")
 
     # one listing per scan: processing, index and ledger all see the same files
@@ -97,16 +100,15 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     load = registry(loaders or {"txt": text_loader(spark, txt_dirs), "pdf": pdf_unavailable})
 
     out = ingest(listing, ledger, load, index, embed=embed, now=now, materialize=materialize)
-    out["status"].write.mode("errorifexists").parquet(f"{run_dir}/status")
-    status = spark.read.parquet(f"{run_dir}/status")
+    status = out["status"]
     emptied = status.filter(F.col("status").isin(C.STATUS_SKIPPED_EMPTY, C.STATUS_SKIPPED_NO_CHUNKS)).select("source_file")
-    new_points = _with_vectors(out["points"]).select(*POINT_COLS)
+    new_points = _with_vectors(out["points"])
     changes = out["changes"]
     gone = changes.filter(F.col("reason") == "missing").select("file_path")
     gone_files = gone.select(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("source_file"))
     # index: successful files are replaced, missing and emptied files are purged
     BT.replace_keys(spark, f"{state}/index", C.POINTS, "source_file", index_buckets,
-                     changed=new_points, removed=gone_files.unionByName(emptied))
+                     changed=new_points, removed=gone_files.unionByName(emptied), derive=_with_terms)
     # ledger: one new row per processed path (from the written status), missing paths dropped
     todo = L.files_to_ingest(changes).select("file_path", F.col("mtime").alias("last_modified"))
     rows = (todo.withColumn("source_file", F.regexp_extract("file_path", r"([^/]+)$", 1))
@@ -117,7 +119,7 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     BT.replace_keys(spark, f"{state}/ledger", C.LEDGER, "file_path", ledger_buckets,
                      changed=rows, removed=gone)
     BT.clear(spark, f"{run_dir}/sections")
-    return {"changes": changes, "status": status, "points": new_points,
+    return {"changes": changes, "status": status, "points": _with_terms(new_points).select(*POINT_COLS),
             "index": read_state_index(spark, state), "ledger": read_state_ledger(spark, state)}
 
 

@@ -67,36 +67,46 @@ def _fold_files(spark: SparkSession, batch: DataFrame, state: str, index_buckets
     only a failed one is tried again, so a replayed or late batch changes nothing.  The points go in before the ledger rows, and both
     replace by key: a crash in between makes the replay redo the same files.
     """
-    from quarry.operators.ingest import ingest
-    from quarry.operators.scan import POINT_COLS, _with_vectors, read_state_index
+    from quarry.operators.ingest import file_type_of, ingest
+    from quarry.operators.scan import _with_terms, _with_vectors
 
     run = scratch_dir(spark, "stream-files")
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{run}/{name}")
+        df.write.option("compression", "zstd").parquet(f"{run}/{name}")
         return spark.read.parquet(f"{run}/{name}")
 
     error = F.col("read_error") if "read_error" in batch.columns else F.lit(None).cast("string")
-    versions = stored(last_per_key(batch.select("file_path", "mtime", "text", error.alias("read_error")).filter("file_path is not null"),
-                                   ["file_path"], ["mtime", "text"]), "versions")
-    paths = versions.select("file_path")
+    # the batch is read once; what decides is found in narrow columns, and texts are shuffled only where paths repeat
+    versions = stored(batch.select("file_path", "mtime", "text", error.alias("read_error")).filter("file_path is not null"), "versions")
+    newest = stored(versions.groupBy("file_path").agg(F.max("mtime").alias("mtime"), F.count(F.lit(1)).alias("n")), "newest")
+    paths = newest.select("file_path")
     known = (BT.read_current(spark, f"{state}/ledger", LEDGER, BT.buckets_of(paths, "file_path", ledger_buckets))
              .join(paths, "file_path", "left_semi"))
     ledger = stored(known, "ledger")
-    late = ledger.select("file_path", "last_modified").join(versions.select("file_path", "mtime"), "file_path").filter("mtime < last_modified")
-    versions = versions.join(late.select("file_path"), "file_path", "left_anti")
-    ledger = ledger.join(late.select("file_path"), "file_path", "left_anti")
+    late = ledger.select("file_path", "last_modified").join(newest, "file_path").filter("mtime < last_modified").select("file_path")
+    listing = newest.select("file_path", "mtime").join(late, "file_path", "left_anti")
+    ledger = ledger.join(late, "file_path", "left_anti")
+    n_paths, n_most = newest.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
 
     def load(files: DataFrame) -> DataFrame:
-        return files.join(versions.drop("mtime"), "file_path").select(
-            "source_file", "file_path", "file_type", "mtime", F.lit(1).cast("bigint").alias("section_no"),
-            F.lit(1).cast("bigint").alias("n_sections"), "text", "read_error")
-
-    out = ingest(versions.select("file_path", "mtime"), ledger, load, spark.createDataFrame([], POINTS), materialize=stored)
-    status = stored(out["status"], "status")
+        texts = versions if n_most <= 1 else last_per_key(versions, ["file_path"], ["mtime", "text"])
+        n_files = files.count()
+        if n_files < n_paths:
+            wanted = files.select("file_path")
+            texts = texts.join(F.broadcast(wanted) if n_files <= BT.BROADCAST_KEYS else wanted, "file_path", "left_semi")
+        name = basename("file_path")
+        return texts.select(name.alias("source_file"), "file_path", file_type_of(name).alias("file_type"), "mtime",
+                            F.lit(1).cast("bigint").alias("section_no"), F.lit(1).cast("bigint").alias("n_sections"), "text", "read_error")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return df if name == "sections" else stored(df, name)         # the versions are stored already
+
+    out = ingest(listing, ledger, load, BT.read_current(spark, f"{run}/none", POINTS), materialize=kept)
+    status = out["status"]
     emptied = status.filter(F.col("status").isin(STATUS_SKIPPED_EMPTY, STATUS_SKIPPED_NO_CHUNKS)).select("source_file")
     BT.replace_keys(spark, f"{state}/index", POINTS, "source_file", index_buckets,
-                    changed=_with_vectors(out["points"]).select(*POINT_COLS), removed=emptied)
+                    changed=_with_vectors(out["points"]), removed=emptied, derive=_with_terms)
     todo = L.files_to_ingest(out["changes"]).select("file_path", F.col("mtime").alias("last_modified"))
     rows = (todo.withColumn("source_file", basename("file_path")).join(status.select("source_file", "status", "error_message"), "source_file", "left")
             .select("file_path", "last_modified", F.current_timestamp().alias("ingested_at"), "status", "error_message"))

@@ -244,3 +244,28 @@ def test_questions_are_answered_from_stored_terms(spark, folders):
     assert [r.source_file for r in hits.collect()] == ["a.txt"]
     assert "md5" not in index._jdf.queryExecution().optimizedPlan().toString()
     assert ask(spark, folders["state"], ["beta gamma", " "]).count() == 1
+
+
+def test_a_replace_shuffles_new_rows_only_and_keeps_the_others(spark, folders, monkeypatch):
+    from quarry import config as C
+    from quarry.operators import bucketed as BT
+    derived = []
+
+    def derive(df):
+        derived.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.withColumn("error_message", F.concat("status", F.lit("!")))
+
+    def rows(names, status):
+        return spark.createDataFrame([(n, None, None, status, None) for n in names], C.LEDGER)
+
+    for most in (BT.BROADCAST_KEYS, 0):                  # 0: keys too many to broadcast
+        monkeypatch.setattr(BT, "BROADCAST_KEYS", most)
+        base = f"{folders['state']}/replace-{most}"
+        BT.replace_keys(spark, base, C.LEDGER, "file_path", 4, changed=rows([f"{i}" for i in range(50)] + [None], "a").drop("error_message"), derive=derive)
+        BT.replace_keys(spark, base, C.LEDGER, "file_path", 4, changed=rows([f"{i}" for i in range(5)], "b").drop("error_message"),
+                        removed=spark.createDataFrame([("7",), ("none",)], "file_path string"), derive=derive)
+        got = sorted((str(r.file_path), r.status, r.error_message) for r in BT.read_current(spark, base, C.LEDGER).collect())
+        want = [(str(i), "b" if i < 5 else "a", "b!" if i < 5 else "a!") for i in range(50) if i != 7] + [("None", "a", "a!")]
+        assert got == sorted(want)
+        assert not os.path.exists(base + "-work")        # rows are written once, where they belong
+    assert len(derived) == 4 and all("RebalancePartitions" in p for p in derived)

@@ -126,3 +126,30 @@ def test_changed_files_source_sees_overwritten_files(spark):
     put("b.txt", b"\xff\xfe", 1_000_900)
     assert scan() == {("a.txt", "three"), ("b.txt", "bee"), ("c.txt", "same tick as the first scan's newest")}     # unreadable: old points stay
     assert {s for f, _, s in _state(spark, base + "/state")[1] if f.endswith("b.txt")} == {"failed"}
+
+
+def test_a_batch_without_repeated_paths_stores_its_texts_once_and_shuffles_none(spark, monkeypatch):
+    import datetime as dt
+    from pyspark.sql import DataFrame, DataFrameWriter
+    from quarry.streaming.incremental import _fold_files
+    base = tempfile.mkdtemp(prefix="quarry-once-")
+    written, plain = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *a, **k):
+        written.append((path.rsplit("/", 1)[1], self._df))
+        return plain(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    rows = [(f"{i}.txt", dt.datetime(2024, 1, 1), f"text {i}", None) for i in range(20)]
+    _fold_files(spark, spark.createDataFrame(rows, VERSIONS), base + "/state", 4, 4)
+    texts = [name for name, df in written if "text" in df.columns]
+    assert texts == ["versions", "chunks", "index"]
+    stored: DataFrame = dict(written)["versions"]
+    assert "Aggregate" not in stored._jdf.queryExecution().optimizedPlan().toString()
+    assert _state(spark, base + "/state")[0] == sorted((f"{i}.txt", 0, f"text {i}") for i in range(20))
+    # paths that repeat, late versions and known ones
+    later = [("1.txt", dt.datetime(2024, 1, 3), "new", None), ("1.txt", dt.datetime(2024, 1, 2), "old", None),
+             ("2.txt", dt.datetime(2023, 1, 1), "late", None), ("3.txt", dt.datetime(2024, 1, 1), "same time", None)]
+    _fold_files(spark, spark.createDataFrame(later, VERSIONS), base + "/state", 4, 4)
+    got = {f: t for f, _, t in _state(spark, base + "/state")[0]}
+    assert got == {f"{i}.txt": f"text {i}" for i in range(20)} | {"1.txt": "new"}
