@@ -73,7 +73,9 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     single = docs.join(_small(gone), _same_id("gone"), "left_anti")
     if shared.isEmpty():
         return single
-    digested = docs.join(_small(shared), _same_id("gone"), "left_semi").withColumn("node", F.pandas_udf(words_digest, "binary")("text"))
+    # not deterministic: else Spark copies the digest into the filters below and runs it twice, by two Python workers a task
+    digest = F.pandas_udf(words_digest, "binary").asNondeterministic()
+    digested = docs.join(_small(shared), _same_id("gone"), "left_semi").withColumn("node", digest("text"))
     wordless = digested.filter("node is null").select(*COLUMNS)
     # of rows with the same id and words one is taken, by a grouping that combines first
     one = digested.filter("node is not null").groupBy("doc_id", "node").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r"))

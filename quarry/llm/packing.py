@@ -33,7 +33,7 @@ CAPACITY = 2048
 END_ID = 0
 GROUP_ROWS = 20_000
 FIT_ROUNDS = 60
-CACHE_PIECES = 150_000     # some 25 MB a worker: packing follows other stages in the same workers
+CACHE_PIECES = 150_000     # at most some 140 MB a worker, with both generations full: packing follows other stages in the same workers
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 

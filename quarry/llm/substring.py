@@ -167,6 +167,11 @@ def cut_text(texts: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([t if s is None else without(t, s) for t, s in zip(texts, spans)])
 
 
+# Spark copies a deterministic expression into every filter and projection that reads it, each with a Python
+# worker of its own in the same task: twice the work, and twice the workers for as long as the executor keeps them.
+cut_text = cut_text.asNondeterministic()
+
+
 def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``removed_spans`` (word ranges, NULL if none) and ``deduped_text``."""
     docs = docs.drop("removed_spans", "deduped_text")

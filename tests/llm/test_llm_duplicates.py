@@ -343,3 +343,25 @@ def test_pipeline_stages_keep_columns_and_stand_edges(spark):
     sub = dict(corpus_pipeline.STAGES)["substrings"](spark, frame, SF).filter(F.col("text").isNotNull())
     assert sub.filter("n_chars <> length(text)").count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, frame, SF).count() >= len(rows)
+
+
+def python_steps(df):
+    """How often a plan hands rows to Python workers."""
+    return df._jdf.queryExecution().sparkPlan().toString().count("ArrowEvalPython [")
+
+
+def test_stages_run_one_python_worker_a_task(spark):
+    rng = random.Random(31)
+    words = [f"w{i}" for i in range(400)]
+    passage = " ".join(rng.choices(words, k=90))
+    rows = [(i, " ".join(rng.choices(words, k=60))) for i in range(12)] + [(20, passage), (21, passage), (22, "head " + passage)]
+    stages = dict(corpus_pipeline.STAGES)
+    cut = stages["substrings"](spark, docs(spark, rows), SF)
+    assert python_steps(cut) == 1
+    got = {r.doc_id: r.text for r in cut.collect()}
+    assert got == {i: t for i, t in rows if i < 21} | {22: got[22]} and got[22].startswith("head") and len(got[22].split()) < 20
+    shared = [*rows[:12], (3, rows[5][1]), (3, rows[3][1]), (None, rows[7][1]), (None, ""), (4, None)]
+    near = stages["near_duplicates"](spark, docs(spark, shared), SF)
+    assert python_steps(near) == 2                        # one for rows without words, one for those with
+    assert Counter((r.doc_id, r.text) for r in near.collect()) == Counter(
+        [(i, t) for i, t in rows[:12] if i != 5] + [(3, rows[5][1]), (None, ""), (4, None)])
