@@ -110,9 +110,10 @@ def run_scan(spark: SparkSession, folders: dict[str, str], state: str, loaders:
     BT.replace_keys(spark, f"{state}/index", C.POINTS, "source_file", index_buckets,
                      changed=new_points, removed=gone_files.unionByName(emptied), derive=_with_terms)
     # ledger: one new row per processed path (from the written status), missing paths dropped
+    # (merged: Spark takes the size of the stored status from its zstd files, and a broadcast holds it unpacked on the driver)
     todo = L.files_to_ingest(changes).select("file_path", F.col("mtime").alias("last_modified"))
     rows = (todo.withColumn("source_file", F.regexp_extract("file_path", r"([^/]+)$", 1))
-                .join(status.select("source_file", "status", "error_message"), "source_file", "left")
+                .join(status.select("source_file", "status", "error_message").hint("merge"), "source_file", "left")
                 .select("file_path", "last_modified",
                         (now if now is not None else F.current_timestamp()).alias("ingested_at"),
                         "status", "error_message"))

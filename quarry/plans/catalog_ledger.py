@@ -320,7 +320,7 @@ def q_scan_lifecycle(spark, d):
     run = SC.run_scan(spark, dirs, base + "/state", loaders, embed=embed, index_buckets=8, ledger_buckets=4)
     points = run["index"].groupBy("source_file").agg(F.count(F.lit(1)).alias("n_points"), F.max(F.size("vector")).cast("bigint").alias("dim"))
     ledger = run["ledger"].select(basename("file_path").alias("source_file"), F.col("status").alias("now"))
-    out = (run["changes"].select(basename("file_path").alias("source_file"), "reason").join(ledger, "source_file", "left")
+    out = (run["changes"].select(basename("file_path").alias("source_file"), "reason").join(ledger.hint("merge"), "source_file", "left")
            .join(points, "source_file", "left")
            .select("source_file", "reason", F.col("now").alias("status"), F.coalesce("n_points", F.lit(0)).cast("bigint").alias("n_points"), "dim"))
     out.write.parquet(base + "/report")
